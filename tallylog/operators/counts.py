@@ -67,14 +67,19 @@ def server_errors_by_minute(records: DataFrame) -> DataFrame:
     return count_by(failed, minute_bucket(F.col("timestamp_utc")), "minute")
 
 
-def build_rollup(parsed: DataFrame) -> DataFrame:
+def build_rollup(parsed: DataFrame, part: str | None = None) -> DataFrame:
     """Every count of the report from one pass over the parsed lines.
 
+    With ``part``, a column such as the day or the shard of a line, the pass gives one
+    rollup per part; ``merge_rollups`` puts them together.
+
     Four grouping sets carry all of them: (method, status) also has the totals
     and, in its row of NULLs, the rejected lines. Each task hands on one partial
     row per key, whatever share of the lines that key holds.
     """
+    parts = [part] if part else []
     keyed = parsed.select(
+        *parts,
         "method",
         "status",
         "endpoint",
@@ -92,17 +97,16 @@ def build_rollup(parsed: DataFrame) -> DataFrame:
         "minute": ["minute", "family"],
     }
     keys = [name for names in sets.values() for name in names]
-    counted = keyed.groupingSets(list(sets.values()), *keys).agg(
+    counted = keyed.groupingSets([parts + names for names in sets.values()], *parts, *keys).agg(
         *[F.grouping(names[0]).alias(f"without_{dim}") for dim, names in sets.items()],
         F.count(F.lit(1)).alias("lines"),
         *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
     )
     dim = F.coalesce(*[F.when(F.col(f"without_{name}") == 0, name) for name in sets])
     # Rejected lines have no keys: they are counted once, with the totals.
-    kept = (F.col("dim") == "method_status") | ~F.coalesce(
-        F.col("endpoint"), F.col("ip"), F.col("family")
-    ).isNull()
-    return counted.withColumn("dim", dim).filter(kept).select(*ROLLUP_KEYS, *ROLLUP_SUMS)
+    key = F.coalesce("endpoint", "ip", "family")
+    kept = (F.col("dim") == "method_status") | key.isNotNull()
+    return counted.withColumn("dim", dim).filter(kept).select(*parts, *ROLLUP_KEYS, *ROLLUP_SUMS)
 
 
 def merge_rollups(*rollups: DataFrame) -> DataFrame:

@@ -12,12 +12,13 @@ MARGINS = [0.0005, 0.005, 0.05, 0.5]
 SKETCH_ACCURACY = 100_000
 
 
-def exact_median(df: DataFrame, value: Column) -> float | None:
-    """The exact median (mean of the two middle values), without one task sorting everything.
+def median_row(df: DataFrame, value: Column) -> DataFrame:
+    """One row (``median``): the exact median, without one task sorting everything.
 
-    A sketch of bounded size proposes brackets around the middle, exact counts
-    pick the narrowest bracket that holds the middle ranks, and only the distinct
-    values in that bracket, normally a thousandth of them, are put in order.
+    With an even number of values it is the mean of the two in the middle. A sketch
+    of bounded size proposes brackets around the middle, exact counts pick the
+    narrowest bracket that holds the middle ranks, and only the distinct values in
+    that bracket, normally a thousandth of them, are put in order.
     """
     values = df.select(value.alias("x"))
     shares = [share for margin in MARGINS for share in (0.5 - margin, 0.5 + margin)]
@@ -26,7 +27,7 @@ def exact_median(df: DataFrame, value: Column) -> float | None:
     ).first()
     n, cuts = sketch["n"], sketch["cuts"]
     if n == 0:
-        return None
+        return values.agg(F.max("x").cast("double").alias("median"))
     brackets = list(zip(cuts[::2], cuts[1::2]))
     x = F.col("x")
     exact = values.agg(
@@ -46,7 +47,11 @@ def exact_median(df: DataFrame, value: Column) -> float | None:
         .withColumn("rank", skipped + F.sum("copies").over(Window.orderBy("x")))
     )
     middle = ranked.filter((F.col("rank") >= lower) & (F.col("rank") - F.col("copies") < upper))
-    return middle.agg(((F.min("x") + F.max("x")) / 2).alias("median")).first()["median"]
+    return middle.agg(((F.min("x") + F.max("x")) / 2).alias("median"))
+
+
+def exact_median(df: DataFrame, value: Column) -> float | None:
+    return median_row(df, value).first()["median"]
 
 
 def robust_scale(df: DataFrame, column: str) -> float:
