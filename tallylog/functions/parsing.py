@@ -7,6 +7,7 @@ apart again. One ``regexp_extract`` per field would match every line many times.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -54,23 +55,26 @@ _LINE = (
     rf'"(?<referrer>[^"]*+)" "(?<agent>[^"]*+)" (?<millis>[0-9]++){_SPACE}*+$'
 )
 
+# Groups by number: looking up ``${name}`` for every group of every line costs a third more.
+_GROUP = {name: f"${place}" for place, name in enumerate(re.findall(r"\(\?<(\w+)>", _LINE), 1)}
+
 # What the pattern hands over for each line, one text per entry.
 _CHECKED = {
-    "local": "${day}/${month}/${year}:${hour}:${minute}:${second} +0000",
-    "offset": "${sign}${eh}${em}${es}",
-    "method": "${method}",
-    "endpoint": "${endpoint}",
-    "status": "${status}",
-    "bytes": "${bytes}",
-    "millis": "${millis}",
+    "local": "{day}/{month}/{year}:{hour}:{minute}:{second} +0000",
+    "offset": "{sign}{eh}{em}{es}",
+    "method": "{method}",
+    "endpoint": "{endpoint}",
+    "status": "{status}",
+    "bytes": "{bytes}",
+    "millis": "{millis}",
 }
 _OPTIONAL = {
-    "ip": "${ip}",
-    "remote_log_name": "${logname}",
-    "user_id": "${user}",
-    "protocol": "${protocol}",
-    "referrer": "${referrer}",
-    "user_agent": "${agent}",
+    "ip": "{ip}",
+    "remote_log_name": "{logname}",
+    "user_id": "{user}",
+    "protocol": "{protocol}",
+    "referrer": "{referrer}",
+    "user_agent": "{agent}",
 }
 
 
@@ -130,9 +134,8 @@ def parse_access_logs(
     text = {name: F.get(F.col("part"), F.lit(place)) for place, name in enumerate(cuts)}
     # Each step is a projection of its own: later ones use its columns several times,
     # and one huge expression would be too long for the JIT compiler.
-    matched = lines.select(
-        *kept, column, F.split(F.regexp_replace(line, _LINE, "\n".join(cuts.values())), "\n").alias("part")
-    )
+    joined = F.regexp_replace(line, _LINE, "\n".join(cuts.values()).format_map(_GROUP))
+    matched = lines.select(*kept, column, F.split(joined, "\n").alias("part"))
     typed = matched.select(
         "*",
         shift_number(text["offset"]).alias("shift"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import (
@@ -12,10 +12,18 @@ from tallylog.functions.buckets import (
     is_error,
     is_server_error,
     minute_bucket,
+    minute_number,
+    minute_start,
     status_family,
 )
 
-ROLLUP_KEYS = ["dim", "method", "status", "endpoint", "is_error", "ip", "minute", "family"]
+# A rollup row: ``dim`` names what is counted, ``label`` and ``number`` are its key.
+#   dim            label          number
+#   method_status  method         status; both NULL for the rejected lines
+#   endpoint       endpoint       1 for errors (status 400 and above), else 0
+#   ip             address        0
+#   minute         status class   minute number since 1970
+ROLLUP_KEYS = ["dim", "label", "number"]
 ROLLUP_SUMS = ["lines", "response_bytes", "response_time_ms"]
 
 
@@ -73,40 +81,39 @@ def build_rollup(parsed: DataFrame, part: str | None = None) -> DataFrame:
     With ``part``, a column such as the day or the shard of a line, the pass gives one
     rollup per part; ``merge_rollups`` puts them together.
 
-    Four grouping sets carry all of them: (method, status) also has the totals
-    and, in its row of NULLs, the rejected lines. Each task hands on one partial
-    row per key, whatever share of the lines that key holds.
+    Each line gives one short key per dimension, and one pair of partial and final
+    aggregates counts them all. (method, status) also carries the totals and the
+    rejected lines. A task hands on one partial row per key, whatever share of the
+    lines that key holds. GROUPING SETS over the same columns is the same count, but
+    hashes every key column for every dimension.
     """
     parts = [part] if part else []
-    keyed = parsed.select(
-        *parts,
-        "method",
-        "status",
-        "endpoint",
-        is_error(F.col("status")).alias("is_error"),
-        "ip",
-        minute_bucket(F.col("timestamp_utc")).alias("minute"),
-        status_family(F.col("status")).alias("family"),
-        "response_bytes",
-        "response_time_ms",
-    )
-    sets = {
-        "method_status": ["method", "status"],
-        "endpoint": ["endpoint", "is_error"],
-        "ip": ["ip"],
-        "minute": ["minute", "family"],
-    }
-    keys = [name for names in sets.values() for name in names]
-    counted = keyed.groupingSets([parts + names for names in sets.values()], *parts, *keys).agg(
-        *[F.grouping(names[0]).alias(f"without_{dim}") for dim, names in sets.items()],
-        F.count(F.lit(1)).alias("lines"),
-        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
+
+    def key(dim: str, label: Column, number: Column) -> Column:
+        return F.struct(
+            F.lit(dim).alias("dim"), label.alias("label"), number.cast("bigint").alias("number")
+        )
+
+    status, minute = F.col("status"), minute_number(F.col("timestamp_utc"))
+    outcome = key("method_status", F.col("method"), status)
+    keys = F.when(
+        F.col("is_valid"),
+        F.array(
+            outcome,
+            key("endpoint", F.col("endpoint"), is_error(status)),
+            key("ip", F.col("ip"), F.lit(0)),
+            key("minute", status_family(status), minute),
+        ),
+    ).otherwise(F.array(outcome))
+    keyed = parsed.select(*parts, F.explode(keys).alias("key"), *ROLLUP_SUMS[1:])
+    return (
+        keyed.select(*parts, "key.*", *ROLLUP_SUMS[1:])
+        .groupBy(*parts, *ROLLUP_KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
+        )
     )
-    dim = F.coalesce(*[F.when(F.col(f"without_{name}") == 0, name) for name in sets])
-    # Rejected lines have no keys: they are counted once, with the totals.
-    key = F.coalesce("endpoint", "ip", "family")
-    kept = (F.col("dim") == "method_status") | key.isNotNull()
-    return counted.withColumn("dim", dim).filter(kept).select(*parts, *ROLLUP_KEYS, *ROLLUP_SUMS)
 
 
 def merge_rollups(*rollups: DataFrame) -> DataFrame:
@@ -120,38 +127,49 @@ def save_rollup(rollup: DataFrame, path: str, mode: str = "error") -> None:
     rollup.write.mode(mode).partitionBy("dim").parquet(path)
 
 
-def load_rollup(spark, path: str) -> DataFrame:
+def load_rollup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*ROLLUP_KEYS, *ROLLUP_SUMS)
 
 
 def rollup_totals(rollup: DataFrame) -> DataFrame:
     """``totals`` from a rollup."""
-    base = rollup.filter(F.col("dim") == "method_status")
-    valid = F.col("method").isNotNull()
-    return base.agg(
-        F.coalesce(F.sum("lines"), F.lit(0)).alias("processed_lines"),
-        F.coalesce(F.sum(F.when(valid, F.col("lines"))), F.lit(0)).alias("valid_lines"),
-        F.coalesce(F.sum("response_bytes"), F.lit(0)).alias("response_bytes"),
-        F.coalesce(F.sum("response_time_ms"), F.lit(0)).alias("response_time_ms"),
-    ).select("*", *_derived_metrics())
+    lines, valid = F.col("lines"), F.col("label").isNotNull()
+    return (
+        rollup.filter(F.col("dim") == "method_status")
+        .agg(
+            F.coalesce(F.sum(lines), F.lit(0)).alias("processed_lines"),
+            F.coalesce(F.sum(F.when(valid, lines)), F.lit(0)).alias("valid_lines"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
+        )
+        .select("*", *_derived_metrics())
+    )
 
 
 def rollup_counts(rollup: DataFrame, key: str, errors_only: bool = False) -> DataFrame:
     """``count_by`` for method, status, endpoint or ip, from a rollup."""
     dim = "method_status" if key in ("method", "status") else key
-    rows = rollup.filter((F.col("dim") == dim) & F.col(key).isNotNull())
+    value = F.col("number").cast("int") if key == "status" else F.col("label")
+    rows = rollup.filter((F.col("dim") == dim) & F.col("label").isNotNull())
     if errors_only:
-        rows = rows.filter("is_error")
-    return rows.groupBy(key).agg(F.sum("lines").alias("count"))
+        rows = rows.filter("number = 1")
+    if key == "ip" or errors_only:
+        # One row per key already: no shuffle for what may be the largest dimension.
+        return rows.select(value.alias(key), F.col("lines").alias("count"))
+    return rows.groupBy(value.alias(key)).agg(F.sum("lines").alias("count"))
 
 
 def rollup_minutes(rollup: DataFrame) -> DataFrame:
     """``minute_table`` from a rollup."""
-    rows = rollup.filter(F.col("dim") == "minute")
-    return rows.groupBy("minute").agg(
-        F.sum("lines").alias("requests"),
-        *[
-            F.coalesce(F.sum(F.when(F.col("family") == name, F.col("lines"))), F.lit(0)).alias(name)
-            for name in TRENDED_FAMILIES
-        ],
+    lines = F.col("lines")
+    return (
+        rollup.filter(F.col("dim") == "minute")
+        .groupBy("number")
+        .agg(
+            F.sum(lines).alias("requests"),
+            *[
+                F.sum(F.when(F.col("label") == name, lines).otherwise(0)).alias(name)
+                for name in TRENDED_FAMILIES
+            ],
+        )
+        .select(minute_start(F.col("number")).alias("minute"), "requests", *TRENDED_FAMILIES)
     )

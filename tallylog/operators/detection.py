@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import minute_start
 from tallylog.operators.robust import robust_scale
-from tallylog.operators.smoothing import polynomial_order, savgol_smooth, window_length
-from tallylog.operators.spine import Span, error_series, minute_span
+from tallylog.operators.smoothing import savgol_smooth, with_params
+from tallylog.operators.spine import Span, error_series, span_row
 from tallylog.session import cut_lineage
 
 # Defaults and limits of the detection.
@@ -60,15 +60,10 @@ class Detection:
         )
 
 
-def smoothing_window(series_points: int, requested: int, spark) -> tuple[int, int]:
-    """Window length and polynomial order for a series of that many points."""
-    row = (
-        spark.range(1)
-        .select(window_length(F.lit(series_points).cast("bigint"), requested).alias("w"))
-        .select("w", polynomial_order(F.col("w")).alias("p"))
-        .first()
-    )
-    return row["w"], row["p"]
+def smoothing_frame(minutes: DataFrame, requested: int) -> tuple[Span, int, int]:
+    """Span of the series, window length and polynomial order, from one small job."""
+    row = with_params(span_row(minutes), requested).first()
+    return Span(row["first"] or 0, row["points"]), row["window_length"], row["polyorder"]
 
 
 def error_baseline(minutes: DataFrame, span: Span, window: int, order: int) -> DataFrame:
@@ -105,8 +100,7 @@ def detect_anomalies(
     The residuals are stored once, since the median, the deviation and the verdict
     all read them. Only single numbers come to the driver.
     """
-    span = minute_span(minutes)
-    length, order = smoothing_window(span.points, window, minutes.sparkSession)
+    span, length, order = smoothing_frame(minutes, window)
     residuals = cut_lineage(error_residuals(error_baseline(minutes, span, length, order)))
     scale = max(robust_scale(residuals, "residual"), SCALE_FLOOR)
     return Detection(span, length, order, sigma, scale, judge(residuals, span, sigma, scale))

@@ -38,10 +38,13 @@ def polynomial_order(window: Column) -> Column:
 
 def savgol_params(series: DataFrame, requested: int) -> DataFrame:
     """One row (``points``, ``window_length``, ``polyorder``) for a series."""
-    return (
-        series.agg(F.count(F.lit(1)).alias("points"))
-        .withColumn("window_length", window_length(F.col("points"), requested))
-        .withColumn("polyorder", polynomial_order(F.col("window_length")))
+    return with_params(series.agg(F.count(F.lit(1)).alias("points")), requested)
+
+
+def with_params(lengths: DataFrame, requested: int) -> DataFrame:
+    """Adds ``window_length`` and ``polyorder`` to rows with a number of ``points``."""
+    return lengths.withColumn("window_length", window_length(F.col("points"), requested)).withColumn(
+        "polyorder", polynomial_order(F.col("window_length"))
     )
 
 

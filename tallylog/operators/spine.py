@@ -20,15 +20,18 @@ class Span:
     points: int
 
 
+def span_row(minutes: DataFrame) -> DataFrame:
+    """One row (``first``, ``points``); ``first`` is NULL for an empty minute table."""
+    number = minute_number(F.col("minute"))
+    return minutes.agg(F.min(number).alias("first"), F.max(number).alias("last")).select(
+        "first", F.coalesce(F.col("last") - F.col("first") + 1, F.lit(0).cast("bigint")).alias("points")
+    )
+
+
 def minute_span(minutes: DataFrame) -> Span:
     """One small job over the minute table; later plans use both numbers as literals."""
-    edges = minutes.agg(
-        F.min(minute_number(F.col("minute"))).alias("first"),
-        F.max(minute_number(F.col("minute"))).alias("last"),
-    ).first()
-    if edges["first"] is None:
-        return Span(0, 0)
-    return Span(edges["first"], edges["last"] - edges["first"] + 1)
+    row = span_row(minutes).first()
+    return Span(row["first"] or 0, row["points"])
 
 
 def sparse_trend(minutes: DataFrame, span: Span | None = None) -> DataFrame:

@@ -181,7 +181,7 @@ def error_5xx_per_minute(spark, sf_dir):
 
 
 def multi_key_rollup(spark, sf_dir):
-    return _iso(counts.build_rollup(_parsed(spark, sf_dir, report.ROLLUP_FIELDS)))
+    return counts.build_rollup(_parsed(spark, sf_dir, report.ROLLUP_FIELDS))
 
 
 def merge_rollups(spark, sf_dir):
@@ -190,7 +190,7 @@ def merge_rollups(spark, sf_dir):
     counts.build_rollup(parsed, part="part").write.partitionBy("part", "dim").parquet(path)
     stored = spark.read.parquet(path)
     parts = [stored.filter(F.col("part") == k).drop("part") for k in (2, 0, 3, 1)]
-    return _iso(counts.merge_rollups(*parts))
+    return counts.merge_rollups(*parts)
 
 
 def _top(spark, sf_dir, key, n=report.DEFAULT_TOP_N):
@@ -249,22 +249,20 @@ def savgol_coefficients(spark, sf_dir):
 
 
 def reflect_pad(spark, sf_dir):
-    series, span = _series(spark, sf_dir)
-    length, _ = detection.smoothing_window(span.points, WIDE_WINDOW, spark)
-    return smoothing.reflect_pad(series, span.points, length // 2, "errors")
+    minutes = _minutes(spark, sf_dir)
+    span, length, _ = detection.smoothing_frame(minutes, WIDE_WINDOW)
+    return smoothing.reflect_pad(spine.error_series(minutes, span), span.points, length // 2, "errors")
 
 
 def savgol_smooth(spark, sf_dir):
-    series, span = _series(spark, sf_dir)
-    length, order = detection.smoothing_window(span.points, WIDE_WINDOW, spark)
-    return smoothing.savgol_smooth(series, span.points, length, order, "errors")
+    minutes = _minutes(spark, sf_dir)
+    span, length, order = detection.smoothing_frame(minutes, WIDE_WINDOW)
+    return smoothing.savgol_smooth(spine.error_series(minutes, span), span.points, length, order, "errors")
 
 
 def _baseline(spark, sf_dir):
     minutes = _minutes(spark, sf_dir)
-    span = spine.minute_span(minutes)
-    length, order = detection.smoothing_window(span.points, detection.DEFAULT_WINDOW, spark)
-    return detection.error_baseline(minutes, span, length, order)
+    return detection.error_baseline(minutes, *detection.smoothing_frame(minutes, detection.DEFAULT_WINDOW))
 
 
 def _residuals(spark, sf_dir):

@@ -201,20 +201,17 @@ def _top(key: str, n: int, where: str = "true") -> str:
 
 
 _POINT_COLUMNS = f"{_iso_number('m')} AS minute, errors, baseline, threshold, is_anomaly"
+_SUMS = (
+    "count(*) AS lines, CAST(sum(response_bytes) AS BIGINT) AS response_bytes, "
+    "CAST(sum(response_time_ms) AS BIGINT) AS response_time_ms"
+)
 _ROLLUP = f"""
-    SELECT 'method_status' AS dim, method, status, NULL AS endpoint, NULL AS is_error, NULL AS ip,
-        NULL AS minute, NULL AS family, count(*) AS lines, CAST(sum(response_bytes) AS BIGINT) AS response_bytes,
-        CAST(sum(response_time_ms) AS BIGINT) AS response_time_ms FROM valid GROUP BY method, status
-    UNION ALL SELECT 'method_status', NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*), 0, 0
+    SELECT 'method_status' AS dim, method AS label, CAST(status AS BIGINT) AS number, {_SUMS} FROM valid GROUP BY ALL
+    UNION ALL SELECT 'method_status', NULL, NULL, count(*), 0, 0
         FROM judged_lines WHERE reject_reason IS NOT NULL HAVING count(*) > 0
-    UNION ALL SELECT 'endpoint', NULL, NULL, endpoint, status >= 400, NULL, NULL, NULL, count(*),
-        CAST(sum(response_bytes) AS BIGINT), CAST(sum(response_time_ms) AS BIGINT)
-        FROM valid GROUP BY endpoint, status >= 400
-    UNION ALL SELECT 'ip', NULL, NULL, NULL, NULL, ip, NULL, NULL, count(*),
-        CAST(sum(response_bytes) AS BIGINT), CAST(sum(response_time_ms) AS BIGINT) FROM valid GROUP BY ip
-    UNION ALL SELECT 'minute', NULL, NULL, NULL, NULL, NULL, {_iso("minute")}, family, count(*),
-        CAST(sum(response_bytes) AS BIGINT), CAST(sum(response_time_ms) AS BIGINT)
-        FROM valid GROUP BY minute, family"""
+    UNION ALL SELECT 'endpoint', endpoint, CAST(status >= 400 AS BIGINT) AS number, {_SUMS} FROM valid GROUP BY ALL
+    UNION ALL SELECT 'ip', ip, 0, {_SUMS} FROM valid GROUP BY ip
+    UNION ALL SELECT 'minute', family, epoch_us(minute) // 60000000 AS number, {_SUMS} FROM valid GROUP BY ALL"""
 
 _TOP_TABLES = {
     "top_ips": ("ip", _top("ip", 10)),

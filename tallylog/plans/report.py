@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,6 +33,7 @@ from tallylog.session import cut_lineage, shared_path, use_utc
 from tallylog.sources.files import read_lines, source_files
 
 DEFAULT_TOP_N = 10
+WRITES_AT_A_TIME = 4
 # All a rollup needs; the other fields are not even cut out of the line.
 ROLLUP_FIELDS = ["ip", "timestamp_utc", "method", "endpoint", "status", "response_bytes", "response_time_ms"]
 
@@ -50,7 +52,7 @@ class Report:
     methods: DataFrame
     trend: DataFrame
     detection: Detection
-    files: DataFrame | None = None
+    inputs: Sequence[str] | str | None = None
 
     @property
     def family_trends(self) -> DataFrame:
@@ -83,7 +85,7 @@ def report_from_rollup(
     top: int = DEFAULT_TOP_N,
     window: int = DEFAULT_WINDOW,
     sigma: float = DEFAULT_SIGMA,
-    files: DataFrame | None = None,
+    inputs: Sequence[str] | str | None = None,
 ) -> Report:
     """All result tables from a stored rollup; the log lines are not touched again."""
     use_utc(rollup.sparkSession)
@@ -102,7 +104,7 @@ def report_from_rollup(
         methods=top_n(rollup_counts(rollup, "method"), "method", DISTRIBUTION_ROWS),
         trend=sparse_trend(minutes, detection.span),
         detection=detection,
-        files=files,
+        inputs=inputs,
     )
 
 
@@ -124,7 +126,7 @@ def analyze(
 ) -> Report:
     """The report over log files, directories and globs."""
     rollup = rollup_lines(read_lines(spark, inputs), rollup_path)
-    return report_from_rollup(rollup, top, window, sigma, source_files(spark, inputs))
+    return report_from_rollup(rollup, top, window, sigma, inputs)
 
 
 def anomaly_rows(anomalies: DataFrame) -> DataFrame:
@@ -217,11 +219,8 @@ def report_tables(report: Report, runs: DataFrame | None = None) -> dict[str, Da
     return tables
 
 
-def write_report(report: Report, output_dir: str, runs: DataFrame | None = None) -> None:
-    """Writes the CSV tables and the JSON parts, each into a folder below ``output_dir``."""
-    base = output_dir.rstrip("/")
-    for name, table in report_tables(report, runs).items():
-        table.write.mode("overwrite").option("header", "true").csv(f"{base}/{name}")
+def json_parts(report: Report) -> dict[str, DataFrame]:
+    """The JSON datasets by name."""
     parts = {
         "summary": summary_row(report),
         "status_family_trends": report.family_trends.orderBy("family", "minute").select(
@@ -229,7 +228,22 @@ def write_report(report: Report, output_dir: str, runs: DataFrame | None = None)
         ),
         "anomaly_series": series_rows(report.anomaly_series.orderBy("minute")),
     }
-    if report.files is not None:
-        parts["input_files"] = report.files.orderBy("path").select("path")
-    for name, part in parts.items():
-        part.write.mode("overwrite").json(f"{base}/{name}")
+    if report.inputs is not None:
+        files = source_files(report.rollup.sparkSession, report.inputs)
+        parts["input_files"] = files.select("path").orderBy("path")
+    return parts
+
+
+def write_report(report: Report, output_dir: str, runs: DataFrame | None = None) -> None:
+    """Writes the CSV tables and the JSON datasets, each into a folder below ``output_dir``.
+
+    The tables are small and independent, so a few are written at a time.
+    """
+    base = output_dir.rstrip("/")
+    writes = [
+        (table.write.mode("overwrite").option("header", "true").csv, f"{base}/{name}")
+        for name, table in report_tables(report, runs).items()
+    ] + [(part.write.mode("overwrite").json, f"{base}/{name}") for name, part in json_parts(report).items()]
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        for done in [pool.submit(write, path) for write, path in writes]:
+            done.result()

@@ -2,60 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _reader(spark: SparkSession) -> DataFrameReader:
+def _load(spark: SparkSession, inputs: str | Iterable[str], source: str) -> DataFrame:
+    """Opens every file, directory and glob among the inputs that matches something."""
     # With recursive lookup Spark keys its listing by path, so a file reached
     # through several arguments (itself, its directory, a glob) is read once.
-    return spark.read.option("recursiveFileLookup", "true")
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        _reader(spark).text(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
-def existing_inputs(spark: SparkSession, inputs: str | Iterable[str]) -> list[str]:
-    """The given files, directories and globs that match something, first mention kept."""
+    reader = spark.read.format(source).option("recursiveFileLookup", "true")
     wanted = list(dict.fromkeys([inputs] if isinstance(inputs, str) else inputs))
-    if not wanted:
-        raise FileNotFoundError("no input path given")
-    try:
-        _reader(spark).text(wanted)
-        return wanted
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    # Some argument matches nothing: leave those out and keep the others.
-    found = [path for path in wanted if _exists(spark, path)]
-    if not found:
-        raise FileNotFoundError(f"no log file matches {wanted}")
-    return found
-
-
-def read_lines(spark: SparkSession, inputs: str | Sequence[str]) -> DataFrame:
+
+    def opened(paths: list[str]) -> DataFrame | None:
+        try:
+            return reader.load(paths)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    frame = opened(wanted) if wanted else None
+    if frame is None:
+        # Some argument matches nothing: leave it out and keep the others.
+        found = [path for path in wanted if opened([path]) is not None]
+        if not found:
+            raise FileNotFoundError(f"no log file matches {wanted}")
+        frame = opened(found)
+    return frame
+
+
+def read_lines(spark: SparkSession, inputs: str | Iterable[str]) -> DataFrame:
     """One row per text line (``value``); blank lines count, bad UTF-8 is replaced."""
-    lines = _reader(spark).text(existing_inputs(spark, inputs))
+    lines = _load(spark, inputs, "text")
     if not lines.inputFiles():
         raise FileNotFoundError(f"no log file below {inputs}")
     return lines.select(F.make_valid_utf8("value").alias("value"))
 
 
-def source_files(spark: SparkSession, inputs: str | Sequence[str]) -> DataFrame:
+def source_files(spark: SparkSession, inputs: str | Iterable[str]) -> DataFrame:
     """The files behind the inputs (``path``, ``bytes``); their content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(existing_inputs(spark, inputs))
-        .select("path", F.col("length").alias("bytes"))
-    )
+    return _load(spark, inputs, "binaryFile").select("path", F.col("length").alias("bytes"))
