@@ -35,6 +35,9 @@ FIELDS = [
     "response_time_ms",
 ]
 
+# UTC instants from year 1 to year 9999; an offset must not lead out of them.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
 # Unicode white space and the four information separators.
 _SPACE = r"[\s\x1c-\x1f]"
 _WORD = r"[^\s\x1c-\x1f]++"
@@ -42,7 +45,7 @@ _WORD = r"[^\s\x1c-\x1f]++"
 # day/month/year:hour:minute:second offset. Inside the brackets any other text
 # matches too, but leaves these groups empty: such a line has a bad timestamp.
 _TIME = (
-    r"(?: (?=[1-9]/))?+(?<day>[0-9]{1,2})/(?<month>[A-Za-z]{3})/(?<year>[0-9]{4})"
+    r"(?: (?=[1-9]/))?+(?<day>[0-9]{1,2})/(?<month>[A-Za-z]{3})/(?<year>(?!0000)[0-9]{4})"
     r":(?<hour>[0-9]{1,2}):(?<minute>[0-9]{1,2}):(?<second>[0-9]{1,2})"
     rf"{_SPACE}++(?:Z|(?<sign>[+-])(?<eh>[01][0-9]|2[0-3])(?<colon>:?)(?<em>[0-5][0-9])"
     r"(?:\k<colon>(?<es>[0-5][0-9]))?)"
@@ -116,7 +119,8 @@ def utc_instant(local: Column, shift: Column) -> Column:
     east = (
         (shift / 10000).cast("int") * 3600 + (shift % 10000 / 100).cast("int") * 60 + shift % 100
     )
-    return F.timestamp_seconds(F.unix_seconds(clock) - east)
+    seconds = F.unix_seconds(clock) - east
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
 def parse_access_logs(
