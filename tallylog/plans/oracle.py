@@ -267,8 +267,8 @@ def _summary() -> str:
 
 def _synthetic() -> str:
     def draw(stream: int, size: int) -> str:
-        mixed = f"(id % 2147483647 * 48271 + {1 + stream * 7919}) % 2147483647"
-        return f"(({mixed} * 69621 + {stream * 7919}) % 2147483647 % {size})"
+        mixed = f"((id % 2147483647 * 48271 + {1 + stream * 7919}) % 2147483647)"
+        return f"(({mixed} * {mixed} % 2147483647 * 69621 + {stream * 7919}) % 2147483647 % {size})"
 
     def pick(values: list[str], stream: int) -> str:
         listed = ", ".join(f"'{value}'" for value in values)

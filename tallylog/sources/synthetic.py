@@ -26,7 +26,8 @@ BYTE_DRAWS = 12
 def _draw(seed: int, stream: int, size: int) -> Column:
     """A repeatable integer in ``0 .. size - 1`` for this id and stream."""
     mixed = (F.col("id") % PRIME * FACTOR_A + (seed + stream * STREAM_STEP)) % PRIME
-    return (mixed * FACTOR_B + stream * STREAM_STEP) % PRIME % size
+    # The square keeps the streams from being shifted copies of one another.
+    return (mixed * mixed % PRIME * FACTOR_B + stream * STREAM_STEP) % PRIME % size
 
 
 def _pick(values: list[str], seed: int, stream: int) -> Column:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
-import sys
+import os
 import pathlib
+import sys
+import time
 
 import pytest
 from pyspark.sql import SparkSession
@@ -9,6 +11,11 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(pathlib.Path(__file__).resolve().parents[1]))
 
 
+# Collected timestamps come back in the process time zone.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
+
 def local_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
