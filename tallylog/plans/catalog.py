@@ -270,7 +270,9 @@ def _residuals(spark, sf_dir):
 
 
 def residual_median(spark, sf_dir):
-    return robust.median_row(cut_lineage(_residuals(spark, sf_dir)), F.col("residual"))
+    residuals = cut_lineage(_residuals(spark, sf_dir))
+    median = robust.exact_median(residuals, F.col("residual"))
+    return residuals.agg(F.count(F.lit(1)).alias("points")).withColumn("median", F.lit(median).cast("double"))
 
 
 def residual_scale(spark, sf_dir):

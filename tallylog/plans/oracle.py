@@ -381,7 +381,7 @@ ORACLE_SQL: dict[str, str] = {
     "savgol_smooth": _sql("SELECT i, errors, smoothed FROM smoothed", WIDE_WINDOW),
     "error_baseline": _sql("SELECT i, errors, baseline FROM residuals"),
     "error_residuals": _sql("SELECT i, errors, baseline, residual FROM residuals"),
-    "residual_median": _sql("SELECT median FROM center"),
+    "residual_median": _sql("SELECT (SELECT count(*) FROM residuals) AS points, median FROM center"),
     "residual_scale": _sql(
         "SELECT points, round(robust_scale, 9) AS robust_scale, "
         "round(greatest(robust_scale, 1.0::DOUBLE), 9) AS residual_scale FROM scales"

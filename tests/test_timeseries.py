@@ -175,3 +175,20 @@ def test_large_counts_keep_exact_sums(spark):
     values = [10**9 + i % 7 for i in range(2500)]
     found = smoothed(spark, values, 5)
     assert found == pytest.approx([float(x) for x in rules.smooth(values, 5)], rel=1e-15)
+
+
+def test_median_outside_the_proposed_bracket(spark, monkeypatch):
+    # Brackets that miss the middle on purpose: wider ones must still find it.
+    from tallylog.operators import robust
+
+    calls = []
+    original = robust._middle_values
+
+    def shifted(values, low, high, ranks):
+        calls.append((low, high))
+        return original(values, low + (50 if len(calls) == 1 else 0), high + (50 if len(calls) == 1 else 0), ranks)
+
+    monkeypatch.setattr(robust, "_middle_values", shifted)
+    frame = spark.range(1001).select(F.col("id").cast("double").alias("x"))
+    assert exact_median(frame, F.col("x")) == 500.0
+    assert len(calls) == 2
