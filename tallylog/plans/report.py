@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from time import perf_counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,7 @@ class Report:
     trend: DataFrame
     detection: Detection
     inputs: Sequence[str] | str | None = None
+    duration_seconds: float | None = None
 
     @property
     def family_trends(self) -> DataFrame:
@@ -86,6 +88,7 @@ def report_from_rollup(
     window: int = DEFAULT_WINDOW,
     sigma: float = DEFAULT_SIGMA,
     inputs: Sequence[str] | str | None = None,
+    duration_seconds: float | None = None,
 ) -> Report:
     """All result tables from a stored rollup; the log lines are not touched again."""
     use_utc(rollup.sparkSession)
@@ -105,6 +108,7 @@ def report_from_rollup(
         trend=sparse_trend(minutes, detection.span),
         detection=detection,
         inputs=inputs,
+        duration_seconds=duration_seconds,
     )
 
 
@@ -124,9 +128,13 @@ def analyze(
     sigma: float = DEFAULT_SIGMA,
     rollup_path: str | None = None,
 ) -> Report:
-    """The report over log files, directories and globs."""
+    """The report over log files, directories and globs.
+
+    ``duration_seconds`` covers reading, parsing and counting, not the small tables.
+    """
+    start = perf_counter()
     rollup = rollup_lines(read_lines(spark, inputs), rollup_path)
-    return report_from_rollup(rollup, top, window, sigma, inputs)
+    return report_from_rollup(rollup, top, window, sigma, inputs, perf_counter() - start)
 
 
 def anomaly_rows(anomalies: DataFrame) -> DataFrame:
@@ -187,11 +195,12 @@ def summary_row(report: Report) -> DataFrame:
     Trends, anomalies and series grow with the logs' time range, so they are tables
     of their own instead of lists inside this row.
     """
+    duration = F.round(F.lit(report.duration_seconds).cast("double"), 4).alias("duration_seconds")
     meta = report.detection.meta.withColumn("residual_scale", F.round("residual_scale", 4))
     return metrics_rows(report.metrics).select(
         F.current_timestamp().alias("generated_at_utc"),
         F.struct(*[F.lit(value).alias(name) for name, value in report.config.items()]).alias("config"),
-        F.struct("*").alias("metrics"),
+        F.struct(duration, "*").alias("metrics"),
         F.struct(
             _ranked(report.top_ips, "ip").alias("top_ips"),
             _ranked(report.top_endpoints, "endpoint").alias("top_endpoints"),
