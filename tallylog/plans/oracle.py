@@ -266,37 +266,51 @@ def _summary() -> str:
 
 
 def _synthetic() -> str:
-    def draw(stream: int, size: int) -> str:
-        mixed = f"((id % 2147483647 * 48271 + {1 + stream * 7919}) % 2147483647)"
-        return f"(({mixed} * {mixed} % 2147483647 * 69621 + {stream * 7919}) % 2147483647 % {size})"
+    names = ["o1", "o2", "o3", "o4", "second", "method", "endpoint", "status", "referrer", "agent", "millis"]
+    names += [f"byte{n}" for n in range(12)]
+    mask = 2**32 - 1
 
-    def pick(values: list[str], stream: int) -> str:
+    def stage(expression: str) -> str:
+        return ", ".join(f"{expression.replace('#', name)} AS {name}" for name in names)
+
+    start = ", ".join(
+        f"((id & {mask}) + (id >> 32) * 31 + {(31 + place) * 2654435769 % 2**32}) & {mask} AS {name}"
+        for place, name in enumerate(names)
+    )
+    mixed = stage(f"(xor(#, # >> 16) * 73244475) & {mask}")
+
+    def pick(values: list[str], name: str) -> str:
         listed = ", ".join(f"'{value}'" for value in values)
-        return f"[{listed}][{draw(stream, len(values))} + 1]"
+        return f"[{listed}][{name} % {len(values)} + 1]"
 
-    second = f"1514788200 + {draw(4, 1577860200 - 1514788200)}"
-    draws = " + ".join(draw(10 + n, 1000) for n in range(12))
-    agent = f"({draw(9, 10)} + 1)"
+    second = "1514788200 + second % 63072000"
+    sizes = " + ".join(f"byte{n} % 1000" for n in range(12))
+    agent = "(agent % 10 + 1)"
     parts = [
-        " || '.' || ".join(f"CAST({draw(stream, 256)} AS VARCHAR)" for stream in range(4)),
+        "(o1 % 256) || '.' || (o2 % 256) || '.' || (o3 % 256) || '.' || (o4 % 256)",
         "' - - ['",
         f"strftime(make_timestamp(({second} + 19800) * 1000000), '%d/%b/%Y:%I:%M:%S')",
         "' +0530] \"'",
-        pick(["GET", "POST", "PUT", "DELETE"], 5),
+        pick(["GET", "POST", "PUT", "DELETE"], "method"),
         "' '",
-        pick(["/usr", "/usr/admin", "/usr/admin/developer", "/usr/login", "/usr/register"], 6),
+        pick(["/usr", "/usr/admin", "/usr/admin/developer", "/usr/login", "/usr/register"], "endpoint"),
         "' HTTP/1.0\" '",
-        pick(["303", "404", "500", "403", "502", "304", "200"], 7),
+        pick(["303", "404", "500", "403", "502", "304", "200"], "status"),
         "' '",
-        f"CAST((5000000 + ({draws} - 5994) * 50) // 1000 AS VARCHAR)",
+        f"CAST((5000000 + ({sizes} - 5994) * 50) // 1000 AS VARCHAR)",
         "' \"'",
-        pick(["-", "https://www.example.org/start"], 8),
+        pick(["-", "https://www.example.org/start"], "referrer"),
         "'\" \"'",
         f"'ExampleBrowser/' || {agent} || '.0 (build ' || ({agent} * 17) || ')'",
         "'\" '",
-        f"CAST({draw(30, 5000)} + 1 AS VARCHAR)",
+        "CAST(millis % 5000 + 1 AS VARCHAR)",
     ]
-    return f"SELECT id, {' || '.join(parts)} AS value FROM (SELECT event_id AS id FROM events)"
+    return (
+        f"WITH s0 AS (SELECT id, {start} FROM (SELECT event_id AS id FROM events)), "
+        f"s1 AS (SELECT id, {mixed} FROM s0), s2 AS (SELECT id, {mixed} FROM s1), "
+        f"s3 AS (SELECT id, {stage('xor(#, # >> 16)')} FROM s2) "
+        f"SELECT id, {' || '.join(parts)} AS value FROM s3"
+    )
 
 
 _FIELDS = """ip, remote_log_name, user_id, {ts} AS timestamp_utc, method, endpoint, protocol, status,

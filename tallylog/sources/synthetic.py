@@ -15,23 +15,37 @@ FIRST_SECOND = 1514788200  # 2018-01-01 12:00:00 +0530
 LAST_SECOND = 1577860200  # 2020-01-01 12:00:00 +0530
 MAX_MILLIS = 5000
 
-# Parameters of the integer mixing; small enough that BIGINT products never overflow.
-PRIME = 2147483647
-FACTOR_A = 48271
-FACTOR_B = 69621
-STREAM_STEP = 7919
-BYTE_DRAWS = 12
+# The independent draws behind a line. Twelve of them add up to its size.
+BYTE_DRAWS = [f"byte{n}" for n in range(12)]
+DRAWS = ["o1", "o2", "o3", "o4", "second", "method", "endpoint", "status", "referrer", "agent", "millis", *BYTE_DRAWS]
 
+# Parameters of a 32-bit mixing function; BIGINT products cannot overflow.
+MASK = 0xFFFFFFFF
+STEP = 0x9E3779B9
+FACTOR = 0x45D9F3B
 
-def _draw(seed: int, stream: int, size: int) -> Column:
-    """A repeatable integer in ``0 .. size - 1`` for this id and stream."""
-    mixed = (F.col("id") % PRIME * FACTOR_A + (seed + stream * STREAM_STEP)) % PRIME
-    # The square keeps the streams from being shifted copies of one another.
-    return (mixed * mixed % PRIME * FACTOR_B + stream * STREAM_STEP) % PRIME % size
 
+def _folded(draw: str) -> Column:
+    return F.col(draw).bitwiseXOR(F.shiftright(draw, 16))
 
-def _pick(values: list[str], seed: int, stream: int) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), (_draw(seed, stream, len(values)) + 1).cast("int"))
+
+def _draw_numbers(ids: DataFrame, seed: int) -> DataFrame:
+    """Adds a repeatable number of 32 bits per draw; each mixing round is one projection."""
+    start = F.col("id").bitwiseAND(F.lit(MASK)) + F.shiftright("id", 32) * 31
+    drawn = ids.select(
+        "id",
+        *[
+            (start + (seed * 31 + place) * STEP % (MASK + 1)).bitwiseAND(F.lit(MASK)).alias(draw)
+            for place, draw in enumerate(DRAWS)
+        ],
+    )
+    for _ in range(2):
+        drawn = drawn.select("id", *[(_folded(draw) * FACTOR).bitwiseAND(F.lit(MASK)).alias(draw) for draw in DRAWS])
+    return drawn.select("id", *[_folded(draw).alias(draw) for draw in DRAWS])
+
+
+def _pick(values: list[str], draw: str) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (F.col(draw) % len(values) + 1).cast("int"))
 
 
 def synthesize_lines(ids: DataFrame, seed: int = 1) -> DataFrame:
@@ -40,32 +54,31 @@ def synthesize_lines(ids: DataFrame, seed: int = 1) -> DataFrame:
     ``synthesize_lines(spark.range(1_000_000)).select("value").write.text(path)``
     writes a log of a million lines, in parallel and the same on every run.
     """
-    octets = [_draw(seed, stream, 256) for stream in range(4)]
-    second = F.lit(FIRST_SECOND) + _draw(seed, 4, LAST_SECOND - FIRST_SECOND)
+    octets = [(F.col(draw) % 256).cast("string") for draw in DRAWS[:4]]
+    second = FIRST_SECOND + F.col("second") % (LAST_SECOND - FIRST_SECOND)
     # The sum of twelve uniform draws stands in for a normal variate: mean 5000, deviation 50.
-    draws = sum((_draw(seed, 10 + n, 1000) for n in range(BYTE_DRAWS)), F.lit(0))
-    size = F.expr("div(numerator, 1000)")
-    local = F.timestamp_seconds(second + 19800)
-    return ids.select("id", (5_000_000 + (draws - 5994) * 50).alias("numerator")).select(
+    sizes = sum((F.col(draw) % 1000 for draw in BYTE_DRAWS), F.lit(0))
+    size = F.floor((5_000_000 + (sizes - 5994) * 50) / 1000)
+    return _draw_numbers(ids, seed).select(
         "id",
         F.concat(
-            F.concat_ws(".", *[octet.cast("string") for octet in octets]),
+            F.concat_ws(".", *octets),
             F.lit(" - - ["),
             # A 12-hour clock without AM/PM, as the logs this imitates have it.
-            F.date_format(local, "dd/MMM/yyyy:hh:mm:ss"),
+            F.date_format(F.timestamp_seconds(second + 19800), "dd/MMM/yyyy:hh:mm:ss"),
             F.lit(' +0530] "'),
-            _pick(METHODS, seed, 5),
+            _pick(METHODS, "method"),
             F.lit(" "),
-            _pick(ENDPOINTS, seed, 6),
+            _pick(ENDPOINTS, "endpoint"),
             F.lit(' HTTP/1.0" '),
-            _pick(STATUSES, seed, 7),
+            _pick(STATUSES, "status"),
             F.lit(" "),
             size.cast("string"),
             F.lit(' "'),
-            _pick(REFERRERS, seed, 8),
+            _pick(REFERRERS, "referrer"),
             F.lit('" "'),
-            _pick(AGENTS, seed, 9),
+            _pick(AGENTS, "agent"),
             F.lit('" '),
-            (_draw(seed, 30, MAX_MILLIS) + 1).cast("string"),
+            (F.col("millis") % MAX_MILLIS + 1).cast("string"),
         ).alias("value"),
     )
