@@ -96,7 +96,6 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", f"{scratch}/shared")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -23,7 +23,7 @@ from tallylog.functions.parsing import (
     valid_records,
 )
 from tallylog.operators import counts, detection, robust, runs, sampling, smoothing, spine, topk
-from tallylog.plans import report
+from tallylog.plans import charts, report
 from tallylog.plans.event_logs import event_lines
 from tallylog.session import cut_lineage, shared_path, use_utc
 from tallylog.sources.files import read_lines, source_files
@@ -314,10 +314,13 @@ def anomaly_series_sampled(spark, sf_dir):
     return _iso(_sampled(spark, sf_dir)).select("minute", "errors", "baseline", "threshold", "is_anomaly")
 
 
-def trend_sampled(spark, sf_dir):
+def _trend_sample(spark, sf_dir) -> DataFrame:
     trend = spine.sparse_trend(_minutes(spark, sf_dir)).withColumn("number", minute_number(F.col("minute")))
-    chosen = sampling.sample_evenly(trend, "number", trend.count(), SAMPLE_POINTS)
-    return _iso(chosen.drop("number")).withColumnsRenamed(
+    return sampling.sample_evenly(trend, "number", trend.count(), SAMPLE_POINTS).drop("number")
+
+
+def trend_sampled(spark, sf_dir):
+    return _iso(_trend_sample(spark, sf_dir)).withColumnsRenamed(
         {name: f"requests_{name}" for name in spine.COUNTS[1:]}
     )
 
@@ -339,6 +342,25 @@ def anomalies_first_page(spark, sf_dir):
     return _iso(sampling.first_page(_detect(spark, sf_dir, LOW_SIGMA).anomalies))
 
 
+# Chart tables
+
+
+def chart_bars(spark, sf_dir):
+    return charts.bar_feed(top_error_endpoints(spark, sf_dir), "endpoint")
+
+
+def chart_status_share(spark, sf_dir):
+    return charts.share_feed(_top(spark, sf_dir, "status", topk.DISTRIBUTION_ROWS), "status")
+
+
+def chart_trend_lines(spark, sf_dir):
+    return _iso(charts.trend_feed(_trend_sample(spark, sf_dir)))
+
+
+def chart_anomaly_lines(spark, sf_dir):
+    return _iso(charts.anomaly_feed(_plot_points(spark, sf_dir)))
+
+
 # Runs and reports
 
 
@@ -475,6 +497,10 @@ QUERIES: dict[str, Query] = {
     "anomaly_plot_points": anomaly_plot_points,
     "anomaly_overlay": anomaly_overlay,
     "anomalies_first_page": anomalies_first_page,
+    "chart_bars": chart_bars,
+    "chart_status_share": chart_status_share,
+    "chart_trend_lines": chart_trend_lines,
+    "chart_anomaly_lines": chart_anomaly_lines,
     "run_speedup": run_speedup,
     "report_metrics": report_metrics,
     "report_summary": report_summary,

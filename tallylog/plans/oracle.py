@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from tallylog.plans.catalog import LOW_SIGMA, REQUESTED_WINDOWS, SAMPLE_POINTS, WIDE_WINDOW
 
+# Fixed value: the extended log format, in the syntax of DuckDB's patterns.
 _PATTERN = (
     r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "([A-Za-z]+) (\S+) ([^"]+)" '
     r'(\d{3}) (\S+) "([^"]*)" "([^"]*)" (\d+)$'
@@ -313,6 +314,11 @@ def _synthetic() -> str:
     )
 
 
+_TREND_SAMPLE = (
+    f"(places <= {SAMPLE_POINTS} OR place % greatest(1, places // {SAMPLE_POINTS}) = 0 OR place = places - 1)"
+)
+_TREND_LINES = {"all": "requests"} | {family: f"requests_{family}" for family in ("2xx", "3xx", "4xx", "5xx")}
+
 _FIELDS = """ip, remote_log_name, user_id, {ts} AS timestamp_utc, method, endpoint, protocol, status,
     response_bytes, referrer, user_agent, response_time_ms"""
 _NULL_FIELDS = ", ".join(["NULL"] * 12)
@@ -414,8 +420,7 @@ ORACLE_SQL: dict[str, str] = {
     "anomaly_series_sampled": _sql(f"SELECT {_POINT_COLUMNS} FROM sampled"),
     "trend_sampled": _sql(
         f"SELECT {_iso_number('m')} AS minute, requests, requests_2xx, requests_3xx, requests_4xx, requests_5xx "
-        f"FROM trend WHERE places <= {SAMPLE_POINTS} OR place % greatest(1, places // {SAMPLE_POINTS}) = 0 "
-        "OR place = places - 1"
+        f"FROM trend WHERE {_TREND_SAMPLE}"
     ),
     "anomaly_plot_points": _sql(f"SELECT {_POINT_COLUMNS} FROM plotted"),
     "anomaly_overlay": _sql(f"SELECT {_iso_number('m')} AS minute, errors FROM plotted WHERE is_anomaly"),
@@ -424,6 +429,25 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) OVER () AS total FROM verdicts WHERE is_anomaly ORDER BY m LIMIT 25",
         sigma=LOW_SIGMA,
     ),
+    "chart_bars": _sql(
+        "SELECT CAST(row_number() OVER (ORDER BY count, endpoint DESC) AS INTEGER) AS place, endpoint AS key, count "
+        f"FROM ({_TOP_TABLES['top_error_endpoints'][1]})"
+    ),
+    "chart_status_share": _sql(
+        f"SELECT status AS key, count, count / sum(count) OVER () AS share FROM ({_TOP_TABLES['status_codes'][1]})"
+    ),
+    "chart_trend_lines": _sql(
+        "\nUNION ALL ".join(
+            f"SELECT {_iso_number('m')} AS minute, '{line}' AS line, {column} AS requests FROM trend WHERE {_TREND_SAMPLE}"
+            for line, column in _TREND_LINES.items()
+        )
+    ),
+    "chart_anomaly_lines": _sql(
+        "\nUNION ALL ".join(
+            f"SELECT {_iso_number('m')} AS minute, '{line}' AS line, CAST({line} AS DOUBLE) AS value FROM plotted"
+            for line in ("errors", "baseline", "threshold")
+        )
+    ),
     "run_speedup": """
         WITH runs AS (SELECT o_orderkey AS pos, greatest(1, o_custkey % 16) AS workers,
                 o_totalprice AS duration_seconds, o_orderkey AS processed_lines FROM orders),

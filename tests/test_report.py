@@ -16,6 +16,7 @@ from tallylog.operators.runs import run_speedup
 from tallylog.operators.spine import sparse_trend
 from tallylog.operators.topk import top_n
 from tallylog.plans import report as reports
+from tallylog.plans.charts import write_charts
 from tallylog.session import shared_dir
 from tallylog.sources.files import source_files
 from tallylog.sources.synthetic import synthesize_lines
@@ -225,12 +226,21 @@ def test_synthetic_lines_are_valid_and_repeatable(spark):
     assert parsed.select("ip").distinct().count() > 1990
 
 
-def test_chart_feeds(spark):
+def test_chart_feeds(spark, tmp_path):
     lines = spark.createDataFrame([(text,) for text in GOLDEN_LINES], "value STRING")
     report = reports.report_from_rollup(counts.build_rollup(parse_access_logs(lines, reports.ROLLUP_FIELDS)))
     assert report.plot_trend(2).count() == 3
     assert report.plot_anomalies(10, 20).count() == 16  # every 4th of 61, then every 1st
     assert report.anomaly_overlay.count() == 0 and report.first_anomalies.count() == 0
+    write_charts(report, str(tmp_path))
+    bars = read_json(tmp_path / "top_endpoints")
+    assert [row["key"] for row in sorted(bars, key=lambda row: row["place"])] == [
+        "/usr/login", "/usr/admin/developer", "/usr/admin", "/usr/register"
+    ]
+    assert sum(row["share"] for row in read_json(tmp_path / "status_share")) == pytest.approx(1.0)
+    assert len(read_json(tmp_path / "trend_lines")) == 5 * 6
+    assert len(read_json(tmp_path / "anomaly_lines")) == 3 * 61
+    assert read_json(tmp_path / "anomaly_marks") == []
 
 
 class FakeSession:

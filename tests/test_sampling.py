@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallylog.operators.sampling import first_page, sample_anomaly_series, sample_evenly, with_position
-from tests import reference_rules as rules
+from tests import brute_force as rules
 
 
 def points(spark, n, flagged=()):

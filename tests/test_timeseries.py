@@ -17,7 +17,7 @@ from tallylog.operators.smoothing import (
     with_params,
 )
 from tallylog.operators.spine import COUNTS, Span, continuous_minutes, error_series, minute_span, sparse_trend
-from tests import reference_rules as rules
+from tests import brute_force as rules
 
 BASE = 26_297_880  # 2020-01-01 10:00 UTC as a minute number
 
