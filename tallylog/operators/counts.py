@@ -24,11 +24,19 @@ from tallylog.functions.buckets import (
 #   ip             address        0
 #   minute         status class   minute number since 1970
 ROLLUP_KEYS = ["dim", "label", "number"]
-ROLLUP_SUMS = ["lines", "response_bytes", "response_time_ms"]
+# Sums of sizes and times are kept with the totals only; other rows have 0.
+ROLLUP_SUMS = ["response_bytes", "response_time_ms"]
+ROLLUP_COLUMNS = [*ROLLUP_KEYS, "lines", *ROLLUP_SUMS]
+
+
+def _exact_sum(name: str) -> Column:
+    """A sum that no set of BIGINT values can overflow; 0 for no values."""
+    total = F.sum(F.col(name).cast("decimal(38,0)"))
+    return F.coalesce(total, F.lit(0)).cast("decimal(38,0)").alias(name)
 
 
 def _ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
+    return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
 
 def totals(parsed: DataFrame) -> DataFrame:
@@ -36,8 +44,7 @@ def totals(parsed: DataFrame) -> DataFrame:
     return parsed.agg(
         F.count(F.lit(1)).alias("processed_lines"),
         F.count_if("is_valid").alias("valid_lines"),
-        F.coalesce(F.sum("response_bytes"), F.lit(0)).alias("response_bytes"),
-        F.coalesce(F.sum("response_time_ms"), F.lit(0)).alias("response_time_ms"),
+        *map(_exact_sum, ROLLUP_SUMS),
     ).select("*", *_derived_metrics())
 
 
@@ -89,13 +96,16 @@ def build_rollup(parsed: DataFrame, part: str | None = None) -> DataFrame:
     """
     parts = [part] if part else []
 
-    def key(dim: str, label: Column, number: Column) -> Column:
+    def key(dim: str, label: Column, number: Column, summed: bool = False) -> Column:
         return F.struct(
-            F.lit(dim).alias("dim"), label.alias("label"), number.cast("bigint").alias("number")
+            F.lit(dim).alias("dim"),
+            label.alias("label"),
+            number.cast("bigint").alias("number"),
+            *[(F.col(name) if summed else F.lit(None)).cast("bigint").alias(name) for name in ROLLUP_SUMS],
         )
 
     status, minute = F.col("status"), minute_number(F.col("timestamp_utc"))
-    outcome = key("method_status", F.col("method"), status)
+    outcome = key("method_status", F.col("method"), status, summed=True)
     keys = F.when(
         F.col("is_valid"),
         F.array(
@@ -105,21 +115,18 @@ def build_rollup(parsed: DataFrame, part: str | None = None) -> DataFrame:
             key("minute", status_family(status), minute),
         ),
     ).otherwise(F.array(outcome))
-    keyed = parsed.select(*parts, F.explode(keys).alias("key"), *ROLLUP_SUMS[1:])
     return (
-        keyed.select(*parts, "key.*", *ROLLUP_SUMS[1:])
+        parsed.select(*parts, F.explode(keys).alias("key"))
+        .select(*parts, "key.*")
         .groupBy(*parts, *ROLLUP_KEYS)
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
-        )
+        .agg(F.count(F.lit(1)).alias("lines"), *map(_exact_sum, ROLLUP_SUMS))
     )
 
 
 def merge_rollups(*rollups: DataFrame) -> DataFrame:
     """The rollup of all parts together, whatever their order and split."""
     together = reduce(DataFrame.unionByName, rollups)
-    return together.groupBy(*ROLLUP_KEYS).agg(*[F.sum(name).alias(name) for name in ROLLUP_SUMS])
+    return together.groupBy(*ROLLUP_KEYS).agg(F.sum("lines").alias("lines"), *map(_exact_sum, ROLLUP_SUMS))
 
 
 def save_rollup(rollup: DataFrame, path: str, mode: str = "error") -> None:
@@ -128,7 +135,7 @@ def save_rollup(rollup: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def load_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*ROLLUP_KEYS, *ROLLUP_SUMS)
+    return spark.read.parquet(path).select(*ROLLUP_COLUMNS)
 
 
 def rollup_totals(rollup: DataFrame) -> DataFrame:
@@ -139,7 +146,7 @@ def rollup_totals(rollup: DataFrame) -> DataFrame:
         .agg(
             F.coalesce(F.sum(lines), F.lit(0)).alias("processed_lines"),
             F.coalesce(F.sum(F.when(valid, lines)), F.lit(0)).alias("valid_lines"),
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ROLLUP_SUMS[1:]],
+            *map(_exact_sum, ROLLUP_SUMS),
         )
         .select("*", *_derived_metrics())
     )

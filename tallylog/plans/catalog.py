@@ -154,8 +154,14 @@ def status_families(spark, sf_dir):
     return counts.count_by(_records(spark, sf_dir, ["status"]), status_family(F.col("status")), "family")
 
 
+def _bigint_sums(df: DataFrame) -> DataFrame:
+    """Sums are wide decimals; these tables' fit BIGINT, the type of the SQL side."""
+    return df.withColumns({name: F.col(name).cast("bigint") for name in counts.ROLLUP_SUMS})
+
+
 def _total(spark, sf_dir, *columns):
-    return counts.totals(_parsed(spark, sf_dir, ["response_bytes", "response_time_ms"])).select(*columns)
+    totals = counts.totals(_parsed(spark, sf_dir, counts.ROLLUP_SUMS))
+    return _bigint_sums(totals).select(*columns)
 
 
 def _count(spark, sf_dir, key):
@@ -181,7 +187,7 @@ def error_5xx_per_minute(spark, sf_dir):
 
 
 def multi_key_rollup(spark, sf_dir):
-    return counts.build_rollup(_parsed(spark, sf_dir, report.ROLLUP_FIELDS))
+    return _bigint_sums(counts.build_rollup(_parsed(spark, sf_dir, report.ROLLUP_FIELDS)))
 
 
 def merge_rollups(spark, sf_dir):
@@ -190,7 +196,7 @@ def merge_rollups(spark, sf_dir):
     counts.build_rollup(parsed, part="part").write.partitionBy("part", "dim").parquet(path)
     stored = spark.read.parquet(path)
     parts = [stored.filter(F.col("part") == k).drop("part") for k in (2, 0, 3, 1)]
-    return counts.merge_rollups(*parts)
+    return _bigint_sums(counts.merge_rollups(*parts))
 
 
 def _top(spark, sf_dir, key, n=report.DEFAULT_TOP_N):
@@ -378,7 +384,7 @@ def run_speedup(spark, sf_dir):
 
 def report_metrics(spark, sf_dir):
     rollup = counts.build_rollup(_parsed(spark, sf_dir, report.ROLLUP_FIELDS))
-    return counts.rollup_totals(rollup)
+    return _bigint_sums(counts.rollup_totals(rollup))
 
 
 def _written_report(spark, sf_dir) -> str:

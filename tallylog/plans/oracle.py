@@ -210,9 +210,9 @@ _ROLLUP = f"""
     SELECT 'method_status' AS dim, method AS label, CAST(status AS BIGINT) AS number, {_SUMS} FROM valid GROUP BY ALL
     UNION ALL SELECT 'method_status', NULL, NULL, count(*), 0, 0
         FROM judged_lines WHERE reject_reason IS NOT NULL HAVING count(*) > 0
-    UNION ALL SELECT 'endpoint', endpoint, CAST(status >= 400 AS BIGINT) AS number, {_SUMS} FROM valid GROUP BY ALL
-    UNION ALL SELECT 'ip', ip, 0, {_SUMS} FROM valid GROUP BY ip
-    UNION ALL SELECT 'minute', family, epoch_us(minute) // 60000000 AS number, {_SUMS} FROM valid GROUP BY ALL"""
+    UNION ALL SELECT 'endpoint', endpoint, CAST(status >= 400 AS BIGINT) AS number, count(*), 0, 0 FROM valid GROUP BY ALL
+    UNION ALL SELECT 'ip', ip, 0, count(*), 0, 0 FROM valid GROUP BY ip
+    UNION ALL SELECT 'minute', family, epoch_us(minute) // 60000000 AS number, count(*), 0, 0 FROM valid GROUP BY ALL"""
 
 _TOP_TABLES = {
     "top_ips": ("ip", _top("ip", 10)),

@@ -157,6 +157,17 @@ def test_one_key_with_most_lines(spark):
     assert (top["ip"], top["count"]) == ("10.0.0.1", 3002)
 
 
+def test_sums_beyond_64_bits(spark):
+    largest = 2**63 - 1
+    huge = GOLDEN_LINES[0].replace(" 1200 ", f" {largest} ")
+    parsed = parse_access_logs(spark.createDataFrame([(huge,)] * 5, "value STRING"), reports.ROLLUP_FIELDS)
+    rollup = counts.build_rollup(parsed)
+    for frame in (counts.totals(parsed), counts.rollup_totals(counts.merge_rollups(rollup, rollup))):
+        row = frame.first()
+        assert row["response_bytes"] == largest * row["valid_lines"]
+        assert row["average_response_bytes"] == float(largest)
+
+
 def test_nothing_valid(spark):
     parsed = parse_access_logs(spark.createDataFrame([("x",), ("",)], "value STRING"), reports.ROLLUP_FIELDS)
     for frame in (counts.totals(parsed), counts.rollup_totals(counts.build_rollup(parsed))):
