@@ -2,6 +2,7 @@
 
 from tallylog.functions.parsing import parse_access_logs, valid_records
 from tallylog.operators.detection import detect_anomalies
+from tallylog.plans.charts import write_charts
 from tallylog.plans.report import analyze, write_report
 from tallylog.sources.files import read_lines
 
@@ -11,5 +12,6 @@ __all__ = [
     "parse_access_logs",
     "read_lines",
     "valid_records",
+    "write_charts",
     "write_report",
 ]
