@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import datetime as dt
 import random
 
 import pytest
@@ -10,7 +9,6 @@ from tallylog.functions.buckets import minute_number
 from tallylog.operators.detection import detect_anomalies, judge
 from tallylog.operators.robust import exact_median, robust_scale
 from tallylog.operators.smoothing import (
-    polynomial_order,
     savgol_coefficients,
     savgol_smooth,
     window_length,
