@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,19 +14,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else a folder of the warehouse."""
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="tallylog-")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallylog-tables"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
-    return configured or context.getCheckpointDir()
+    return configured
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
