@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylog.llm import quality
+from tallylog.llm import jaccard_join, pii, quality
 from tallylog.llm.common import table
 from tallylog.llm.oracle import ORACLE_SQL
 
@@ -15,6 +15,17 @@ def op2_quality_rules(spark, sf_dir):
     return report.select(*columns, "base_failed", "kept")
 
 
+def op5_jaccard_join(spark, sf_dir):
+    found = jaccard_join.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
+def op10_pii(spark, sf_dir):
+    return pii.span_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op5_jaccard_join": op5_jaccard_join,
+    "op10_pii": op10_pii,
 }
