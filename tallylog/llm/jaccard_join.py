@@ -39,7 +39,8 @@ from tallylog.llm.common import boxed, cut_lineage
 from tallylog.llm.components import components
 
 BLOCK = 2048
-_CACHE = 1_000_000
+# Words whose hashes a task remembers.
+_CACHE = 200_000
 _U = np.uint64
 
 
@@ -64,21 +65,32 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
-_words: dict[bytes, int] = {}
+class _Vocabulary(dict):
+    """Numbers of words in the order they are met; ``hashes`` has the hash of each number."""
 
+    def __init__(self):
+        self.hashes = np.empty(_CACHE, _U)
+        self.used = 0
 
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_words) > _CACHE:
-        _words.clear()
-    out = []
-    for word in words:
-        h = _words.get(word)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(word)
-            if len(word) <= 64:
-                _words[word] = h
-        out.append(h)
-    return np.array(out, _U)
+    def __missing__(self, word: bytes) -> int:
+        if self.used == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+        number = self.used
+        self.hashes[number] = xxhash.xxh3_64_intdigest(word)
+        self.used += 1
+        if len(word) <= 64:
+            self[word] = number
+        return number
+
+    def hash_all(self, words: list[bytes]) -> np.ndarray:
+        if self.used > _CACHE:
+            self.clear()
+            self.__init__()
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.hashes[numbers]
+
+
+_vocabulary = _Vocabulary()
 
 
 def shingles(text: bytes | None, words: int) -> np.ndarray:
@@ -87,7 +99,7 @@ def shingles(text: bytes | None, words: int) -> np.ndarray:
     if not found:
         return np.zeros(0, _U)
     width = min(words, len(found))
-    h = _word_hashes(found)
+    h = _vocabulary.hash_all(found)
     count = len(found) - width + 1
     out = _mix(h[:count] + _U(width))
     for k in range(1, width):
@@ -260,19 +272,27 @@ def _joined(rule: Rule):
     return joined
 
 
-def links(docs: DataFrame, described: DataFrame, text: str, rule: Rule, block: int = BLOCK) -> DataFrame:
+def described(texts: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """``doc_id, text_hash, n, node, keys`` of ``doc_id, t``."""
+    each = texts.select("doc_id", F.xxhash64("t").alias("text_hash"), _described(rule, True)("t").alias("d"))
+    return each.select("doc_id", "text_hash", "d.*")
+
+
+def links(docs: DataFrame, known: DataFrame, text: str, rule: Rule, block: int = BLOCK) -> DataFrame:
     """Links ``(a, b)`` between classes that hold every component together."""
-    regions = described.filter("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
+    regions = known.filter("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
     shared = regions.groupBy("key").agg(F.min("node").alias("p"), F.max("node").alias("q")).filter("p != q")
     shared = cut_lineage(shared.select("key", "p"))
-    stars = regions.join(shared, "key").filter("node != p").select("p", F.col("node").alias("x")).distinct()
-    stars = cut_lineage(stars)
+    # The hint keeps one plan at every size: no side of these joins has a bound.
+    stars = regions.join(shared.hint("merge"), "key").filter("node != p")
+    stars = cut_lineage(stars.select("p", F.col("node").alias("x")).distinct())
 
     wanted = stars.select(F.col("x").alias("node")).unionAll(stars.select(F.col("p").alias("node"))).distinct()
-    named = docs.select(F.col(text).cast("string").alias("t")).select("t", _described(rule, False)("t").alias("d"))
-    # One text of each class, chosen before the shuffle wherever its copies meet in a task.
-    texts = named.filter("d.node IS NOT NULL").groupBy(F.col("d.node").alias("node")).agg(F.first("t").alias("t"))
-    texts = cut_lineage(texts.join(wanted, "node", "left_semi"))
+    # One text of each class, found by the hash of the text; equal texts meet before the shuffle.
+    by_hash = known.groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(wanted, "node", "left_semi")
+    texts = docs.select(F.col(text).cast("string").alias("t")).select(F.xxhash64("t").alias("text_hash"), "t")
+    texts = texts.groupBy("text_hash").agg(F.first("t").alias("t")).join(by_hash.hint("merge"), "text_hash")
+    texts = cut_lineage(texts.select("node", "t"))
 
     pairs = stars.join(texts.select(F.col("node").alias("x"), F.col("t").alias("t_x")), "x")
     pairs = pairs.join(texts.select(F.col("node").alias("p"), F.col("t").alias("t_p")), "p")
@@ -303,7 +323,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule
     other columns play no part.
     """
     each = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
-    each = cut_lineage(each.select("doc_id", _described(rule, True)("t").alias("d")).select("doc_id", "d.*"))
+    each = cut_lineage(described(each, rule))
     found = cut_lineage(components(links(docs, each, text, rule)))
     # Documents without words have no class and must not meet in one task: they go round the joins.
     rooted = each.filter("node IS NOT NULL").select("doc_id", "n", "node").join(found, "node", "left")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallylog.llm.licenses import KNOWN, SPELLINGS
+
 _OP2 = r"""
 WITH docs AS (
     SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS text,
@@ -78,4 +80,160 @@ FROM judged j LEFT JOIN (
 ) f ON j.lang IS NOT DISTINCT FROM f.lang AND j.source IS NOT DISTINCT FROM f.source
 """
 
-ORACLE_SQL = {"op2_quality_rules": _OP2}
+
+_OP6 = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+    FROM documents
+), totals AS (
+    SELECT source, CAST(sum(n_tokens) AS DOUBLE) AS tokens, count(*) AS docs, CAST(ceil(count(*) / 1024.0) AS BIGINT) AS blocks
+    FROM docs GROUP BY source
+), rel AS (
+    SELECT tokens / max(tokens) OVER () AS t, count(*) OVER () AS k, max(tokens) OVER () / min(tokens) OVER () AS r
+    FROM totals WHERE tokens > 0
+), spread(step, a) AS (  -- the largest exponent whose weights reach 0.95 of the largest entropy, in 2^-24
+    SELECT 24, 0
+    UNION ALL
+    SELECT step - 1, CASE WHEN ln(sum(pow(t, (a + (1 << (step - 1))) / 16777216.0::DOUBLE)))
+        - (a + (1 << (step - 1))) / 16777216.0::DOUBLE * sum(pow(t, (a + (1 << (step - 1))) / 16777216.0::DOUBLE) * ln(t))
+            / sum(pow(t, (a + (1 << (step - 1))) / 16777216.0::DOUBLE)) >= 0.95 * ln(any_value(k))
+        THEN a + (1 << (step - 1)) ELSE a END
+    FROM spread, rel WHERE step > 0 GROUP BY step, a
+), few(step, a) AS (  -- the largest one that repeats the smallest source more than 4 times
+    SELECT 24, 0
+    UNION ALL
+    SELECT step - 1, CASE WHEN pow(any_value(r), 1 - (a + (1 << (step - 1))) / 16777216.0::DOUBLE) > 4
+        THEN a + (1 << (step - 1)) ELSE a END
+    FROM few, rel WHERE step > 0 GROUP BY step, a
+), whole AS (
+    SELECT -sum(t / z * ln(t / z)) >= 0.95 * ln(any_value(k)) AS flat, any_value(r) <= 4 AS fine
+    FROM rel, (SELECT sum(t) AS z FROM rel)
+), exponent AS (
+    SELECT greatest(CASE WHEN (SELECT flat FROM whole) THEN 16777216 ELSE (SELECT a FROM spread WHERE step = 0) END,
+        CASE WHEN pow((SELECT any_value(r) FROM rel), 1) <= 4 THEN 0 ELSE (SELECT a FROM few WHERE step = 0) + 1 END)
+        / 16777216.0::DOUBLE AS a
+), sources AS (
+    SELECT source, blocks, tokens, CASE WHEN tokens > 0 THEN
+        CAST(floor((pow(tokens / max(tokens) OVER (), a - 1) - 1) * tokens + 0.001) AS BIGINT) ELSE 0 END AS extra
+    FROM totals, exponent
+), epochs AS (
+    SELECT source, blocks, CASE WHEN tokens > 0 THEN extra // CAST(tokens AS BIGINT) ELSE 0 END AS epochs,
+        CASE WHEN tokens > 0 THEN extra % CAST(tokens AS BIGINT) ELSE 0 END AS rest FROM sources
+), shuffled AS (
+    SELECT *, md5('7|block|' || coalesce(source, '') || '|' || block) AS by_block FROM (
+        SELECT d.doc_id, d.source, n_tokens, epochs, rest,
+            md5('7|' || coalesce(d.source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS by_doc,
+            CAST('0x' || substr(md5('7|' || coalesce(d.source, '') || '|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)
+                % blocks AS block
+        FROM docs d JOIN epochs e ON d.source IS NOT DISTINCT FROM e.source)
+), placed AS (
+    SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY by_block, by_doc) AS upto FROM shuffled
+)
+SELECT doc_id, source, n_tokens, block, CAST(1 + epochs + CASE WHEN upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM placed
+"""
+
+
+def _canonical(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '(?m)^[^\\p{{L}}\\p{{N}}\\n]*(?:copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
+    out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    for old, new in SPELLINGS:
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+def _flat(text: str) -> str:
+    return f"trim(regexp_replace({text}, '[ \\n]+', ' ', 'g'))"
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
+_OP8 = f"""
+WITH known AS (
+    SELECT DISTINCT license, {_flat(_canonical("text"))} AS c FROM (VALUES {_KNOWN}) AS t(license, text)
+), docs AS (
+    SELECT row_number() OVER () AS rid, doc_id, {_canonical("text")} AS c FROM documents WHERE text IS NOT NULL
+), paragraphs AS (
+    SELECT rid, doc_id, n, unnest(range(n))::INT AS paragraph, unnest(parts) AS p
+    FROM (SELECT rid, doc_id, parts, len(parts) AS n FROM (
+        SELECT rid, doc_id, string_split_regex(c, '\\n[ \\n]*\\n') AS parts FROM docs))
+), lines AS (
+    SELECT doc_id, paragraph, unnest(range(len(parts)))::INT AS line, unnest(parts) AS p
+    FROM (SELECT doc_id, paragraph, string_split(p, chr(10)) AS parts FROM paragraphs WHERE contains(p, chr(10)))
+), units AS (
+    SELECT doc_id, 'text' AS unit, CAST(NULL AS INT) AS paragraph, CAST(NULL AS INT) AS line, {_flat("c")} AS c FROM docs
+    UNION ALL SELECT doc_id, 'paragraph', paragraph, NULL, {_flat("p")} FROM paragraphs WHERE n > 1
+    UNION ALL SELECT doc_id, 'line', paragraph, line, trim(p) FROM lines
+)
+SELECT doc_id, license, unit, paragraph, line FROM units JOIN known USING (c)
+"""
+
+_SUM97 = (
+    "list_reduce(list_prepend(0, list_transform(string_split(substr(replace(x, ' ', ''), 5) || substr(replace(x, ' ', ''), 1, 4), ''), "
+    "lambda c: CASE WHEN c >= 'A' THEN 100 + ascii(c) - 55 ELSE CAST(c AS INT) END)), "
+    "lambda a, v: CASE WHEN v >= 100 THEN (100 * a + v - 100) % 97 ELSE (10 * a + v) % 97 END)"
+)
+_LUHN = (
+    "list_sum(list_transform(range(1, length({d}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST({d}[length({d}) + 1 - i] AS INT) "
+    "ELSE (2 * CAST({d}[length({d}) + 1 - i] AS INT)) // 10 + (2 * CAST({d}[length({d}) + 1 - i] AS INT)) % 10 END)) % 10 = 0"
+).format(d="regexp_replace(x, '[^0-9]', '', 'g')")
+_NEAR = "lower(substr(t, greatest(1, s - 47), least(s, 48)) || ' ' || substr(t, s + length(x) + 1, 48))"
+# kind: (pattern, condition on the match x that starts at s of the text t)
+_PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "TRUE"),
+    "ip": (
+        r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+",
+        "len(list_filter(string_split(x, '.'), lambda p: length(ltrim(p, '0')) > 3 OR CAST(right(p, 3) AS INT) > 255)) = 0",
+    ),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", f"length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 14 AND 19 AND {_LUHN}"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 10 AND 15"),
+    "iban": (
+        r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?",
+        f"length(replace(x, ' ', '')) BETWEEN 15 AND 34 AND {_SUM97} = 1",
+    ),
+    "national_id": (
+        r"[0-9]+(?:-[0-9]+)+",
+        r"regexp_matches(x, '^[0-9]{3}-[0-9]{2}-[0-9]{4}$') AND NOT regexp_matches(x, '^(?:000|666|9)|-00-|-0000$') "
+        f"AND regexp_matches({_NEAR}, 'ssn|social|security|tax|national') AND NOT regexp_matches({_NEAR}, 'order|invoice|version|model')",
+    ),
+    "local_phone": (
+        r"[0-9]+(?:[\x20.-][0-9]+)+",
+        r"regexp_matches(x, '^[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}$') "
+        f"AND regexp_matches({_NEAR}, 'phone|tel|call|mobile|fax|contact') "
+        f"AND NOT regexp_matches({_NEAR}, 'order|invoice|version|model|serial')",
+    ),
+    "secret": (
+        r"AKIA[A-Z0-9]{16}|(?:password|passwd|api_key|secret|token)=[^\x20\x09-\x0D]+",
+        f"(x LIKE 'AKIA%' OR length(regexp_replace(x, '^.*=', '')) >= 8) AND NOT regexp_matches({_NEAR}, 'example|placeholder|dummy')",
+    ),
+}
+_PII_ROWS = " UNION ALL ".join(
+    f"""
+    SELECT rid, s, s + length(x) AS e, {k} AS k, '{kind}' AS kind FROM (
+        SELECT rid, t, unnest(m) AS x, unnest(list_transform(range(1, len(m) + 1), lambda i:
+            CAST(list_sum(list_transform(g[1:i], lambda v: length(v))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda v: length(v))), 0) AS BIGINT))) AS s
+        FROM (SELECT rid, t, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS g FROM docs)
+        WHERE len(m) > 0
+    ) WHERE {condition}"""
+    for k, (kind, (pattern, condition)) in enumerate(_PII.items())
+)
+_OP10 = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({_PII_ROWS}),
+listed AS (
+    SELECT rid, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+        count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) FILTER (k < 4) AS base,
+        string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS spans
+    FROM found GROUP BY rid
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+    coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (rid)
+"""
+
+ORACLE_SQL = {
+    "op2_quality_rules": _OP2,
+    "op6_source_mixture": _OP6,
+    "op8_license_scan": _OP8,
+    "op10_pii": _OP10,
+}

@@ -75,7 +75,7 @@ KINDS = (
     ),
     Kind(
         "national_id",
-        r"[0-9]++(?:-[0-9]++)++",
+        r"(?<![0-9])[0-9]++(?:-[0-9]++)++",
         "contains(t, '-')",
         "x RLIKE '^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$'",
         0.3,
@@ -84,7 +84,7 @@ KINDS = (
     ),
     Kind(
         "local_phone",
-        r"[0-9]++(?:[\x20.-][0-9]++)++",
+        r"(?<![0-9])[0-9]++(?:[\x20.-][0-9]++)++",
         "true",
         "x RLIKE '^[2-9][0-9]{2}[ .-][0-9]{3}[ .-][0-9]{4}$'",
         0.3,
@@ -159,7 +159,8 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         for kind in KINDS
         for expr in (
             f"m_{kind.name}",
-            f"transform(m_{kind.name}, (x, i) -> length(g_{kind.name}[i]) + length(x)) AS s_{kind.name}",
+            # One step more than matches: the rest of the text. Outside a lambda each array is made once.
+            f"zip_with(g_{kind.name}, m_{kind.name}, (g, x) -> length(g) + coalesce(length(x), 0)) AS s_{kind.name}",
         )
     ]
     each = each.selectExpr("row", "t", *steps)

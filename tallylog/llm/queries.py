@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tallylog.llm import jaccard_join, pii, quality
+import public_tokenizers
+
+from tallylog.llm import jaccard_join, licenses, mixing, packing, pii, quality
 from tallylog.llm.common import table
 from tallylog.llm.oracle import ORACLE_SQL
 
@@ -15,17 +17,34 @@ def op2_quality_rules(spark, sf_dir):
     return report.select(*columns, "base_failed", "kept")
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    _, places = packing.pack(table(spark, sf_dir, "documents"), path)
+    return places
+
+
 def op5_jaccard_join(spark, sf_dir):
     found = jaccard_join.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_source_mixture(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark, sf_dir):
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_source_mixture": op6_source_mixture,
+    "op8_license_scan": op8_license_scan,
     "op10_pii": op10_pii,
 }

@@ -89,9 +89,7 @@ def test_families_against_all_pairs(spark, seed):
 def test_parts_of_a_large_cluster(spark):
     rows = list(enumerate(family(5, 150, 120, 7)))
     docs = spark.createDataFrame([(k, t, "x") for k, t in rows], SCHEMA)
-    whole = jaccard_join.cut_lineage(
-        docs.select("doc_id", jaccard_join._described(jaccard_join.Rule(), True)("text").alias("d")).select("doc_id", "d.*")
-    )
+    whole = jaccard_join.cut_lineage(jaccard_join.described(docs.withColumnRenamed("text", "t")))
     roots = []
     for block in (16, 10_000):
         links = jaccard_join.links(docs, whole, "text", jaccard_join.Rule(), block)
