@@ -27,7 +27,9 @@ CAPACITY = 4096
 END = 1
 # Pieces of one length and number block that are put in order in one task, about.
 NUMBERED = 50_000
-_CACHE = 400_000
+# Words whose ids a task remembers, and texts that it encodes together.
+_CACHE = 700_000
+_AT_ONCE = 256
 
 _PIECE = T.StructType(
     [
@@ -39,35 +41,66 @@ _PIECE = T.StructType(
 )
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Encoder:
+    """Ids of texts as packed numbers, for a vocabulary that splits at white space and drops it.
 
-    return Tokenizer.from_file(path), {}
+    The ids of a text are then those of its words, and most words have been seen before. New words are encoded
+    together, parted by a lone bar. Case of ASCII letters doesn't matter to the vocabulary, except in its special
+    tokens, so only texts that may hold one keep theirs.
+    """
 
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.known: dict[bytes, bytes] = {}
+        self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids
+
+    def _each(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _together(self, words: list[bytes]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode(b" | ".join(words).decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
+        bars = 4 * np.flatnonzero(ids == self.bar[0])
+        if len(self.bar) != 1 or len(bars) != len(words) - 1:
+            return self._each(words)
+        packed = ids.tobytes()
+        return [packed[a:b] for a, b in zip([0, *(bars + 4).tolist()], [*bars.tolist(), len(packed)])]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Takes in the ids of new words."""
+        parted = {}
+        for word in words:
+            stem = word.rstrip(b".,")
+            # Letters or digits and the full stops after them are separate tokens.
+            if stem != word and stem and stem[-1:].isalnum():
+                parted[word] = (stem, word[len(stem) :])
+        parts = {p for pair in parted.values() for p in pair}
+        plain = [w for w in (words - parted.keys()) | parts if w not in self.known]
+        for group, encode in (([w for w in plain if b"|" not in w], self._together), ([w for w in plain if b"|" in w], self._each)):
+            if group:
+                self.known.update(zip(group, encode(group)))
+        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parted.items())
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        if len(self.known) > _CACHE:
+            self.known.clear()
+        listed = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        new = set().union(*listed).difference(self.known)
+        if new:
+            self.learn(new)
+        out = [b"".join([self.known[w] for w in words]) for words in listed]
+        for word in new:
+            if len(word) > 64:  # not likely to come again
+                del self.known[word]
+        return out
 
-def encode(path: str, text: bytes) -> bytes:
-    """The ids of a text as unsigned 32-bit little-endian numbers.
 
-    For vocabularies that split at white space and drop it: the ids of a text are those
-    of its words, and most words have been seen before.
-    """
-    tokenizer, known = _tokenizer(path)
-    words = text.split()
-    new = {w for w in words if w not in known}
-    if new:
-        if len(known) > _CACHE:
-            known.clear()
-            new = set(words)
-        listed = list(new)
-        found = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in listed], add_special_tokens=False)
-        ids = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(listed, found)}
-        rare = {w: i for w, i in ids.items() if len(w) > 64}
-        known.update((w, i) for w, i in ids.items() if len(w) <= 64)
-        if rare:
-            return b"".join([known[w] if len(w) <= 64 else rare[w] for w in words])
-    return b"".join([known[w] for w in words])
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -80,18 +113,25 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
 
     @F.arrow_udf(T.ArrayType(_PIECE))
     def pieces(texts: pa.Array) -> pa.Array:
-        rows = []
-        for value in texts.cast(pa.binary()):
-            ids = encode(path, value.as_py() or b"") + ending
-            step = 4 * capacity
-            rows.append(
-                [
-                    {"piece": k, "start": k * capacity, "length": len(part) // 4, "ids": part}
-                    for k, part in enumerate(ids[at : at + step] for at in range(0, len(ids), step))
-                ]
-            )
-        kind = pa.struct([("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
-        return pa.array(rows, pa.list_(kind))
+        encoder, step = _encoder(path), 4 * capacity
+        numbers, parts, ends = [], [], [0]
+        for at in range(0, len(texts), _AT_ONCE):
+            values = texts.slice(at, _AT_ONCE).cast(pa.binary()).to_pylist()
+            for ids in encoder([value or b"" for value in values]):
+                ids += ending
+                cut = [ids[k : k + step] for k in range(0, len(ids), step)]
+                parts += cut
+                numbers += range(len(cut))
+                ends.append(len(parts))
+        number = np.array(numbers, np.int64)
+        columns = [
+            pa.array(number.astype(np.int32)),
+            pa.array(number * capacity),
+            pa.array([len(part) // 4 for part in parts], pa.int64()),
+            pa.array(parts, pa.binary()),
+        ]
+        found = pa.StructArray.from_arrays(columns, names=["piece", "start", "length", "ids"])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
 
     each = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
     return each.select("doc_id", F.explode(pieces("t")).alias("p")).select("doc_id", "p.*")

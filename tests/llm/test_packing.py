@@ -12,7 +12,7 @@ from tallylog.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [None, "", " \n", "Hello, World's end", "é É <|endoftext|> x<|startoftext|>y", "a b c\x85d\x1ce", "Word " * 9_000,
-         "x" * 9_000, "same text", "same text", "ÄÖÜ ǅ İ ß ΑΣ é ́a"]
+         "x" * 9_000, "same text", "same text", "it's. we'll,. 3.14., a|b | || c", "<|STARTOFTEXT|> <|ENDOFTEXT|>x", "K… x….,", "ÄÖÜ ǅ İ ß ΑΣ é ́a"]
 
 
 def frame(spark, texts):
