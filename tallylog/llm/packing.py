@@ -30,6 +30,7 @@ NUMBERED = 50_000
 # Words whose ids a task remembers, and texts that it encodes together.
 _CACHE = 700_000
 _AT_ONCE = 256
+_PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _PIECE = T.StructType(
     [
@@ -56,6 +57,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids
+        # How the vocabulary spells a letter, for words of plain lower-case letters: such a word is one
+        # pre-token, which the model itself takes much faster than the whole chain of steps.
+        letters = (chr(c) for c in range(0x180))
+        self.spelled = {
+            c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha() and c == c.lower()
+        }
+        self.plain = set(self.spelled)
 
     def _each(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -69,17 +77,31 @@ class Encoder:
         packed = ids.tobytes()
         return [packed[a:b] for a, b in zip([0, *(bars + 4).tolist()], [*bars.tolist(), len(packed)])]
 
+    def _spelled(self, words: list[bytes]) -> list[bytes]:
+        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
+        out = []
+        for word in words:
+            text = word.decode()
+            if not text.isascii():
+                text = "".join([spelled[c] for c in text])
+            out.append(np.array([token.id for token in tokenize(text)], "<u4").tobytes())
+        return out
+
     def learn(self, words: set[bytes]) -> None:
         """Takes in the ids of new words."""
         parted = {}
         for word in words:
-            stem = word.rstrip(b".,")
-            # Letters or digits and the full stops after them are separate tokens.
-            if stem != word and stem and stem[-1:].isalnum():
+            stem = word.rstrip(_PUNCTUATION)
+            # Letters or digits and the marks after them are separate tokens.
+            if stem != word and stem[-1:].isalnum() and b"<|" not in word:
                 parted[word] = (stem, word[len(stem) :])
         parts = {p for pair in parted.values() for p in pair}
-        plain = [w for w in (words - parted.keys()) | parts if w not in self.known]
-        for group, encode in (([w for w in plain if b"|" not in w], self._together), ([w for w in plain if b"|" in w], self._each)):
+        ways = {self._spelled: [], self._together: [], self._each: []}
+        for word in (words - parted.keys()) | parts:
+            if word not in self.known:
+                letters = word.isalpha() and word.islower() or self.plain.issuperset(word.decode("utf-8", "replace"))
+                ways[self._spelled if letters else self._each if b"|" in word else self._together].append(word)
+        for encode, group in ways.items():
             if group:
                 self.known.update(zip(group, encode(group)))
         self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parted.items())
