@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tallylog.llm.chat import FRAMES
 from tallylog.llm.licenses import KNOWN, SPELLINGS
 
 _OP2 = r"""
@@ -231,9 +232,42 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN listed USING (rid)
 """
 
+_OP4 = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), w AS (
+    SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id < last THEN last END AS refers_to
+FROM w
+"""
+
+_FRAMES = " ".join(f"WHEN '{role}' THEN {len(a) + len(b)}" for role, (a, b) in FRAMES.items())
+_OP7 = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), each AS (
+    SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+        + len(regexp_extract_all(text, '</?s>|\[/?INST\]|<</?SYS>>|\[ROLE=|\[/ROLE\]'))
+        + CASE role {_FRAMES} ELSE {len("<s>[ROLE=] ") + len(" [/ROLE]")} + length(url_encode(role)) END AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM each GROUP BY conv_id
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": _OP2,
+    "op4_warc_archives": _OP4,
     "op6_source_mixture": _OP6,
+    "op7_chat_prefix_trees": _OP7,
     "op8_license_scan": _OP8,
     "op10_pii": _OP10,
 }
