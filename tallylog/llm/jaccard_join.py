@@ -40,7 +40,7 @@ from tallylog.llm.components import components
 
 BLOCK = 2048
 # Words whose hashes a task remembers.
-_CACHE = 200_000
+_CACHE = 100_000
 _U = np.uint64
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +28,8 @@ CAPACITY = 4096
 END = 1
 # Pieces of one length and number block that are put in order in one task, about.
 NUMBERED = 50_000
-# Words whose ids a task remembers, and texts that it encodes together.
-_CACHE = 700_000
-_AT_ONCE = 256
+# Words whose ids a task remembers.
+_CACHE = 120_000
 _PUNCTUATION = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _PIECE = T.StructType(
@@ -42,12 +42,11 @@ _PIECE = T.StructType(
 )
 
 
-class Encoder:
-    """Ids of texts as packed numbers, for a vocabulary that splits at white space and drops it.
+class Encoder(dict):
+    """Ids of words as packed numbers, for a vocabulary that splits at white space and drops it.
 
-    The ids of a text are then those of its words, and most words have been seen before. New words are encoded
-    together, parted by a lone bar. Case of ASCII letters doesn't matter to the vocabulary, except in its special
-    tokens, so only texts that may hold one keep theirs.
+    The ids of a text are then those of its words, and most words have been seen before. Case of ASCII letters
+    doesn't matter to the vocabulary, except in its special tokens, so only texts that may hold one keep theirs.
     """
 
     def __init__(self, path: str):
@@ -55,69 +54,39 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.bar = self.tokenizer.encode("|", add_special_tokens=False).ids
+        self.tokenize = self.tokenizer.model.tokenize
         # How the vocabulary spells a letter, for words of plain lower-case letters: such a word is one
         # pre-token, which the model itself takes much faster than the whole chain of steps.
         letters = (chr(c) for c in range(0x180))
-        self.spelled = {
-            c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha() and c == c.lower()
-        }
-        self.plain = set(self.spelled)
-
-    def _each(self, words: list[bytes]) -> list[bytes]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _together(self, words: list[bytes]) -> list[bytes]:
-        ids = np.array(self.tokenizer.encode(b" | ".join(words).decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
-        bars = 4 * np.flatnonzero(ids == self.bar[0])
-        if len(self.bar) != 1 or len(bars) != len(words) - 1:
-            return self._each(words)
-        packed = ids.tobytes()
-        return [packed[a:b] for a, b in zip([0, *(bars + 4).tolist()], [*bars.tolist(), len(packed)])]
-
-    def _spelled(self, words: list[bytes]) -> list[bytes]:
-        tokenize, spelled = self.tokenizer.model.tokenize, self.spelled
-        out = []
-        for word in words:
-            text = word.decode()
-            if not text.isascii():
-                text = "".join([spelled[c] for c in text])
-            out.append(np.array([token.id for token in tokenize(text)], "<u4").tobytes())
-        return out
-
-    def learn(self, words: set[bytes]) -> None:
-        """Takes in the ids of new words."""
-        parted = {}
-        for word in words:
+        spelled = {c: self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters if c.isalpha() and c == c.lower()}
+        self.spelling = str.maketrans(spelled)
+        self.plain = set(spelled)
+        self.packed = [number.to_bytes(4, "little") for number in range(self.tokenizer.get_vocab_size())]
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self._of(word)
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+    def _of(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():
+            return b"".join([self.packed[token.id] for token in self.tokenize(word.decode())])
+        if b"<|" not in word:
             stem = word.rstrip(_PUNCTUATION)
             # Letters or digits and the marks after them are separate tokens.
-            if stem != word and stem[-1:].isalnum() and b"<|" not in word:
-                parted[word] = (stem, word[len(stem) :])
-        parts = {p for pair in parted.values() for p in pair}
-        ways = {self._spelled: [], self._together: [], self._each: []}
-        for word in (words - parted.keys()) | parts:
-            if word not in self.known:
-                letters = word.isalpha() and word.islower() or self.plain.issuperset(word.decode("utf-8", "replace"))
-                ways[self._spelled if letters else self._each if b"|" in word else self._together].append(word)
-        for encode, group in ways.items():
-            if group:
-                self.known.update(zip(group, encode(group)))
-        self.known.update((w, self.known[a] + self.known[b]) for w, (a, b) in parted.items())
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        listed = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        new = set().union(*listed).difference(self.known)
-        if new:
-            self.learn(new)
-        out = [b"".join([self.known[w] for w in words]) for words in listed]
-        for word in new:
-            if len(word) > 64:  # not likely to come again
-                del self.known[word]
-        return out
+            if len(stem) < len(word) and stem[-1:].isalnum():
+                return self[stem] + self[word[len(stem) :]]
+        text = word.decode("utf-8", "replace")
+        if self.plain.issuperset(text):
+            return b"".join([self.packed[token.id] for token in self.tokenize(text.translate(self.spelling))])
+        return b"".join([self.packed[k] for k in self.tokenizer.encode(text, add_special_tokens=False).ids])
+
+    def ids(self, text: bytes) -> bytes:
+        if len(self) > _CACHE:  # words met early are the frequent ones
+            for word in list(islice(self, _CACHE // 2, None)):
+                del self[word]
+        return b"".join([self[word] for word in (text if b"<|" in text else text.lower()).split()])
 
 
 @lru_cache(maxsize=2)
@@ -137,14 +106,12 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
     def pieces(texts: pa.Array) -> pa.Array:
         encoder, step = _encoder(path), 4 * capacity
         numbers, parts, ends = [], [], [0]
-        for at in range(0, len(texts), _AT_ONCE):
-            values = texts.slice(at, _AT_ONCE).cast(pa.binary()).to_pylist()
-            for ids in encoder([value or b"" for value in values]):
-                ids += ending
-                cut = [ids[k : k + step] for k in range(0, len(ids), step)]
-                parts += cut
-                numbers += range(len(cut))
-                ends.append(len(parts))
+        for text in texts.cast(pa.binary()):
+            ids = encoder.ids(text.as_py() or b"") + ending
+            cut = [ids[k : k + step] for k in range(0, len(ids), step)]
+            parts += cut
+            numbers += range(len(cut))
+            ends.append(len(parts))
         number = np.array(numbers, np.int64)
         columns = [
             pa.array(number.astype(np.int32)),
