@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallylog.llm.common import small_batches
+
 RECORDS_PER_FILE = 4000
 # Payloads from this size on are stored once.
 REVISIT_FROM = 1000
@@ -123,7 +125,7 @@ def arc_files(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
         if waiting:
             yield packed()
 
-    rows = pages.select(F.col(key).cast("bigint").alias("k"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"))
+    rows = small_batches(pages).select(F.col(key).cast("bigint").alias("k"), F.col(url).cast("string").alias("u"), F.col(html).cast("string").alias("h"))
     return rows.mapInArrow(files, "path string, content binary")
 
 

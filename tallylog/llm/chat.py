@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylog.llm.common import cut_lineage
+from tallylog.llm.common import cut_lineage, small_batches
 
 # The control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE=", "[/ROLE]")
@@ -124,7 +124,7 @@ def paths(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     text = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
     conv_id = F.col("conv_id").cast("bigint")
     key = F.coalesce(conv_id.cast("string"), F.lit("null")).alias("ck")
-    turns = conversations.select(conv_id.alias("conv_id"), key, "turn", *text)
+    turns = small_batches(conversations).select(conv_id.alias("conv_id"), key, "turn", *text)
     return _sorted(turns, "ck", "turn", "role", "text").select("conv_id", "ck", "role", "text").mapInArrow(walk, _PATHS)
 
 

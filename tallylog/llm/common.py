@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallylog.session import cut_lineage, shared_path
 
-__all__ = ["ASCII_SPACE", "boxed", "cut_lineage", "quoted", "shared_path", "table"]
+__all__ = ["ASCII_SPACE", "boxed", "cut_lineage", "quoted", "shared_path", "small_batches", "table"]
 
 # The white space that separates words, U+0020 and U+0009 to U+000D.
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
@@ -25,3 +25,13 @@ def quoted(name: str) -> Column:
 def boxed(df: DataFrame, name: str = "row") -> Column:
     """All columns of a row as one struct, so that derived columns can't clash with them."""
     return F.struct(*[quoted(c) for c in df.columns]).alias(name)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same table, in a session that sends rows to Python in batches of 8 MB rather than 64.
+
+    A batch is held several times over: as rows, as columns, and on the Python side. Texts are long, and a row
+    is a batch of its own if need be.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+    return df

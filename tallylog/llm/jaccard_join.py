@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import boxed, cut_lineage
+from tallylog.llm.common import boxed, cut_lineage, small_batches
 from tallylog.llm.components import components
 
 BLOCK = 2048
@@ -322,7 +322,7 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule
     class. Null keys never become a component's name unless all its keys are null. An empty table gives no rows;
     other columns play no part.
     """
-    each = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    each = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
     each = cut_lineage(described(each, rule))
     found = cut_lineage(components(links(docs, each, text, rule)))
     # Documents without words have no class and must not meet in one task: they go round the joins.

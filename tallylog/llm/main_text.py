@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallylog.llm.common import small_batches
+
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
@@ -338,5 +340,5 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", html
     Null and empty html, and pages without content, give an empty text. Repeated rows give the same
     text each; an empty table gives no rows; other columns play no part.
     """
-    each = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), main_text(F.col(html)).alias("text"))
+    each = small_batches(pages).select(F.col(key).alias("page_id"), F.col(url).alias("url"), main_text(F.col(html)).alias("text"))
     return each.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))

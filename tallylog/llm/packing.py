@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import shared_path
+from tallylog.llm.common import shared_path, small_batches
 
 CAPACITY = 4096
 END = 1
@@ -122,7 +122,7 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
         found = pa.StructArray.from_arrays(columns, names=["piece", "start", "length", "ids"])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found)
 
-    each = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    each = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
     return each.select("doc_id", F.explode(pieces("t")).alias("p")).select("doc_id", "p.*")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import ASCII_SPACE, boxed, cut_lineage
+from tallylog.llm.common import ASCII_SPACE, boxed, cut_lineage, small_batches
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 MIN_WORDS = 50
@@ -86,7 +86,7 @@ def _measures(texts: pa.Array) -> pa.Array:
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the document as it came) and ``m``, its measures; a null text measures as empty."""
-    return docs.select(boxed(docs), _measures(F.col(text).cast("string")).alias("m"))
+    return small_batches(docs).select(boxed(docs), _measures(F.col(text).cast("string")).alias("m"))
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
