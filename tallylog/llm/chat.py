@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallylog.llm.common import cut_lineage, small_batches
+from tallylog.llm.common import cut_lineage, hold, small_batches
 
 # The control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "[ROLE=", "[/ROLE]")
@@ -92,6 +92,7 @@ def paths(conversations: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("chat", _tokenizer.cache_clear)
         tokenizer = _tokenizer(tokenizer_path)
         here, rows, last = None, [], None
         for batch in batches:
@@ -179,6 +180,7 @@ def read_back(nodes: DataFrame, walked: DataFrame, tokenizer_path: str) -> DataF
     ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
     """
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("chat", _tokenizer.cache_clear)
         tokenizer = _tokenizer(tokenizer_path)
         for batch in batches:
             ids = [np.frombuffer(v, "<u4").tolist() for v in batch["ids"].to_pylist()]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallylog.session import cut_lineage, shared_path
 
-__all__ = ["ASCII_SPACE", "boxed", "cut_lineage", "quoted", "shared_path", "small_batches", "table"]
+__all__ = ["ASCII_SPACE", "boxed", "cut_lineage", "hold", "quoted", "shared_path", "small_batches", "table"]
 
 # The white space that separates words, U+0020 and U+0009 to U+000D.
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
@@ -35,3 +39,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
     return df
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, release: Callable[[], None]) -> None:
+    """Says that a task now works for operator ``name``, whose memory ``release`` gives back.
+
+    Python workers outlive tasks and serve one operator after the other; each keeps the tables of one only.
+    """
+    if name not in _held:
+        for other in list(_held):
+            _held.pop(other)()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[name] = release

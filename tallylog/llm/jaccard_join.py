@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import boxed, cut_lineage, small_batches
+from tallylog.llm.common import boxed, cut_lineage, hold, small_batches
 from tallylog.llm.components import components
 
 BLOCK = 2048
@@ -82,10 +82,13 @@ class _Vocabulary(dict):
             self[word] = number
         return number
 
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
+
     def hash_all(self, words: list[bytes]) -> np.ndarray:
         if self.used > _CACHE:
-            self.clear()
-            self.__init__()
+            self.forget()
         numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         return self.hashes[numbers]
 
@@ -168,6 +171,7 @@ def _described(rule: Rule, with_keys: bool):
 
     @F.arrow_udf(_KEYED if with_keys else _NAMED)
     def described(column: pa.Array) -> pa.Array:
+        hold("jaccard_join", _vocabulary.forget)
         sizes, names, keys, ends = [], [], [], [0]
         for text in _texts(column):
             sets = shingles(text, rule.words)
@@ -182,7 +186,7 @@ def _described(rule: Rule, with_keys: bool):
             out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
         return pa.StructArray.from_arrays(out, names=["n", "node", "keys"][: len(out)])
 
-    return described
+    return described.asNondeterministic()  # evaluated once, however often its fields are used
 
 
 _COMPARED = T.StructType(
@@ -199,6 +203,7 @@ def _compared(rule: Rule):
 
     @F.arrow_udf(_COMPARED)
     def compared(left: pa.Array, right: pa.Array) -> pa.Array:
+        hold("jaccard_join", _vocabulary.forget)
         sizes, linked, deltas = [], [], []
         last_text, last = None, None
         for text, centre in zip(_texts(left), _texts(right)):
@@ -212,7 +217,7 @@ def _compared(rule: Rule):
         arrays = [pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), pa.array(deltas, pa.binary())]
         return pa.StructArray.from_arrays(arrays, names=["size", "linked", "delta"])
 
-    return compared
+    return compared.asNondeterministic()
 
 
 def _joined(rule: Rule):
@@ -347,10 +352,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", rule:
         F.min("node").alias("node")
     )
     each = docs.select(boxed(docs), F.col(text).cast("string").alias("t"))
-    each = each.select("row", _described(rule, False)("t").alias("d"))
+    with_words = F.coalesce(F.col("t").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # One row of each class and key, chosen before the shuffle wherever they meet in a task.
-    rows = each.filter("d.node IS NOT NULL").groupBy(F.col("d.node").alias("node"), F.col("row")[key].alias("k"))
+    rows = each.filter(with_words).select("row", _described(rule, False)("t").alias("d")).groupBy(F.col("d.node").alias("node"), F.col("row")[key].alias("k"))
     rows = rows.agg(F.first("row").alias("row"))
     kept = rows.join(chosen, (rows["node"] == chosen["node"]) & rows["k"].eqNullSafe(chosen["component_id"]), "left_semi")
-    empty = each.filter("d.node IS NULL")
+    empty = each.filter(~with_words)
     return kept.select("row.*").unionAll(empty.select("row.*"))

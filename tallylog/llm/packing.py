@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import shared_path, small_batches
+from tallylog.llm.common import hold, shared_path, small_batches
 
 CAPACITY = 4096
 END = 1
+# Ids are wide: small row groups bound what a task holds while it writes.
+_WRITTEN = {"compression": "zstd", "parquet.block.size": 16 << 20}
 # Pieces of one length and number block that are put in order in one task, about.
 NUMBERED = 50_000
 # Words whose ids a task remembers.
@@ -104,6 +106,7 @@ def tokenized(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text
 
     @F.arrow_udf(T.ArrayType(_PIECE))
     def pieces(texts: pa.Array) -> pa.Array:
+        hold("packing", _encoder.cache_clear)
         encoder, step = _encoder(path), 4 * capacity
         numbers, parts, ends = [], [], [0]
         for text in texts.cast(pa.binary()):
@@ -229,7 +232,7 @@ def pack(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
     """The pieces with their ids, written once to the shared folder, and the place of each piece."""
     spark = docs.sparkSession
     folder = shared_path(spark, "pieces")
-    tokenized(docs, path, key, text, capacity).write.option("compression", "zstd").parquet(folder)
+    tokenized(docs, path, key, text, capacity).write.options(**_WRITTEN).parquet(folder)
     pieces = spark.read.parquet(folder)
     narrow = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return pieces, placed(narrow, capacity)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import ASCII_SPACE, boxed, cut_lineage, small_batches
+from tallylog.llm.common import ASCII_SPACE, boxed, cut_lineage, hold, small_batches
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper")
 MIN_WORDS = 50
@@ -63,6 +63,7 @@ def _deleted(text: bytes, characters: bytes) -> int:
 
 @F.arrow_udf(T.StructType([T.StructField(name, T.LongType()) for name in MEASURES]))
 def _measures(texts: pa.Array) -> pa.Array:
+    hold("quality", lambda: None)
     chars = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
     rows = []
     for n_chars, text in zip(chars, texts.cast(pa.binary())):
@@ -84,6 +85,10 @@ def _measures(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(MEASURES))
 
 
+# Or else each use of a measure would be a pass of its own over the text.
+_measures = _measures.asNondeterministic()
+
+
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row`` (the document as it came) and ``m``, its measures; a null text measures as empty."""
     return small_batches(docs).select(boxed(docs), _measures(F.col(text).cast("string")).alias("m"))
