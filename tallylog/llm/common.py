@@ -32,12 +32,12 @@ def boxed(df: DataFrame, name: str = "row") -> Column:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """The same table, in a session that sends rows to Python in batches of 8 MB rather than 64.
+    """The same table, in a session that sends rows to Python in batches of 4 MB rather than 64.
 
     A batch is held several times over: as rows, as columns, and on the Python side. Texts are long, and a row
     is a batch of its own if need be.
     """
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)
     return df
 
 
