@@ -1,8 +1,9 @@
 """Access-log lines to typed records, as one Spark expression job.
 
 The pattern is matched once per line: the replacement text joins the wanted
-groups with a newline, which no text line can contain, and ``split`` takes them
-apart again. One ``regexp_extract`` per field would match every line many times.
+groups with ``SEPARATOR``, and ``split`` takes them apart again. No field can contain it:
+words hold no white space, and quoted fields hold no quote. One ``regexp_extract`` per
+field would match every line many times.
 """
 
 from __future__ import annotations
@@ -13,13 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The accepted request methods, and the month names of a log time.
+# The accepted request methods.
 METHODS = ["GET", "POST", "PUT", "DELETE", "PATCH", "HEAD", "OPTIONS"]
-MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
-
-# Why a line is rejected, in the order the rules apply.
-REASONS = ["blank", "pattern", "timestamp", "method", "endpoint", "number", "range"]
 
+# The fields of a record.
 FIELDS = [
     "ip",
     "remote_log_name",
@@ -35,6 +33,8 @@ FIELDS = [
     "response_time_ms",
 ]
 
+SEPARATOR = '"\n'
+
 # UTC instants from year 1 to year 9999; an offset must not lead out of them.
 FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
@@ -130,16 +130,25 @@ def parse_access_logs(
 
     Returns the other columns of ``lines``, the wanted ``fields`` (NULL where the
     line is rejected), ``reject_reason`` (NULL where it is valid) and ``is_valid``.
-    Asking for fewer fields copies less text per line.
+    Asking for fewer fields copies less text per line. Of two columns with one name, the
+    parsed one stays.
     """
-    kept = [name for name in lines.columns if name != column]
+    made = {*fields, "reject_reason", "is_valid", column}
+    kept = [F.col(f"`{name}`") for name in lines.columns if name not in made]
+    # In a struct of their own, other columns can't be taken for a step's.
+    kept = F.struct(*kept or [F.lit(None).cast("string").alias("nothing")]).alias("kept")
     cuts = _CHECKED | {field: cut for field, cut in _OPTIONAL.items() if field in fields}
-    line = F.col(column)
+    line = F.col("line")
     text = {name: F.get(F.col("part"), F.lit(place)) for place, name in enumerate(cuts)}
     # Each step is a projection of its own: later ones use its columns several times,
     # and one huge expression would be too long for the JIT compiler.
-    joined = F.regexp_replace(line, _LINE, "\n".join(cuts.values()).format_map(_GROUP))
-    matched = lines.select(*kept, column, F.split(joined, "\n").alias("part"))
+    joined = F.regexp_replace(line, _LINE, SEPARATOR.join(cuts.values()).format_map(_GROUP))
+    matched = lines.select(kept, F.col(column).alias("line")).select("kept", "line", joined.alias("joined"))
+    # A line that matches never equals its own joined fields: its second word ends
+    # with a space, theirs (the zero offset) with the separator.
+    matched = matched.select(
+        "kept", "line", (F.col("joined") != line).alias("matches"), F.split("joined", SEPARATOR).alias("part")
+    )
     typed = matched.select(
         "*",
         shift_number(text["offset"]).alias("shift"),
@@ -152,7 +161,7 @@ def parse_access_logs(
     judged = typed.withColumn(
         "reject_reason",
         F.when(line.isNull(), "blank")
-        .when(F.size("part") <= 1, F.when(is_blank(line), "blank").otherwise("pattern"))
+        .when(~F.col("matches"), F.when(is_blank(line), "blank").otherwise("pattern"))
         .when(F.col("timestamp_utc").isNull(), "timestamp")
         .when(~F.col("method").isin(METHODS), "method")
         .when(~text["endpoint"].startswith("/"), "endpoint")
@@ -181,7 +190,8 @@ def parse_access_logs(
     )
     # Later filters are not pushed below a generator. Below a plain projection they
     # are, with the whole pattern match copied into them and done twice per line.
-    return judged.select(*kept, F.explode(F.array(record)).alias("record")).select(*kept, "record.*")
+    parsed = judged.select("kept", F.explode(F.array(record)).alias("record")).select("kept.*", "record.*")
+    return parsed if len(lines.columns) > len(made.intersection(lines.columns)) else parsed.drop("nothing")
 
 
 def valid_records(parsed: DataFrame) -> DataFrame:

@@ -159,9 +159,7 @@ def rollup_counts(rollup: DataFrame, key: str, errors_only: bool = False) -> Dat
     rows = rollup.filter((F.col("dim") == dim) & F.col("label").isNotNull())
     if errors_only:
         rows = rows.filter("number = 1")
-    if key == "ip" or errors_only:
-        # One row per key already: no shuffle for what may be the largest dimension.
-        return rows.select(value.alias(key), F.col("lines").alias("count"))
+    # Appended rollups and those of parts hold several rows of one key.
     return rows.groupBy(value.alias(key)).agg(F.sum("lines").alias("count"))
 
 

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 # Fixed value: makes the median absolute deviation comparable to a standard deviation.
 MAD_FACTOR = 1.4826
-# Half widths of the rank brackets around the middle, narrowest first. The sketch is
-# exact to a tenth of the first one; the last one holds everything.
-MARGINS = [0.001, 0.01, 0.1, 0.5]
+# Half width of a bracket of ranks around the middle. The sketch is exact to a tenth of it.
+MARGIN = 0.001
 SKETCH_ACCURACY = 10_000
+# A bracket of more values than this is sketched again inside.
+ORDERED = 100_000
 
 
 def _middle_values(values: DataFrame, low: float, high: float, ranks: tuple[int, int]) -> DataFrame:
-    """One row: the values at two ranks, and whether both lie between ``low`` and ``high``.
+    """One row: the values at two ranks that lie between ``low`` and ``high``.
 
     All values below the bracket become one row, so do all above it, and only the
     distinct values inside, counted before the shuffle, are put in order.
@@ -28,32 +29,36 @@ def _middle_values(values: DataFrame, low: float, high: float, ranks: tuple[int,
     last_rank = F.sum("copies").over(Window.orderBy("side", "x"))
     ranked = folded.withColumn("last_rank", last_rank)
     at_ranks = (F.col("last_rank") >= ranks[0]) & (F.col("last_rank") - F.col("copies") < ranks[1])
-    return ranked.filter(at_ranks).agg(
-        F.min("x").alias("lower"), F.max("x").alias("upper"), F.every(side == 0).alias("inside")
-    )
+    return ranked.filter(at_ranks).agg(F.min("x").alias("lower"), F.max("x").alias("upper"))
 
 
 def exact_median(df: DataFrame, value: Column) -> float | None:
     """The exact median, without one task ordering everything; None for no values.
 
     With an even number of values it is the mean of the two in the middle. A sketch
-    of bounded size proposes a bracket that holds about 0.2 % of the values. Should
-    the middle lie outside of it, the next wider bracket is tried.
+    of bounded size proposes a bracket of 0.2 % of the values around the middle; while that holds many, a
+    sketch of its inside narrows it again. Only a bracket's distinct values are ever put in order.
     """
-    values = df.select(value.alias("x"))
-    shares = [share for margin in MARGINS for share in (0.5 - margin, 0.5 + margin)]
-    sketch = values.agg(
-        F.count("x").alias("n"), F.percentile_approx("x", shares, SKETCH_ACCURACY).alias("cuts")
-    ).first()
-    n, cuts = sketch["n"], sketch["cuts"]
+    x = F.col("x")
+    values = df.select(value.alias("x")).filter(x.isNotNull())
+    n = values.count()
     if n == 0:
         return None
     ranks = (n + 1) // 2, n // 2 + 1
-    for low, high in zip(cuts[::2], cuts[1::2]):
-        found = _middle_values(values, low, high, ranks).first()
-        if found["inside"]:
+    low, high, below, inside = None, None, 0, n
+    while True:
+        bracket = values if low is None else values.filter(x.between(low, high))
+        shares = [(ranks[0] - below) / inside - MARGIN, (ranks[1] - below) / inside + MARGIN]
+        shares = [min(1.0, max(0.0, share)) for share in shares]
+        cuts = bracket.agg(F.percentile_approx("x", shares, SKETCH_ACCURACY)).first()[0]
+        counts = values.agg(F.count_if(x < cuts[0]), F.count_if(x.between(*cuts))).first()
+        if not counts[0] < ranks[0] <= ranks[1] <= sum(counts):
+            raise ArithmeticError("values that do not compare, such as NaN, have no median")
+        narrower = counts[1] < inside
+        (low, high), (below, inside) = cuts, counts
+        if inside <= ORDERED or not narrower or low == high:
+            found = _middle_values(values, low, high, ranks).first()
             return (found["lower"] + found["upper"]) / 2
-    raise ArithmeticError("values that do not compare, such as NaN, have no median")
 
 
 def robust_scale(df: DataFrame, column: str) -> float:

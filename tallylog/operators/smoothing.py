@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 SMALLEST_WINDOW = 5
 HIGHEST_ORDER = 2
 
-# Positions per block; each block is smoothed by itself with a margin on both sides.
+# Positions per block of running sums.
 BLOCK = 1024
-# Beyond this half window BIGINT sums could overflow on large counts; DECIMAL cannot.
-BIGINT_HALF = 500
+# Sums of counts times squared positions, in whole numbers of 38 digits: exact for any window.
+EXACT = "decimal(38,0)"
 
 
 def window_length(points: Column, requested: int) -> Column:
@@ -101,39 +101,57 @@ def savgol_smooth(
 ) -> DataFrame:
     """Adds the smoothed ``value`` to a series with positions ``i`` from 0 to ``points - 1``.
 
-    Positions are cut into blocks, and the few positions near a border are copied
-    to the neighbour block too. So the windows run in parallel over any length.
-    Inside a block, sums of v, xv and x^2 v with x relative to the block give the
-    weighted sum around each point.
+    Running sums of v, xv and x^2 v start anew in every block of positions, whatever the
+    window. The sum over a window is the difference of two of them plus the totals of the blocks
+    that it crosses. So each point costs the same for every window, and no task holds more than a block.
     """
     if window == 0:
         return series.select("i", value, F.col(value).cast("double").alias(name))
     half = window // 2
-    block = max(BLOCK, window)
-    exact = "bigint" if half <= BIGINT_HALF else "decimal(38,0)"
-
-    def block_of(position: Column) -> Column:
-        inside = F.greatest(F.lit(0), F.least(F.lit(points - 1), position))
-        return F.floor(inside / block)
-
-    i, v, x = F.col("i"), F.col("v"), F.col("x")
-    copies = (
-        reflect_pad(series, points, half, value)
-        .select("i", value, F.explode(F.sequence(block_of(i - half), block_of(i + half))).alias("block"))
-        .withColumn("x", (i - F.col("block") * block).cast(exact))
-        .withColumn("v", F.col(value).cast(exact))
-    )
-    around = Window.partitionBy("block").orderBy("i").rowsBetween(-half, half)
-    a, b, d = weight_terms(half, order)
-    sums = copies.select(
+    i, v, x = F.col("i"), F.col(value).cast(EXACT), F.col("i").cast(EXACT)
+    moments = {"s0": v, "s1": x * v, "s2": x * x * v}
+    padded = reflect_pad(series, points, half, value).select(
         "i",
         value,
-        "block",
-        "x",
-        F.sum(v).over(around).alias("s0"),
-        F.sum(x * v).over(around).alias("s1"),
-        F.sum(x * x * v).over(around).alias("s2"),
-    ).filter(i.between(0, points - 1) & (F.col("block") == F.floor(i / block)))
-    second_moment = F.col("s2") - 2 * x * F.col("s1") + x * x * F.col("s0")
-    numerator = a * F.col("s0") - b * second_moment if b else F.col("s0")
-    return sums.select("i", value, (numerator.cast("double") / float(d)).alias(name))
+        F.expr(f"(i + {half}) div {BLOCK}").alias("block"),
+        *[moment.cast(EXACT).alias(s) for s, moment in moments.items()],
+    )
+    so_far = Window.partitionBy("block").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = padded.select("i", value, *[F.sum(s).over(so_far).cast(EXACT).alias(s) for s in moments])
+    # A position ends the window of one point, is the last before that of another, and the middle of its own.
+    part = F.explode(
+        F.array(
+            F.struct((i - half).alias("at"), F.lit(1).alias("sign")),
+            F.struct((i + half + 1).alias("at"), F.lit(-1).alias("sign")),
+            F.struct(i.alias("at"), F.lit(0).alias("sign")),
+        )
+    )
+    parts = running.select(part.alias("part"), value, *moments).filter(F.col("part.at").between(0, points - 1))
+    signed = [F.sum(F.col(s) * F.col("part.sign").cast("decimal(1,0)")).cast(EXACT).alias(s) for s in moments]
+    middle = F.max(F.when(F.col("part.sign") == 0, F.col(value))).alias(value)
+    ends = parts.groupBy(F.col("part.at").alias("i")).agg(middle, *signed).select(
+        "*",
+        F.expr(f"greatest(i - 1, 0) div {BLOCK}").alias("first_block"),
+        F.expr(f"(i + {2 * half}) div {BLOCK} - greatest(i - 1, 0) div {BLOCK}").alias("crossed"),
+    )
+    totals = padded.groupBy("block").agg(*[F.sum(s).cast(EXACT).alias(s) for s in moments])
+    crossed = sorted({2 * half // BLOCK, window // BLOCK, window // BLOCK + 1} - {0})
+    runs = F.expr(
+        f"explode(flatten(transform(array({', '.join(map(str, crossed)) or 0}), n -> "
+        "transform(sequence(0, greatest(n - 1, 0)), k -> named_struct('first_block', block - k, 'crossed', n)))))"
+    )
+    crossings = totals.select(runs.alias("run"), *moments).groupBy("run").agg(
+        *[F.sum(s).cast(EXACT).alias(f"c_{s}") for s in moments]
+    )
+    crossings = crossings.select(
+        F.col("run.first_block").cast("bigint").alias("first_block"),
+        F.col("run.crossed").cast("bigint").alias("crossed"),
+        *[f"c_{s}" for s in moments],
+    )
+    joined = ends.join(crossings, ["first_block", "crossed"], "left")
+    zero = F.lit(0).cast(EXACT)
+    s0, s1, s2 = ((F.col(s) + F.coalesce(f"c_{s}", zero)).cast(EXACT) for s in moments)
+    a, b, d = weight_terms(half, order)
+    second_moment = (s2 - 2 * x * s1 + x * x * s0).cast(EXACT)
+    numerator = a * s0 - b * second_moment if b else s0
+    return joined.select("i", value, (numerator.cast("double") / float(d)).alias(name))

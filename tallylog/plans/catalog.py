@@ -194,8 +194,7 @@ def merge_rollups(spark, sf_dir):
     parsed = _parsed(spark, sf_dir, report.ROLLUP_FIELDS).withColumn("part", F.col("event_id") % 4)
     path = shared_path(spark, "rollup-parts")
     counts.build_rollup(parsed, part="part").write.partitionBy("part", "dim").parquet(path)
-    stored = spark.read.parquet(path)
-    parts = [stored.filter(F.col("part") == k).drop("part") for k in (2, 0, 3, 1)]
+    parts = [counts.load_rollup(spark, f"{path}/part={k}") for k in (2, 0, 3, 1)]
     return _bigint_sums(counts.merge_rollups(*parts))
 
 
@@ -241,9 +240,9 @@ def error_series_zero_filled(spark, sf_dir):
 
 
 def savgol_window_params(spark, sf_dir):
-    series, _ = _series(spark, sf_dir)
+    lengths = spine.span_row(_minutes(spark, sf_dir)).select("points")
     rows = [
-        smoothing.savgol_params(series, requested).withColumn("requested", F.lit(requested).cast("bigint"))
+        smoothing.with_params(lengths, requested).withColumn("requested", F.lit(requested).cast("bigint"))
         for requested in REQUESTED_WINDOWS
     ]
     return reduce(DataFrame.unionByName, rows)

@@ -37,19 +37,9 @@ _LINE = """CASE
     END"""
 
 
-def spread_if_few(df: DataFrame) -> DataFrame:
-    """Spreads a table that would leave cores idle, such as one with a single row group.
-
-    A large table has more input splits than there are cores and is not moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id`` and the log line ``value`` of every event."""
     events = use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
     derived = [F.expr(rule).alias(name) for name, rule in _DERIVED.items()]
     columns = ["event_id", "user_id", "event_type"]
-    events = spread_if_few(events.select(*columns, "ts", "value"))
     return events.select(*columns, *derived).select("event_id", F.expr(_LINE).alias("value"))

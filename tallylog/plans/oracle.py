@@ -454,7 +454,7 @@ ORACLE_SQL: dict[str, str] = {
             firsts AS (SELECT * FROM runs
                 QUALIFY row_number() OVER (PARTITION BY workers ORDER BY pos) = 1),
             base AS (SELECT duration_seconds AS d FROM runs ORDER BY pos LIMIT 1)
-        SELECT CAST(workers AS INTEGER) AS workers, duration_seconds, processed_lines,
+        SELECT CAST(workers AS INTEGER) AS workers, pos, duration_seconds, processed_lines,
             CASE WHEN duration_seconds = 0 THEN 1.0 ELSE d / duration_seconds END AS speedup_vs_first_run
         FROM firsts, base""",
     "report_metrics": _sql("SELECT * FROM metrics"),

@@ -95,17 +95,23 @@ def report_from_rollup(
     if top < 0:
         raise ValueError(f"top_n must not be negative: {top}")
     minutes = cut_lineage(rollup_minutes(rollup))
+
+    def first(key: str, rows: int, errors_only: bool = False) -> DataFrame:
+        # Stored, since the tables and the summary both read it; the order is made anew.
+        stored = cut_lineage(top_n(rollup_counts(rollup, key, errors_only), key, rows))
+        return top_n(stored, key, rows)
+
     detection = detect_anomalies(minutes, window, sigma)
     return Report(
         config={"top_n": top, "anomaly_window": window, "anomaly_sigma": float(sigma)},
         rollup=rollup,
         metrics=rollup_totals(rollup),
-        top_ips=top_n(rollup_counts(rollup, "ip"), "ip", top),
-        top_endpoints=top_n(rollup_counts(rollup, "endpoint"), "endpoint", top),
-        top_error_endpoints=top_n(rollup_counts(rollup, "endpoint", errors_only=True), "endpoint", top),
+        top_ips=first("ip", top),
+        top_endpoints=first("endpoint", top),
+        top_error_endpoints=first("endpoint", top, errors_only=True),
         status_codes=top_n(rollup_counts(rollup, "status"), "status", DISTRIBUTION_ROWS),
         methods=top_n(rollup_counts(rollup, "method"), "method", DISTRIBUTION_ROWS),
-        trend=sparse_trend(minutes, detection.span),
+        trend=cut_lineage(sparse_trend(minutes, detection.span)),
         detection=detection,
         inputs=inputs,
         duration_seconds=duration_seconds,

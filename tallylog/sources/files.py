@@ -37,7 +37,7 @@ def _load(spark: SparkSession, inputs: str | Iterable[str], source: str) -> Data
 def read_lines(spark: SparkSession, inputs: str | Iterable[str]) -> DataFrame:
     """One row per text line (``value``); blank lines count, bad UTF-8 is replaced."""
     lines = _load(spark, inputs, "text")
-    if not lines.inputFiles():
+    if source_files(spark, inputs).select("bytes").isEmpty():
         raise FileNotFoundError(f"no log file below {inputs}")
     return lines.select(F.make_valid_utf8("value").alias("value"))
 

@@ -145,3 +145,33 @@ def test_other_session_time_zone_gives_the_same_instant(spark):
 def test_strip_line(spark):
     frame = spark.createDataFrame([("\t a b  ",)], "value STRING")
     assert frame.select(strip_line(F.col("value"))).first()[0] == "a b"
+
+
+NEWLINES = [
+    ("foo\nbar", None),
+    ("1/Jan/2020:00:00:00 +0000\n\nGET\n/x\n200\n5\n5\n9.9.9.9", None),
+    ('1.1.1.1 - - [01/Jan/2020:00:00:00 +0000] "GET /x HTTP\n1.0" 200 5 "r\n" "UA\nX" 7', ("HTTP\n1.0", "r\n", "UA\nX")),
+    ('1.1.1" - - [01/Jan/2020:00:00:00 +0000] "GET /x" H" 200 5 "-" "" 7', ("H", "", "")),
+]
+
+
+@pytest.mark.parametrize("line, expected", NEWLINES)
+def test_values_with_newlines(spark, line, expected):
+    row = parse_access_logs(spark.createDataFrame([(line,)], "value STRING")).first()
+    if expected is None:
+        assert row["reject_reason"] == "pattern"
+    elif row["is_valid"]:
+        assert (row["protocol"], row["referrer"], row["user_agent"]) == expected
+
+
+def test_kept_columns_with_the_names_of_steps(spark):
+    line = '1.1.1.1 - - [01/Jan/2020:00:00:00 +0000] "GET /x H" 200 5 "-" "UA" 7'
+    names = ["part", "shift", "status", "record", "kept", "line", "joined", "matches", "nothing", "a.b"]
+    frame = spark.createDataFrame([(line, *range(len(names)))], ["value", *names])
+    parsed = parse_access_logs(frame, ["ip", "method"])
+    assert parsed.columns == [*names, "ip", "method", "reject_reason", "is_valid"]
+    row = parsed.first()
+    assert list(row)[: len(names)] == list(range(len(names))) and row["ip"] == "1.1.1.1" and row["is_valid"]
+    # A parsed field replaces a column of its name.
+    assert parse_access_logs(frame, ["status"]).first()["status"] == 200
+    assert parse_access_logs(frame.select("value"), ["ip"]).columns == ["ip", "reject_reason", "is_valid"]

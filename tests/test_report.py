@@ -257,14 +257,11 @@ def test_chart_feeds(spark, tmp_path):
 class FakeSession:
     """Just the settings that choose the shared folder."""
 
-    def __init__(self, master, configured=None):
+    def __init__(self, configured=None):
         session = self
         self.used = None
 
         class Context:
-            def __init__(self):
-                self.master = master
-
             def getCheckpointDir(self):
                 return session.used
 
@@ -272,16 +269,35 @@ class FakeSession:
                 session.used = path
 
         class Conf:
-            def get(self, name, default):
-                return configured if name == "spark.checkpoint.dir" else default
+            def get(self, name, default=None):
+                return {"spark.checkpoint.dir": configured, "spark.sql.warehouse.dir": "hdfs:///warehouse/"}.get(name) or default
 
         self.sparkContext, self.conf = Context(), Conf()
 
 
 def test_shared_folder():
-    named = FakeSession("yarn", "hdfs:///shared")
+    named = FakeSession("hdfs:///shared")
     assert shared_dir(named) == named.used == "hdfs:///shared"
-    with pytest.raises(ValueError):
-        shared_dir(FakeSession("yarn"))
-    local = FakeSession("local[2]")
-    assert shared_dir(local) == local.used
+    # Without the setting, a folder below the warehouse, on a cluster and elsewhere.
+    plain = FakeSession()
+    assert shared_dir(plain) == plain.used == "hdfs:///warehouse/tallylog-tables"
+    assert shared_dir(plain) == plain.used
+
+
+def test_rollups_of_parts_and_appended_ones_are_summed(spark, tmp_path):
+    from tallylog.functions.parsing import parse_access_logs
+    from tallylog.operators import counts
+    from tallylog.operators.topk import top_n
+
+    line = '10.0.0.{} - - [01/Jan/2020:00:00:00 +0000] "GET /x H" 500 5 "-" "UA" 7'
+    lines = spark.createDataFrame([(line.format(k % 2), k % 3) for k in range(6)], "value STRING, part INT")
+    parsed = parse_access_logs(lines)
+    for path, part in (("whole", None), ("parts", "part")):
+        for mode in ("error", "append"):
+            counts.save_rollup(counts.build_rollup(parsed, part), str(tmp_path / path), mode)
+        rollup = counts.load_rollup(spark, str(tmp_path / path))
+        assert [tuple(r) for r in top_n(counts.rollup_counts(rollup, "ip"), "ip", 5).collect()] == [
+            ("10.0.0.0", 6), ("10.0.0.1", 6)
+        ]
+        errors = counts.rollup_counts(rollup, "endpoint", errors_only=True)
+        assert [tuple(r) for r in errors.collect()] == [("/x", 12)]

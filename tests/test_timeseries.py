@@ -175,18 +175,41 @@ def test_large_counts_keep_exact_sums(spark):
     assert found == pytest.approx([float(x) for x in rules.smooth(values, 5)], rel=1e-15)
 
 
-def test_median_outside_the_proposed_bracket(spark, monkeypatch):
-    # Brackets that miss the middle on purpose: wider ones must still find it.
+def test_median_brackets_narrow_until_few_are_left(spark, monkeypatch):
     from tallylog.operators import robust
 
-    calls = []
+    held = []
     original = robust._middle_values
 
-    def shifted(values, low, high, ranks):
-        calls.append((low, high))
-        return original(values, low + (50 if len(calls) == 1 else 0), high + (50 if len(calls) == 1 else 0), ranks)
+    def counted(values, low, high, ranks):
+        held.append(values.filter(F.col("x").between(low, high)).count())
+        return original(values, low, high, ranks)
 
-    monkeypatch.setattr(robust, "_middle_values", shifted)
-    frame = spark.range(1001).select(F.col("id").cast("double").alias("x"))
-    assert exact_median(frame, F.col("x")) == 500.0
-    assert len(calls) == 2
+    monkeypatch.setattr(robust, "_middle_values", counted)
+    monkeypatch.setattr(robust, "ORDERED", 20)
+    values = spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x"))
+    assert exact_median(values, F.col("x")) == 49_999.5
+    assert held[0] <= 20
+    # Nothing can narrow a bracket of equal values.
+    assert exact_median(values.select(F.lit(3.0).alias("x")), F.col("x")) == 3.0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("requested", [5, 1001, 1003])
+def test_smoothing_of_very_large_counts(spark, requested, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        assert smoothed(spark, [10**10] * 1100, requested) == pytest.approx([1e10] * 1100, rel=1e-15)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("requested", [2047, 2049, 5001])
+def test_smoothing_windows_wider_than_blocks(spark, requested):
+    values = [(k * k) % 97 for k in range(6000)]
+    found = smoothed(spark, values, requested)
+    w, order = rules.window_of(len(values), requested)
+    c, h = rules.weights(w, order), w // 2
+    spots = [0, 1, 1023, 1024, 2999, 4096, 5998, 5999]
+    expected = [sum(c[k + h] * rules.mirrored(values, i + k) for k in range(-h, h + 1)) for i in spots]
+    assert [found[i] for i in spots] == pytest.approx([float(x) for x in expected], rel=1e-12)
