@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from tallylog.llm.common import boxed, cut_lineage, hold, small_batches
 from tallylog.llm.components import components
 
-BLOCK = 2048
+BLOCK = 1024
 # Words whose hashes a task remembers.
 _CACHE = 100_000
 _U = np.uint64
@@ -313,8 +313,10 @@ def links(docs: DataFrame, known: DataFrame, text: str, rule: Rule, block: int =
     members = members.select(
         "p", "x", "size", "linked", "delta", "part", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("other")
     )
-    keys = ["p", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")]
-    found = members.groupBy(*keys).applyInArrow(_joined(rule), "a bigint, b bigint")
+    members = members.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("other")
+    # Dealt anew by all three: rows that lie together by centre already would leave a large cluster in one task.
+    met = members.repartition("p", "i", "j").groupBy("p", "i", "j")
+    found = met.applyInArrow(_joined(rule), "a bigint, b bigint")
     return compared.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).unionAll(found)
 
 
