@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 from collections.abc import Callable
 
@@ -21,6 +20,7 @@ from tallylog.functions.parsing import parse_access_logs
 from tallylog.operators.counts import build_rollup
 from tallylog.plans import report
 from tallylog.plans.catalog import QUERIES
+from tallylog.session import shared_path
 from tallylog.sources.files import read_lines
 from tallylog.sources.synthetic import synthesize_lines
 
@@ -61,14 +61,13 @@ def median_seconds(run: Callable[[], object], runs: int) -> float:
     return round(statistics.median(times), 3)
 
 
-def throughput(spark: SparkSession, scratch: str, lines: int, runs: int) -> dict[str, dict]:
+def throughput(spark: SparkSession, lines: int, runs: int) -> dict[str, dict]:
     """Seconds and lines per second on synthesised log files."""
-    source = f"{scratch}/log"
+    source = shared_path(spark, "bench-log")
     synthesize_lines(spark.range(lines)).select("value").write.text(source)
 
     def full_report() -> None:
-        out = tempfile.mkdtemp(prefix="report-", dir=scratch)
-        report.write_report(report.analyze(spark, source), out)
+        report.write_report(report.analyze(spark, source), shared_path(spark, "bench-report"))
 
     jobs = {
         "parse": lambda: drain(parse_access_logs(read_lines(spark, source))),
@@ -87,7 +86,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     lines = int(os.environ.get("BENCH_LINES", "1000000"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    scratch = tempfile.mkdtemp(prefix="tallylog-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tallylog-bench")
@@ -110,7 +108,7 @@ def main() -> None:
                 "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(cpus),
                 "synthetic_lines": lines,
-                "throughput": throughput(spark, scratch, lines, runs),
+                "throughput": throughput(spark, lines, runs),
             }
         )
     )
