@@ -320,6 +320,20 @@ def links(docs: DataFrame, known: DataFrame, text: str, rule: Rule, block: int =
     return compared.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).unionAll(found)
 
 
+def _rooted(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, n, node, root`` of the documents with words, and the others, which have no class.
+
+    The root names a component by its smallest class, whatever its keys are.
+    """
+    each = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
+    each = cut_lineage(described(each, rule))
+    found = cut_lineage(components(links(docs, each, text, rule)))
+    # Documents without words have no class and must not meet in one task: they go round the joins.
+    rooted = each.filter("node IS NOT NULL").select("doc_id", "n", "node").join(found, "node", "left")
+    rooted = rooted.select("doc_id", "n", "node", F.coalesce("root", "node").alias("root"))
+    return rooted, each.filter("node IS NULL")
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """``doc_id, n_shingles, node, component_id`` of every document.
 
@@ -329,35 +343,29 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule
     class. Null keys never become a component's name unless all its keys are null. An empty table gives no rows;
     other columns play no part.
     """
-    each = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
-    each = cut_lineage(described(each, rule))
-    found = cut_lineage(components(links(docs, each, text, rule)))
-    # Documents without words have no class and must not meet in one task: they go round the joins.
-    rooted = each.filter("node IS NOT NULL").select("doc_id", "n", "node").join(found, "node", "left")
-    rooted = rooted.select("doc_id", "n", "node", F.coalesce("root", "node").alias("root"))
+    rooted, empty = _rooted(docs, key, text, rule)
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
     named = rooted.join(least, "root")
     named = named.select("doc_id", F.col("n").alias("n_shingles"), "node", F.col("least").alias("component_id"))
-    empty = each.filter("node IS NULL")
     return named.unionAll(empty.select("doc_id", F.col("n").alias("n_shingles"), "node", F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", rule: Rule = Rule()) -> DataFrame:
     """The documents without those linked to another with a smaller key; columns as they came.
 
-    Of each component one document stays, that with the smallest key (of repeated keys, one row). All documents without words
+    Of each component one document stays, that with the smallest key (of repeated keys, one row); a null key counts as
+    the largest. Components that share their smallest key, null included, keep one each. All documents without words
     stay. Edge cases as in :func:`classes`.
     """
-    found = classes(docs, key, text, rule).filter("node IS NOT NULL")
-    # The class that holds the smallest key of each component, and that key.
-    chosen = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(
-        F.min("node").alias("node")
-    )
+    rooted, _ = _rooted(docs, key, text, rule)
+    # The smallest key of each component, and a class that has it.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")).alias("first")
+    chosen = rooted.groupBy("root").agg(first).select("first.node", F.col("first.doc_id").alias("least"))
     each = docs.select(boxed(docs), F.col(text).cast("string").alias("t"))
     with_words = F.coalesce(F.col("t").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     # One row of each class and key, chosen before the shuffle wherever they meet in a task.
     rows = each.filter(with_words).select("row", _described(rule, False)("t").alias("d")).groupBy(F.col("d.node").alias("node"), F.col("row")[key].alias("k"))
     rows = rows.agg(F.first("row").alias("row"))
-    kept = rows.join(chosen, (rows["node"] == chosen["node"]) & rows["k"].eqNullSafe(chosen["component_id"]), "left_semi")
+    kept = rows.join(chosen, (rows["node"] == chosen["node"]) & rows["k"].eqNullSafe(chosen["least"]), "left_semi")
     empty = each.filter(~with_words)
     return kept.select("row.*").unionAll(empty.select("row.*"))

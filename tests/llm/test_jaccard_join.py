@@ -106,6 +106,16 @@ def test_one_of_each_keeps_the_smallest_key(spark):
     assert sum(r.text is None for r in kept.collect()) == 3
 
 
+def test_one_of_each_keeps_unlinked_texts_of_one_key(spark):
+    rows = [
+        (None, "a b c d"), (None, "e f g h"), (None, "e f g h"), (None, "i j k l"), (7, "m n o p"), (7, "q r s t"),
+        (7, "Q r s t"), (9, "q r s t"), (None, "m n o p"), (8, "i j  k l"), (8, "u v w x"),
+    ]
+    docs = spark.createDataFrame([(k, t, "extra") for k, t in rows], SCHEMA)
+    kept = sorted(((r.doc_id, r.text.lower().split()[0]) for r in jaccard_join.one_of_each(docs).collect()), key=repr)
+    assert kept == [(7, "m"), (7, "q"), (8, "i"), (8, "u"), (None, "a"), (None, "e")]
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
