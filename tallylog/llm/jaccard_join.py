@@ -8,7 +8,7 @@ have a Jaccard similarity of at least 9/10 exactly if ``19 * D <= m + n``; other
    the shingles are dealt into one slice more than the largest distance of two linked sets, so linked
    sets agree on one slice at least. The distinct contents of a slice are the pivots of that slice, and
    a region holds the sets at distance 0 from a pivot. A slice that is empty in a set says nothing,
-   so such a region is cut again by a second dealing.
+   so such a region is cut again by a second dealing, unless spare slices outnumber the empty ones.
 2. *Stars.* The smallest set of a region is its centre, and every other one is compared with it
    exactly. All sets compared with one centre ``p`` form its cluster.
 3. *Windows.* Two linked sets of one cluster that aren't both linked to ``p`` share a part of their
@@ -45,11 +45,16 @@ _U = np.uint64
 
 
 class Rule(NamedTuple):
-    """Shingles of ``words`` words; sets link at a similarity of ``num / den`` or more."""
+    """Shingles of ``words`` words; sets link at a similarity of ``num / den`` or more.
+
+    ``spare`` is the share of slices, in percent, beyond those needed. It changes no result: at low similarities
+    slices are small and some are empty, and a set that has no more empty slices than spare ones needs no second dealing.
+    """
 
     words: int = 3
     num: int = 90
     den: int = 100
+    spare: int = 0
 
     def distance(self, total):
         """The largest distance of linked sets whose sizes add up to ``total``."""
@@ -145,10 +150,13 @@ def region_keys(sets: np.ndarray, rule: Rule) -> np.ndarray:
         slices = int(rule.distance(2 * (int(_EDGES[band + 1]) - 1))) + 1
         if slices == 1:  # only equal sets link
             continue
+        spare = slices * rule.spare // 100
+        slices += spare
         prefix = _mix(np.array([band], _U))
         found, empty = _dealt(sets, slices, prefix, 101)
         keys.append(found[~empty])
-        for at in np.flatnonzero(empty):
+        # Linked sets agree on more slices than the spare ones, so on one with content if fewer are empty.
+        for at in np.flatnonzero(empty) if empty.sum() > spare else ():
             keys.append(_dealt(sets, slices, _mix(found[at : at + 1]), 202)[0])
     return np.unique(np.concatenate(keys)).view(np.int64) if keys else np.zeros(0, np.int64)
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from tallylog.llm import jaccard_join
@@ -106,6 +107,22 @@ def test_one_of_each_keeps_the_smallest_key(spark):
     assert sum(r.text is None for r in kept.collect()) == 3
 
 
+def test_linked_sets_share_a_region():
+    rule = jaccard_join.Rule(5, 80, 100, spare=25)
+    draw = np.random.default_rng(4)
+    for _ in range(600):
+        n = int(draw.choice([3, 9, 20, 60, 200, 900]))
+        both = draw.integers(0, 1 << 63, n, np.uint64)
+        cut = np.unique(both)
+        most = rule.distance(2 * n)
+        gone = int(draw.integers(0, most + 1))
+        x, y = np.unique(cut[gone // 2 :]), np.unique(np.concatenate([cut[: n - (gone + 1) // 2]]))
+        if len(np.setxor1d(x, y)) <= rule.distance(len(x) + len(y)) and len(np.setxor1d(x, y)):
+            assert len(np.intersect1d(jaccard_join.region_keys(x, rule), jaccard_join.region_keys(y, rule)))
+    large = np.unique(draw.integers(0, 1 << 63, 20_000, np.uint64))
+    assert len(jaccard_join.region_keys(large, rule)) < 20_000 < len(jaccard_join.region_keys(large, rule._replace(spare=0)))
+
+
 def test_one_of_each_keeps_unlinked_texts_of_one_key(spark):
     rows = [
         (None, "a b c d"), (None, "e f g h"), (None, "e f g h"), (None, "i j k l"), (7, "m n o p"), (7, "q r s t"),

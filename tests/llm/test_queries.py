@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tallylog.llm.queries import ORACLE_SQL, QUERIES
-from tests.llm.test_jaccard_join import brute_force
+from tests.llm.test_jaccard_join import brute_force, family, shingle_set
 from tests.llm.test_pii import base_spans
 from tests.oracle_check import connect, difference
 
@@ -101,6 +101,21 @@ def test_near_duplicate_stage(stages):
     assert set(rows(after)) <= set(rows(before)) and after.count() < before.count()
 
 
+def test_near_duplicate_stage_at_five_words(spark):
+    texts = [text for seed in range(3) for text in family(seed, 60 + 50 * seed, 25, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    sets = [shingle_set(text, 5) for text in texts]
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                group = [group[b] if g == group[a] else g for g in group]
+    kept = sorted({g: k for k, g in reversed(list(enumerate(group)))}.values())
+    after = dict(corpus_pipeline.STAGES)["jaccard_join"](spark, docs, "")
+    assert sorted(r.doc_id for r in after.collect()) == kept
+    assert len(kept) < len({component for _, _, component in brute_force(list(enumerate(texts)))})
+
+
 def test_pii_stage(stages):
     before, after, _ = stages[2]
     old, new = ({r.doc_id: r for r in df.collect()} for df in (before, after))
