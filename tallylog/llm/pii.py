@@ -101,6 +101,18 @@ KINDS = (
         "example|placeholder|dummy",
     ),
 )
+# Secrets as they are assigned in code and settings: any case, white space, ``:`` or ``=``, quotes. The query's SQL fixes
+# the kinds of the report, so redaction alone looks for these.
+ASSIGNED = Kind(
+    "secret",
+    r"""(?i:password|passwd|api_key|secret|token)["']?[\x20\x09]*+[:=][\x20\x09]*+(?:"[^"\r\n]*+"|'[^'\r\n]*+'|[^\x20\x09-\x0D]++)""",
+    "contains(t, '=') OR contains(t, ':')",
+    r"""length(regexp_replace(x, '^[^:=]*+[:=][\\x20\\x09]*+["\']?|["\']$', '')) >= 8""",
+    0.8,
+    "",
+    "example|placeholder|dummy",
+)
+REDACTED = (*KINDS, ASSIGNED)
 BASE = ("email", "ip", "card", "phone")
 _BLOCK = 256
 
@@ -138,7 +150,7 @@ def _score(kind: Kind) -> str:
     return score
 
 
-def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
+def find_spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
     """``row`` (the document as it came), ``t`` (its text) and ``spans``, in order.
 
     A span is ``(start, k, end, kind, score)``: code points from 0, ``end`` exclusive, ``k`` the
@@ -147,30 +159,30 @@ def find_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     each = docs.select(boxed(docs), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     raw = []
-    for kind in KINDS:
+    for k, kind in enumerate(kinds):
         pattern = _sql_text(kind.pattern)
         raw.append(
-            f"CASE WHEN {kind.hint} THEN regexp_extract_all(t, {pattern}, 0) ELSE array() END AS m_{kind.name}"
+            f"CASE WHEN {kind.hint} THEN regexp_extract_all(t, {pattern}, 0) ELSE array() END AS m_{k}"
         )
-        raw.append(f"CASE WHEN {kind.hint} THEN split(t, {pattern}, -1) ELSE array() END AS g_{kind.name}")
+        raw.append(f"CASE WHEN {kind.hint} THEN split(t, {pattern}, -1) ELSE array() END AS g_{k}")
     each = each.selectExpr("row", "t", *raw)
     steps = [
         expr
-        for kind in KINDS
+        for k in range(len(kinds))
         for expr in (
-            f"m_{kind.name}",
+            f"m_{k}",
             # One step more than matches: the rest of the text. Outside a lambda each array is made once.
-            f"zip_with(g_{kind.name}, m_{kind.name}, (g, x) -> length(g) + coalesce(length(x), 0)) AS s_{kind.name}",
+            f"zip_with(g_{k}, m_{k}, (g, x) -> length(g) + coalesce(length(x), 0)) AS s_{k}",
         )
     ]
     each = each.selectExpr("row", "t", *steps)
-    ends = [expr for kind in KINDS for expr in (f"m_{kind.name}", f"{_ends(f's_{kind.name}')} AS e_{kind.name}")]
+    ends = [expr for k in range(len(kinds)) for expr in (f"m_{k}", f"{_ends(f's_{k}')} AS e_{k}")]
     each = each.selectExpr("row", "t", *ends)
     found = []
-    for k, kind in enumerate(KINDS):
-        e = f"e_{kind.name}[i]"
+    for k, kind in enumerate(kinds):
+        e = f"e_{k}[i]"
         span = f"named_struct('start', {e} - length(x), 'k', {k}, 'end', {e}, 'kind', '{kind.name}', 'x', x)"
-        valid = f"filter(transform(m_{kind.name}, (x, i) -> {span}), s -> exists(array(s.x), x -> {kind.valid}))"
+        valid = f"filter(transform(m_{k}, (x, i) -> {span}), s -> exists(array(s.x), x -> {kind.valid}))"
         scored = (
             f"transform({valid}, s -> named_struct('start', s.start, 'k', s.k, 'end', s.end, 'kind', s.kind, "
             f"'score', cast({_score(kind)} AS double)))"
@@ -195,10 +207,11 @@ def span_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind, such as ``[EMAIL]``; other columns stay.
 
+    Besides the kinds of the report it finds the secrets of ``ASSIGNED``.
     Overlapping spans are replaced as one, named by the first. A text without spans, null
     included, stays as it is. Edge cases as in :func:`find_spans`.
     """
-    found = find_spans(docs, text)
+    found = find_spans(docs, text, REDACTED)
     # Merged spans: a span that begins before the last end only moves that end.
     merged = found.withColumn(
         "cuts",

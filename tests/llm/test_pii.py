@@ -98,6 +98,25 @@ def test_redaction(spark):
     assert got == ["mail [EMAIL] now", "no data", None, "", "[IP]", "[PHONE] end", "[EMAIL] [EMAIL]"]
 
 
+def test_assigned_secrets_are_redacted(spark):
+    value = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = {
+        f'a token = "{value}" then.': "a [SECRET] then.",
+        f'a TOKEN = "{value}" then.': "a [SECRET] then.",
+        f"{{'api_key': '{value}', \"Passwd\":\t\"correct horse battery\"}}": "{'[SECRET], \"[SECRET]}",
+        f"Secret: {value}\npassword = {value}": "[SECRET]\n[SECRET]",
+        f'token="{value}" token={value} end': "[SECRET] [SECRET] end",
+        f'password = "{value} unclosed': "[SECRET] unclosed",
+        'token = "short" end, password: abc, secret =\nnext line': None,
+        f'example: token = "{value}"': None,
+        "no such token here, nor a secret or a password": None,
+    }
+    got = [r.text for r in pii.redact(frame(spark, list(texts))).orderBy("doc_id").collect()]
+    assert got == [new or old for old, new in texts.items()]
+    long = ['token = "' * 4_000, "token = " * 4_000, "secret" + " " * 200_000, "token:'" + "x" * 200_000]
+    assert [r.text[:8] for r in pii.redact(frame(spark, long)).orderBy("doc_id").collect()][3] == "[SECRET]"
+
+
 def test_empty_table(spark):
     assert pii.span_report(frame(spark, [])).collect() == []
     assert pii.redact(frame(spark, [])).collect() == []
