@@ -263,6 +263,42 @@ SELECT conv_id, count(*) AS n_turns,
 FROM each GROUP BY conv_id
 """
 
+_OP11 = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), cut AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM cut
+), counts AS (
+    SELECT lang, 1 AS size, w[k] AS phrase, count(*) AS f FROM places GROUP BY ALL
+    UNION ALL SELECT lang, 2, w[k] || ' ' || w[k + 1], count(*) FROM places WHERE k < len(w) GROUP BY ALL
+    UNION ALL SELECT lang, 3, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2], count(*) FROM places WHERE k + 1 < len(w) GROUP BY ALL
+), candidates AS (
+    SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10
+), cuts AS (
+    SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM candidates
+), scored AS (
+    SELECT c.lang, c.size, c.phrase, c.a, c.w, c.k, l.f AS l, r.f AS r,
+        CAST(1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.k], ' ')
+        JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+), lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, a AS longer FROM candidates WHERE size = 3
+), dropped AS (
+    SELECT DISTINCT c.lang, c.phrase FROM candidates c JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase AND 100 * longer >= 50 * a
+), totals AS (
+    SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM cut GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest ANTI JOIN dropped USING (lang, phrase) JOIN totals USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 ORACLE_SQL = {
     "op2_quality_rules": _OP2,
     "op4_warc_archives": _OP4,
@@ -270,4 +306,5 @@ ORACLE_SQL = {
     "op7_chat_prefix_trees": _OP7,
     "op8_license_scan": _OP8,
     "op10_pii": _OP10,
+    "op11_collocations": _OP11,
 }

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from tallylog.llm import archives, chat, jaccard_join, licenses, main_text, mixing, neighbours, packing, pii, quality
+from tallylog.llm import (
+    archives,
+    chat,
+    collocations,
+    jaccard_join,
+    licenses,
+    main_text,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    token_counts,
+    whitening,
+)
 from tallylog.llm.common import shared_path, table
 from tallylog.llm.oracle import ORACLE_SQL
 
@@ -66,6 +80,18 @@ def op10_pii(spark, sf_dir):
     return pii.span_report(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_main_text": op1_main_text,
     "op2_quality_rules": op2_quality_rules,
@@ -77,4 +103,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_collision_counting": op9_collision_counting,
     "op10_pii": op10_pii,
+    "op11_collocations": op11_collocations,
+    "op12_token_counts": op12_token_counts,
+    "op13_whitening": op13_whitening,
 }
