@@ -271,20 +271,20 @@ WITH pieces AS (
 ), cut AS (
     SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
 ), places AS (
-    SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM cut
-), counts AS (
-    SELECT lang, 1 AS size, w[k] AS phrase, count(*) AS f FROM places GROUP BY ALL
-    UNION ALL SELECT lang, 2, w[k] || ' ' || w[k + 1], count(*) FROM places WHERE k < len(w) GROUP BY ALL
-    UNION ALL SELECT lang, 3, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2], count(*) FROM places WHERE k + 1 < len(w) GROUP BY ALL
+    SELECT lang, unnest(list_zip(w, w[2:], w[3:])) AS p FROM cut
+), counts AS MATERIALIZED (
+    SELECT lang, 1 AS size, p[1] AS phrase, count(*) AS f FROM places WHERE p[1] IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 2, p[1] || ' ' || p[2] AS phrase, count(*) FROM places WHERE p[2] IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, 3, p[1] || ' ' || p[2] || ' ' || p[3] AS phrase, count(*) FROM places WHERE p[3] IS NOT NULL GROUP BY ALL
 ), candidates AS (
     SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND f >= 10
 ), cuts AS (
-    SELECT lang, size, phrase, a, w, unnest(range(1, size)) AS k FROM candidates
+    SELECT lang, size, phrase, a, k, array_to_string(w[:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
 ), scored AS (
-    SELECT c.lang, c.size, c.phrase, c.a, c.w, c.k, l.f AS l, r.f AS r,
+    SELECT c.lang, c.size, c.phrase, c.a, c.k, l.f AS l, r.f AS r,
         CAST(1000000::HUGEINT * c.a * c.a // (l.f::HUGEINT * r.f) AS BIGINT) AS score
-    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:c.k], ' ')
-        JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
 ), lowest AS (
     SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
 ), inside AS (
