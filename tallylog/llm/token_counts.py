@@ -15,10 +15,9 @@ from __future__ import annotations
 
 import os
 import re
-from array import array
-from collections import Counter
+import zlib
 from functools import lru_cache
-from itertools import count, islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import types as T
 from tallylog.llm.common import hold, shared_path, small_batches
 
 TOKEN_LIMIT = 2048
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 _WRITTEN = {"compression": "zstd", "parquet.block.size": 16 << 20}
 # Words whose pre-tokens a task remembers.
 _CACHE = 200_000
@@ -65,23 +64,13 @@ class PreTokens(dict):
             elif part:
                 normal = self.tokenizer.normalizer.normalize_str(part)
                 found += [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        if len(self) > _CACHE:  # words met early are the frequent ones
+            for other in list(islice(self, _CACHE // 2, None)):
+                del self[other]
         if len(word) <= 64:
             self[word] = found
         return found
 
-    def counted(self, text: bytes) -> dict[str, int]:
-        """How often the text has each pre-token."""
-        if len(self) > _CACHE:  # words met early are the frequent ones
-            for word in list(islice(self, _CACHE // 2, None)):
-                del self[word]
-        # Case is dropped here only where composing letters and marks can't depend on it.
-        words = Counter((text.lower() if text.isascii() and b"<|" not in text else text).split())
-        found: dict[str, int] = {}
-        for word, n in words.items():
-            for piece in self[word]:
-                found[piece] = found.get(piece, 0) + n
-        return found
-
     def pieces(self, token: str) -> int:
         return 1 if token in self.special else len(self.tokenizer.model.tokenize(token))
 
@@ -91,52 +80,69 @@ def _pre_tokens(path: str) -> PreTokens:
     return PreTokens(path)
 
 
-class Block:
-    """Documents gathered so far: a sparse matrix of documents by pre-tokens."""
+class Block(dict):
+    """Documents gathered so far, as a sparse matrix of documents by pre-tokens; maps a word to the numbers of its pre-tokens."""
 
-    def __init__(self):
-        self.keys, self.sizes, self.held = [], [], 0
+    def __init__(self, words: PreTokens):
+        self.words, self.keys, self.sizes, self.held = words, [], [], 0
         self.at: dict[str, int] = {}
-        self.ends, self.places, self.times = array("I"), array("I"), array("I")
+        self.lengths, self.steps, self.times = [], [], []
+
+    def __missing__(self, word: bytes) -> list[int]:
+        numbers = self[word] = [self.at.setdefault(token, len(self.at)) for token in self.words[word]]
+        return numbers
 
-    def add(self, key, text: bytes, found: dict[str, int]) -> None:
-        self.places.extend([self.at.setdefault(token, len(self.at)) for token in found])
-        self.times.extend(found.values())
-        self.ends.append(len(self.places))
+    def add(self, key, text: bytes) -> None:
+        # Case is dropped here only where composing letters and marks can't depend on it.
+        words = (text.lower() if text.isascii() and b"<|" not in text else text).split()
+        numbers, times = np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, words)), np.uint32), return_counts=True)
+        self.lengths.append(len(numbers))
+        self.steps.append(np.diff(numbers, prepend=np.uint32(0)))
+        self.times.append(times.astype(np.uint32))
         self.keys.append(key)
         self.sizes.append(len(text))
         self.held += len(text)
 
     def row(self, number: int, key_type: pa.DataType) -> pa.RecordBatch:
-        packed = [part.tobytes() for part in (self.ends, self.places, self.times)]
-        values = [number, self.keys, self.sizes, list(self.at), *packed]
-        kinds = [pa.int64(), pa.list_(key_type), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.binary()] * 3]
+        packed = [packed_numbers(part) for part in (self.steps, self.times)]
+        values = [number, self.keys, self.sizes, list(self.at), self.lengths, *packed]
+        kinds = [pa.int64(), pa.list_(key_type), pa.list_(pa.int64()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds)], names=COLUMNS)
 
 
-COLUMNS = ["block", "doc_id", "n_bytes", "tokens", "ends", "places", "times"]
+def packed_numbers(parts: list[np.ndarray]) -> bytes:
+    """Numbers as their low bytes, then their next ones, and so on, compressed: small numbers take about a byte."""
+    whole = np.concatenate(parts).astype("<u4")
+    return zlib.compress(np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def unpacked_numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
+COLUMNS = ["block", "doc_id", "n_bytes", "tokens", "lengths", "steps", "times"]
 
 
 def blocks(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows ``block, doc_id[], n_bytes[], tokens[], ends, places, times``: documents, and how often they have which pre-token.
+    """Rows ``block, doc_id[], n_bytes[], tokens[], lengths[], steps, times``: documents, and how often they have which pre-token.
 
-    Document k has the tokens at ``places[ends[k - 1]:ends[k]]``, each as often as ``times`` says (packed 32-bit numbers).
+    A document has ``lengths`` different pre-tokens; ``steps`` are the differences of their places in ``tokens``, and ``times`` their counts.
     Every row of the table is a document of its own, also where keys repeat. Null texts are empty. An empty table has no blocks.
     """
-    kinds = ["bigint", f"array<{docs.schema[key].dataType.simpleString()}>", "array<bigint>", "array<string>", *["binary"] * 3]
+    kinds = ["bigint", f"array<{docs.schema[key].dataType.simpleString()}>", "array<bigint>", "array<string>", "array<int>", "binary", "binary"]
 
     def gather(batches):
         hold("token_counts", _pre_tokens.cache_clear)
-        words, block, number = _pre_tokens(path), Block(), TaskContext.get().partitionId() << 33
-        key_type = None
+        words, number = _pre_tokens(path), TaskContext.get().partitionId() << 33
+        block, key_type = Block(words), None
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for own, value in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
-                value = value.as_py() or b""
-                block.add(own, value, words.counted(value))
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())):
+                block.add(own, text.as_py() or b"")
                 if block.held >= block_bytes:
                     yield block.row(number, key_type)
-                    block, number = Block(), number + 1
+                    block, number = Block(words), number + 1
         if block.keys:
             yield block.row(number, key_type)
 
@@ -164,21 +170,28 @@ def token_counts(
         return pa.array([_pre_tokens(path).pieces(token) for token in tokens.to_pylist()], pa.int32())
 
     @F.arrow_udf("array<bigint>")
-    def sums(ends: pa.Array, places: pa.Array, times: pa.Array, sizes: pa.Array) -> pa.Array:
+    def sums(lengths: pa.Array, steps: pa.Array, times: pa.Array, sizes: pa.Array) -> pa.Array:
         found, bounds = [], [0]
-        for end, place, time, size in zip(ends, places, times, sizes):
-            end, place, time = (np.frombuffer(part.as_py(), "<u4").astype(np.int64) for part in (end, place, time))
-            products = np.asarray(size.as_py() or [], np.int64)[place] * time
-            total = np.concatenate([[0], np.cumsum(products)])[np.concatenate([[0], end])]
-            found.append(np.diff(total))
-            bounds.append(bounds[-1] + len(end))
+        for length, step, time, size in zip(lengths, steps, times, sizes):
+            ends = np.cumsum(np.asarray(length.as_py(), np.int64))
+            step, time = unpacked_numbers(step.as_py()), unpacked_numbers(time.as_py())
+            # Places begin anew with each document.
+            places = np.cumsum(step)
+            begins = np.concatenate([[0], ends])[:-1]
+            before = np.concatenate([[0], places])[begins]
+            places -= np.repeat(before, np.diff(np.concatenate([[0], ends])))
+            products = np.asarray(size.as_py() or [], np.int64)[places] * time
+            found.append(np.diff(np.concatenate([[0], np.cumsum(products)])[np.concatenate([[0], ends])]))
+            bounds.append(bounds[-1] + len(ends))
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(found or [[]]), pa.int64()))
 
-    each = stored.select("block", F.posexplode("tokens").alias("place", "token"))
-    counted = each.select("token").distinct().withColumn("pieces", pieces("token"))
+    # One shuffle by pre-token serves both sides of the join, which is why the distinct ones keep all columns until then.
+    each = stored.select("block", F.posexplode("tokens").alias("place", "token")).repartition("token")
+    counted = each.groupBy("token").agg(F.min(F.struct("block", "place")).alias("first")).filter("first IS NOT NULL")
+    counted = counted.select("token", pieces("token").alias("pieces"))
     # A row of ``counted`` is one distinct pre-token of the corpus, of ``each`` one of a block.
     sized = each.join(counted.hint("merge"), "token").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "pieces"))).alias("sizes"))
     whole = stored.drop("tokens").join(sized.hint("merge"), "block", "left")
-    n_tokens = sums("ends", "places", "times", F.col("sizes.pieces"))
+    n_tokens = sums("lengths", "steps", "times", F.col("sizes.pieces"))
     rows = whole.select(F.explode(F.arrays_zip("doc_id", "n_bytes", n_tokens.alias("n_tokens"))).alias("d")).select("d.*")
     return rows.withColumn("over_limit", F.col("n_tokens") > limit)
