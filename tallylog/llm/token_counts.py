@@ -17,7 +17,8 @@ import os
 import re
 import zlib
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import chain
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +30,27 @@ from pyspark.sql import types as T
 from tallylog.llm.common import hold, shared_path, small_batches
 
 TOKEN_LIMIT = 2048
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 _WRITTEN = {"compression": "zstd", "parquet.block.size": 16 << 20}
-# Words whose pre-tokens a task remembers.
-_CACHE = 200_000
-# Fixed value: how the vocabulary cuts a lower-case word; the library does the same for words that aren't plain ASCII.
-_ASCII_CUT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+# Code points that the vocabulary's steps change one by one, whatever stands beside them: those below the first combining marks.
+_PLAIN = [chr(c) for c in range(0x180)]
 
 
-class PreTokens(dict):
+def _bytes_as_letters() -> dict[int, str]:
+    """How a byte-level vocabulary writes a byte: as itself if it prints in Latin-1, else as the next free code point from 256."""
+    kept = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+def _plain_cut() -> re.Pattern:
+    """How the vocabulary cuts lower-case words of plain code points; the library itself cuts all others."""
+    letters, numbers = ("".join(c for c in _PLAIN if category(c)[0] == kind) for kind in "LN")
+    spaces = "\t\n\x0b\x0c\r \x85\xa0"
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+
+
+class PreTokens:
     """The pre-tokens of words, for a vocabulary that lower-cases, drops white space and never lets a pre-token cross it."""
 
     def __init__(self, path: str):
@@ -45,31 +58,28 @@ class PreTokens(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str("a b\n")
-        if [part for part, _ in cut] != ["a", "b"] or self.tokenizer.normalizer.normalize_str("A") != "a":
-            raise ValueError(f"{path}: the vocabulary keeps case or white space")
+        cut = self.tokenizer.pre_tokenizer.pre_tokenize_str("it's b2\n")
+        if [part for part, _ in cut] != ["it", "'s", "b", "2"] or self.tokenizer.normalizer.normalize_str("A") != "a":
+            raise ValueError(f"{path}: the vocabulary cuts words in another way than this operator")
         # Special tokens are found in the text as it came, before anything else.
         self.special = {token.content for token in self.tokenizer.get_added_tokens_decoder().values()}
-        self.split = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")") if self.special else None
+        self.split = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")").split
+        self.cut, self.letters = _plain_cut().findall, _bytes_as_letters()
 
-    def __missing__(self, word: bytes) -> list[str]:
+    def __call__(self, word: bytes) -> list[str]:
         text = word.decode("utf-8", "replace")
-        parts = self.split.split(text) if self.split else [text]
-        found = []
-        for part in parts:
-            if part in self.special:
-                found.append(part)
-            elif part.isascii() and part.isprintable():
-                found += _ASCII_CUT.findall(part.lower())
-            elif part:
-                normal = self.tokenizer.normalizer.normalize_str(part)
-                found += [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
-        if len(self) > _CACHE:  # words met early are the frequent ones
-            for other in list(islice(self, _CACHE // 2, None)):
-                del self[other]
-        if len(word) <= 64:
-            self[word] = found
-        return found
+        if "<|" in text:
+            return [token for part in self.split(text) if part for token in ([part] if part in self.special else self._cut(part))]
+        return self._cut(text)
+
+    def _cut(self, text: str) -> list[str]:
+        low = text.lower()
+        if low.isascii() and low.isprintable() and text.isascii():
+            return self.cut(low)
+        if max(text) < "\u0180" and max(low) < "\u0180":
+            return [token.encode().decode("latin-1").translate(self.letters) for token in self.cut(low)]
+        normal = self.tokenizer.normalizer.normalize_str(text)
+        return [token for token, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
 
     def pieces(self, token: str) -> int:
         return 1 if token in self.special else len(self.tokenizer.model.tokenize(token))
@@ -89,7 +99,7 @@ class Block(dict):
         self.lengths, self.steps, self.times = [], [], []
 
     def __missing__(self, word: bytes) -> list[int]:
-        numbers = self[word] = [self.at.setdefault(token, len(self.at)) for token in self.words[word]]
+        numbers = self[word] = [self.at.setdefault(token, len(self.at)) for token in self.words(word)]
         return numbers
 
     def add(self, key, text: bytes) -> None:
@@ -180,7 +190,7 @@ def token_counts(
             begins = np.concatenate([[0], ends])[:-1]
             before = np.concatenate([[0], places])[begins]
             places -= np.repeat(before, np.diff(np.concatenate([[0], ends])))
-            products = np.asarray(size.as_py() or [], np.int64)[places] * time
+            products = (size.values.to_numpy() & 0xFFFFFFFF)[places] * time if len(places) else places
             found.append(np.diff(np.concatenate([[0], np.cumsum(products)])[np.concatenate([[0], ends])]))
             bounds.append(bounds[-1] + len(ends))
         return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(found or [[]]), pa.int64()))
@@ -190,8 +200,9 @@ def token_counts(
     counted = each.groupBy("token").agg(F.min(F.struct("block", "place")).alias("first")).filter("first IS NOT NULL")
     counted = counted.select("token", pieces("token").alias("pieces"))
     # A row of ``counted`` is one distinct pre-token of the corpus, of ``each`` one of a block.
-    sized = each.join(counted.hint("merge"), "token").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "pieces"))).alias("sizes"))
+    place = F.expr("place * 4294967296L + pieces")
+    sized = each.join(counted.hint("merge"), "token").groupBy("block").agg(F.sort_array(F.collect_list(place)).alias("sizes"))
     whole = stored.drop("tokens").join(sized.hint("merge"), "block", "left")
-    n_tokens = sums("lengths", "steps", "times", F.col("sizes.pieces"))
+    n_tokens = sums("lengths", "steps", "times", "sizes")
     rows = whole.select(F.explode(F.arrays_zip("doc_id", "n_bytes", n_tokens.alias("n_tokens"))).alias("d")).select("d.*")
     return rows.withColumn("over_limit", F.col("n_tokens") > limit)
