@@ -37,6 +37,8 @@ ABSORBED = 50
 BLOCK_BYTES = 4 << 20
 # Pairs with the score of a round, as a multiple of the rows asked for; four times as many in each round.
 AHEAD = 2
+# Shares of a language that are ranked apart before its best are.
+SHARES = 64
 # Bits of the set of open prefixes: 4 MB.
 FILTER_BITS = 1 << 25
 # Fixed value: seed of Spark's xxhash64.
@@ -236,7 +238,7 @@ def collocations(
         wanted = cut_lineage(wanted.join(opened, ["lang", "phrase"], "left_anti") if opened else wanted)
         bits = _bit_set(wanted)
         if bits.any():
-            found = _counted(each.join(waiting, "lang", "left_semi"), _grown_triples(bits), block_bytes)
+            found = _counted(each, _grown_triples(bits), block_bytes)
             found = found.filter(f"a >= {least}").select("lang", "phrase", "a")
             # A prefix that the bit set held by chance may be counted twice, with the same result.
             triples = cut_lineage(found.unionAll(triples).distinct() if triples else found)
@@ -255,7 +257,11 @@ def collocations(
     found = settled[0]
     for part in settled[1:]:
         found = found.unionAll(part)
-    place = F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)").cast("bigint")
+    # The best of each share of a language first, so that no task orders all of it.
+    ranked = "row_number() OVER (PARTITION BY lang{} ORDER BY score DESC, a DESC, phrase)"
+    found = found.withColumn("share", F.expr(f"pmod(xxhash64(phrase), {SHARES})"))
+    found = found.withColumn("place", F.expr(ranked.format(", share"))).filter(F.col("place") <= top)
+    place = F.expr(ranked.format("")).cast("bigint")
     totals = counts.filter("size = 0").select("lang", F.col("a").alias("n"))
     best = found.withColumn("rank", place).filter(F.col("rank") <= top).join(totals, "lang")
     return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
