@@ -3,10 +3,10 @@
 A phrase of words scores ``floor(1000000 a^2 / (l r))`` for its count ``a`` and the counts of its two parts, at the lowest-scoring cut.
 A phrase is grown from its prefixes, and a prefix bounds what grows from it: a phrase is no more frequent than its prefix or its rest, so
 
-* with one word no phrase is bounded below the best score, as its rest may be that word's only one: all words are grown at once,
+* with one word no phrase is bounded below the best score, as its rest may be that word's only one: all frequent words are grown at once,
 * with two words of count ``b`` no longer phrase scores more than ``floor(1000000 b / f(first word))`` at its first cut.
 
-So words and pairs are counted in one pass. Then, for a score that is lowered round by round for each language, the prefixes are opened
+So a pass counts words, and one the pairs of frequent words. Then, for a score that is lowered round by round for each language, the prefixes are opened
 that may lead to this score: those whose bound reaches it, and those on which it depends whether a pair with this score survives, that is
 the pair itself, and frequent pairs that end with its first word. A pass over the texts counts the phrases grown from newly
 opened prefixes. A language is settled once as many phrases as asked for survive with the score reached, or nothing is left to
@@ -116,26 +116,33 @@ def _pass(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return small_batches(docs).select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), texts.alias("t"))
 
 
-def _words_and_pairs(block: Words):
-    """One row of size 0 for all words, then words and pairs."""
+def _words(block: Words):
+    """One row of size 0 for all words, then the words."""
     places = block.begins(1)
     yield 0, [b""], np.array([len(places)])
-    for size in (1, 2):
-        phrases, n, _ = block.phrases(block.begins(size), size)
-        yield size, phrases, n
+    phrases, n, _ = block.phrases(places, 1)
+    yield 1, phrases, n
+
 
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    return ((bits[hashes >> 6] >> (hashes & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
-def _grown_triples(bits: np.ndarray):
-    """Counts the phrases of three words whose first two are open, by a bit set over hashes of language and prefix."""
+
+def _grown(size: int, heads: np.ndarray, tails: np.ndarray):
+    """Counts the phrases of ``size`` words that begin with an open prefix and end with a frequent rest, both given as bit sets."""
 
     def grown(block: Words):
-        places = block.begins(3)
-        prefixes, _, which = block.phrases(places, 2)
+        shorter = block.begins(size - 1)
+        parts, _, which = block.phrases(shorter, size - 1)
         seed = xxhash.xxh64_intdigest(block.lang.encode(), SPARK_SEED)
-        hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) & (FILTER_BITS - 1) for p in prefixes), np.int64, len(prefixes))
-        is_open = ((bits[hashes >> 6] >> (hashes & 63).astype(np.uint64)) & np.uint64(1)).astype(bool)[which]
-        phrases, n, _ = block.phrases(places[is_open], 3, which[is_open])
-        yield 3, phrases, n
+        hashes = np.fromiter((xxhash.xxh64_intdigest(p, seed) & (FILTER_BITS - 1) for p in parts), np.int64, len(parts))
+        part_at = np.zeros(len(block.at), np.int64)
+        part_at[shorter] = which
+        places = block.begins(size)
+        if len(places):
+            places = places[_held(heads, hashes)[part_at[places]] & _held(tails, hashes)[part_at[places + 1]]]
+        phrases, n, _ = block.phrases(places, size, part_at[places])
+        yield size, phrases, n
 
     return grown
 
@@ -164,10 +171,10 @@ def _score_rank(scores: DataFrame, rank: int) -> DataFrame:
     return above.groupBy("lang").agg(F.coalesce(F.max(F.when(F.col("above") >= rank, F.col("score"))), F.lit(0)).alias("reached"))
 
 
-def scored_pairs(counts: DataFrame) -> DataFrame:
+def scored_pairs(counts: DataFrame, grown: DataFrame) -> DataFrame:
     """Pairs ``lang, phrase, a, first, second, l, r, score, bound`` with the counts of their words."""
     words = counts.filter("size = 1").select("lang", F.col("phrase").alias("word"), F.col("a").alias("f"))
-    pairs = counts.filter("size = 2").select(
+    pairs = grown.select(
         "lang", "phrase", "a", F.split_part("phrase", F.lit(" "), F.lit(1)).alias("first"), F.split_part("phrase", F.lit(" "), F.lit(2)).alias("second")
     )
     pairs = pairs.join(words.select("lang", F.col("word").alias("first"), F.col("f").alias("l")), ["lang", "first"])
@@ -226,8 +233,11 @@ def collocations(
     empty table gives no rows, and other columns play no part.
     """
     each = _pass(docs, lang, text)
-    counts = cut_lineage(_counted(each, _words_and_pairs, block_bytes).filter(f"size = 0 OR a >= {least}"))
-    pairs = cut_lineage(scored_pairs(counts))
+    counts = cut_lineage(_counted(each, _words, block_bytes).filter(f"size = 0 OR a >= {least}"))
+    frequent = _bit_set(counts.filter("size = 1"))
+    grown = _counted(each, _grown(2, frequent, frequent), block_bytes).filter(f"a >= {least}")
+    pairs = cut_lineage(scored_pairs(counts, grown))
+    frequent = _bit_set(pairs)
     opened = triples = scored = None
     waiting, settled = pairs.select("lang").distinct(), []
     rank = top * ahead
@@ -238,7 +248,7 @@ def collocations(
         wanted = cut_lineage(wanted.join(opened, ["lang", "phrase"], "left_anti") if opened else wanted)
         bits = _bit_set(wanted)
         if bits.any():
-            found = _counted(each, _grown_triples(bits), block_bytes)
+            found = _counted(each, _grown(3, bits, frequent), block_bytes)
             found = found.filter(f"a >= {least}").select("lang", "phrase", "a")
             # A prefix that the bit set held by chance may be counted twice, with the same result.
             triples = cut_lineage(found.unionAll(triples).distinct() if triples else found)

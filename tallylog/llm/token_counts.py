@@ -15,13 +15,13 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from functools import lru_cache
 from itertools import chain
 from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,11 +123,11 @@ class Block(dict):
 def packed_numbers(parts: list[np.ndarray]) -> bytes:
     """Numbers as their low bytes, then their next ones, and so on, compressed: small numbers take about a byte."""
     whole = np.concatenate(parts).astype("<u4")
-    return zlib.compress(np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 4).T).tobytes(), 6)
 
 
 def unpacked_numbers(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(4, -1)
     return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
