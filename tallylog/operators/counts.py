@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,10 +69,10 @@ def count_errors_by_endpoint(records: DataFrame) -> DataFrame:
     return count_by(records.filter(is_error(F.col("status"))), "endpoint")
 
 
-def minute_table(records: DataFrame) -> DataFrame:
-    """Per present minute: ``requests`` and one count per trended status class."""
+def minute_table(records: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per present minute, of each key in ``by``: ``requests`` and one count per trended status class."""
     family = status_family(F.col("status"))
-    return records.groupBy(minute_bucket(F.col("timestamp_utc")).alias("minute")).agg(
+    return records.groupBy(*by, minute_bucket(F.col("timestamp_utc")).alias("minute")).agg(
         F.count(F.lit(1)).alias("requests"),
         *[F.count_if(family == name).alias(name) for name in TRENDED_FAMILIES],
     )

@@ -22,15 +22,15 @@ def with_position(df: DataFrame, order: str, name: str = "position") -> DataFram
     Rows are numbered inside blocks of the order column, and each block starts
     where the counts of the blocks before it end.
     """
-    blocked = df.withColumn("block", F.floor(F.col(order) / NUMBERING_BLOCK))
-    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocked = df.withColumn("_block", F.floor(F.col(order) / NUMBERING_BLOCK))
+    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        blocked.groupBy("block")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("block", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+        blocked.groupBy("_block")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
-    inside = F.row_number().over(Window.partitionBy("block").orderBy(order)) - 1
-    return blocked.join(starts, "block").withColumn(name, F.col("start") + inside).drop("block", "start")
+    inside = F.row_number().over(Window.partitionBy("_block").orderBy(order)) - 1
+    return blocked.join(starts, "_block").withColumn(name, F.col("_start") + inside).drop("_block", "_start")
 
 
 def sample_anomaly_series(points: DataFrame, total: int, max_points: int = SERIES_POINTS) -> DataFrame:

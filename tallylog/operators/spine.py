@@ -1,13 +1,15 @@
-"""Minute spines: gap edges for the trends, every minute for the detection."""
+"""Minute spines: gap edges for the trends, runs for the detection, every minute where it is asked for."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import TRENDED_FAMILIES, minute_number, minute_start
+from tallylog.operators.stretches import expand, value_runs
 
 COUNTS = ["requests", *TRENDED_FAMILIES]
 
@@ -22,9 +24,14 @@ class Span:
 
 def span_row(minutes: DataFrame) -> DataFrame:
     """One row (``first``, ``points``); ``first`` is NULL for an empty minute table."""
+    return span_rows(minutes)
+
+
+def span_rows(minutes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``first`` and ``points`` of every key."""
     number = minute_number(F.col("minute"))
-    return minutes.agg(F.min(number).alias("first"), F.max(number).alias("last")).select(
-        "first", F.coalesce(F.col("last") - F.col("first") + 1, F.lit(0).cast("bigint")).alias("points")
+    return minutes.groupBy(*by).agg(F.min(number).alias("first"), F.max(number).alias("last")).select(
+        *by, "first", F.coalesce(F.col("last") - F.col("first") + 1, F.lit(0).cast("bigint")).alias("points")
     )
 
 
@@ -68,10 +75,18 @@ def continuous_minutes(spark: SparkSession, span: Span) -> DataFrame:
     )
 
 
+def error_points(minutes: DataFrame, span: Span) -> DataFrame:
+    """The minutes with 5xx (``i``, ``errors``)."""
+    number = minute_number(F.col("minute"))
+    return minutes.filter(F.col("5xx") > 0).select((number - span.first).alias("i"), F.col("5xx").alias("errors"))
+
+
+def error_runs(minutes: DataFrame, span: Span) -> DataFrame:
+    """5xx per minute as runs (``start``, ``length``, ``errors``): minutes with errors, and what lies between as one run of 0."""
+    return value_runs(error_points(minutes, span), span.points, "errors")
+
+
 def error_series(minutes: DataFrame, span: Span) -> DataFrame:
-    """5xx per minute on the continuous spine (``i``, ``errors``), 0 where nothing was logged."""
-    spine = continuous_minutes(minutes.sparkSession, span).select("i")
-    present = minutes.select(
-        (minute_number(F.col("minute")) - span.first).alias("i"), F.col("5xx").alias("errors")
-    )
-    return spine.join(present, "i", "left").select("i", F.coalesce("errors", F.lit(0)).alias("errors"))
+    """5xx per minute on the continuous spine (``i``, ``errors``), 0 where nothing was logged: as long as the span is."""
+    start = F.col("start")
+    return expand(error_runs(minutes, span), start, start + F.col("length") - 1, "errors").select("i", "errors")

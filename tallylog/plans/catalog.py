@@ -265,25 +265,36 @@ def savgol_smooth(spark, sf_dir):
     return smoothing.savgol_smooth(spine.error_series(minutes, span), span.points, length, order, "errors")
 
 
-def _baseline(spark, sf_dir):
+def error_runs(spark, sf_dir):
     minutes = _minutes(spark, sf_dir)
-    return detection.error_baseline(minutes, *detection.smoothing_frame(minutes, detection.DEFAULT_WINDOW))
+    return spine.error_runs(minutes, spine.minute_span(minutes))
 
 
-def _residuals(spark, sf_dir):
-    return detection.error_residuals(_baseline(spark, sf_dir))
+def error_baseline(spark, sf_dir):
+    return _detect(spark, sf_dir).points.select("i", "errors", "baseline")
+
+
+def error_residuals(spark, sf_dir):
+    return _detect(spark, sf_dir).points.select("i", "errors", "baseline", "residual")
+
+
+def _weighted_residuals(spark, sf_dir) -> DataFrame:
+    minutes = _minutes(spark, sf_dir)
+    span, length, order = detection.smoothing_frame(minutes, detection.DEFAULT_WINDOW)
+    residuals = cut_lineage(detection.error_residuals(detection.error_baseline(minutes, span, length, order)))
+    return detection.with_rest(residuals, span.points)
 
 
 def residual_median(spark, sf_dir):
-    residuals = cut_lineage(_residuals(spark, sf_dir))
-    median = robust.exact_median(residuals, F.col("residual"))
-    return residuals.agg(F.count(F.lit(1)).alias("points")).withColumn("median", F.lit(median).cast("double"))
+    residuals = _weighted_residuals(spark, sf_dir)
+    median = robust.exact_median(residuals, F.col("residual"), F.col("weight"))
+    return residuals.agg(F.sum("weight").alias("points")).withColumn("median", F.lit(median).cast("double"))
 
 
 def residual_scale(spark, sf_dir):
-    residuals = cut_lineage(_residuals(spark, sf_dir))
-    scale = robust.robust_scale(residuals, "residual")
-    return residuals.agg(F.count(F.lit(1)).alias("points")).select(
+    residuals = _weighted_residuals(spark, sf_dir)
+    scale = robust.robust_scale(residuals, "residual", F.col("weight"))
+    return residuals.agg(F.sum("weight").alias("points")).select(
         "points",
         # The standard deviation, used where the MAD is 0, may differ in its last bits.
         F.round(F.lit(scale), 9).alias("robust_scale"),
@@ -295,6 +306,25 @@ def _detect(spark, sf_dir, sigma=detection.DEFAULT_SIGMA) -> detection.Detection
     return detection.detect_anomalies(_minutes(spark, sf_dir), sigma=sigma)
 
 
+def _detect_by_endpoint(spark, sf_dir) -> detection.KeyedDetection:
+    records = _records(spark, sf_dir, ["timestamp_utc", "status", "endpoint"])
+    return detection.detect_anomalies_by(cut_lineage(counts.minute_table(records, ["endpoint"])), ["endpoint"], sigma=LOW_SIGMA)
+
+
+def endpoint_frames(spark, sf_dir):
+    frames = _detect_by_endpoint(spark, sf_dir).frames
+    return frames.select(
+        "endpoint", iso_number(F.col("first")).alias("first_minute"), "points", "window_length", "polyorder", F.round("residual_scale", 9).alias("residual_scale")
+    )
+
+
+def endpoint_detection(spark, sf_dir):
+    """Every minute with errors of every endpoint, judged within its endpoint."""
+    judged = _detect_by_endpoint(spark, sf_dir).stretches.filter("errors > 0")
+    # A scale that is a standard deviation may differ in its last bits.
+    return _iso(judged).withColumns({name: F.round(name, 9) for name in ("score", "threshold")}).drop("i")
+
+
 def anomaly_thresholds(spark, sf_dir):
     return _detect(spark, sf_dir).points.select("i", "errors", "threshold", "is_anomaly")
 
@@ -311,8 +341,7 @@ def anomaly_detection_meta(spark, sf_dir):
 
 
 def _sampled(spark, sf_dir) -> DataFrame:
-    found = _detect(spark, sf_dir)
-    return sampling.sample_anomaly_series(found.points, found.span.points, SAMPLE_POINTS)
+    return _detect(spark, sf_dir).sampled(SAMPLE_POINTS)
 
 
 def anomaly_series_sampled(spark, sf_dir):
@@ -490,10 +519,13 @@ QUERIES: dict[str, Query] = {
     "savgol_coefficients": savgol_coefficients,
     "reflect_pad": reflect_pad,
     "savgol_smooth": savgol_smooth,
-    "error_baseline": _baseline,
-    "error_residuals": _residuals,
+    "error_runs": error_runs,
+    "error_baseline": error_baseline,
+    "error_residuals": error_residuals,
     "residual_median": residual_median,
     "residual_scale": residual_scale,
+    "endpoint_frames": endpoint_frames,
+    "endpoint_detection": endpoint_detection,
     "anomaly_thresholds": anomaly_thresholds,
     "anomalies": anomalies,
     "anomaly_detection_meta": anomaly_detection_meta,

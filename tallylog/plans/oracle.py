@@ -190,6 +190,41 @@ def _sql(query: str, window: int = 5, sigma: float = 2.0) -> str:
     return f"WITH {chain}\n{query}"
 
 
+def _by_endpoint(query: str) -> str:
+    """A query over the detection within each endpoint, worked out on every minute of every endpoint."""
+    steps = {
+        "e_minutes": """SELECT endpoint, epoch_us(minute) // 60000000 AS m, count(*) FILTER (status BETWEEN 500 AND 599) AS errors
+            FROM valid GROUP BY ALL""",
+        "e_bounds": "SELECT endpoint, min(m) AS first_m, max(m) - min(m) + 1 AS n FROM e_minutes GROUP BY endpoint",
+        "e_params": f"SELECT *, {_window_sql('5')} AS w FROM e_bounds",
+        "e_series": """SELECT s.endpoint, s.i, s.first_m, s.n, s.w, coalesce(c.errors, 0) AS errors
+            FROM (SELECT *, unnest(range(n)) AS i FROM e_params) s
+            LEFT JOIN e_minutes c ON c.endpoint = s.endpoint AND c.m = s.first_m + s.i""",
+        "e_weights": """SELECT w, k, CASE WHEN w = 3 THEN 1 ELSE 3 * (3 * (w // 2) * (w // 2) + 3 * (w // 2) - 1) - 15 * k * k END AS numerator,
+                CASE WHEN w = 3 THEN 3 ELSE (w - 2) * w * (w + 2) END AS denominator
+            FROM (SELECT w, unnest(range(-(w // 2), w // 2 + 1)) AS k FROM (SELECT DISTINCT w FROM e_params WHERE w > 0))""",
+        "e_taps": """SELECT s.endpoint, s.i, s.first_m, s.n, s.errors, c.numerator, c.denominator,
+                CASE WHEN s.i + c.k < 0 THEN -(s.i + c.k) WHEN s.i + c.k > s.n - 1 THEN 2 * (s.n - 1) - s.i - c.k ELSE s.i + c.k END AS j
+            FROM e_series s JOIN e_weights c ON c.w = s.w""",
+        "e_smoothed": """SELECT t.endpoint, t.i, t.first_m, t.n, t.errors,
+                CAST(sum(t.numerator * p.errors) AS DOUBLE) / CAST(min(t.denominator) AS DOUBLE) AS smoothed
+            FROM e_taps t JOIN e_series p ON p.endpoint = t.endpoint AND p.i = t.j GROUP BY ALL
+            UNION ALL SELECT endpoint, i, first_m, n, errors, errors FROM e_series WHERE w = 0""",
+        "e_residuals": """SELECT *, greatest(0.0, smoothed) AS baseline, errors - greatest(0.0, smoothed) AS residual FROM e_smoothed""",
+        "e_center": "SELECT endpoint, median(residual) AS middle, stddev_pop(residual) AS deviation FROM e_residuals GROUP BY endpoint",
+        "e_scales": """SELECT endpoint, greatest(1.0::DOUBLE, CASE WHEN median(abs(residual - middle)) > 0
+                THEN 1.4826::DOUBLE * median(abs(residual - middle)) ELSE min(deviation) END) AS scale
+            FROM e_residuals JOIN e_center USING (endpoint) GROUP BY endpoint""",
+        "e_points": f"""SELECT *, residual / scale AS score, greatest(baseline + {LOW_SIGMA}::DOUBLE * scale, 3.0::DOUBLE) AS threshold
+            FROM e_residuals JOIN e_scales USING (endpoint)""",
+    }
+    shared = {"judged_lines", "e_minutes", "e_params", "e_series", "e_taps", "e_residuals"}
+    chain = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in shared else ''}({body})" for name, body in (_STEPS | steps).items()
+    )
+    return f"WITH {chain}\n{query}"
+
+
 def _count(key: str, where: str = "true") -> str:
     return f"SELECT {key}, count(*) AS count FROM valid WHERE {where} GROUP BY {key}"
 
@@ -399,6 +434,19 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "reflect_pad": _sql("SELECT i, errors FROM padded", WIDE_WINDOW),
     "savgol_smooth": _sql("SELECT i, errors, smoothed FROM smoothed", WIDE_WINDOW),
+    "error_runs": _sql(
+        "SELECT i AS start, 1::BIGINT AS length, errors FROM series WHERE errors > 0 UNION ALL "
+        "SELECT min(i), count(*), 0 FROM (SELECT i, i - row_number() OVER (ORDER BY i) AS gap FROM series WHERE errors = 0) GROUP BY gap"
+    ),
+    "endpoint_frames": _by_endpoint(
+        f"SELECT endpoint, {_iso_number('first_m')} AS first_minute, n AS points, w AS window_length, "
+        "CAST(CASE w WHEN 0 THEN 0 WHEN 3 THEN 1 ELSE 2 END AS BIGINT) AS polyorder, round(scale, 9) AS residual_scale "
+        "FROM e_params JOIN e_scales USING (endpoint)"
+    ),
+    "endpoint_detection": _by_endpoint(
+        f"SELECT endpoint, {_iso_number('first_m + i')} AS minute, errors, baseline, residual, round(threshold, 9) AS threshold, "
+        "round(score, 9) AS score, errors >= 3 AND errors >= threshold AND residual > 0 AS is_anomaly FROM e_points WHERE errors > 0"
+    ),
     "error_baseline": _sql("SELECT i, errors, baseline FROM residuals"),
     "error_residuals": _sql("SELECT i, errors, baseline, residual FROM residuals"),
     "residual_median": _sql("SELECT (SELECT count(*) FROM residuals) AS points, median FROM center"),

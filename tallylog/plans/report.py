@@ -25,7 +25,6 @@ from tallylog.operators.sampling import (
     PLOT_POINTS,
     SERIES_POINTS,
     first_page,
-    sample_anomaly_series,
     sample_evenly,
 )
 from tallylog.operators.spine import family_trends, sparse_trend
@@ -62,7 +61,7 @@ class Report:
 
     @property
     def anomaly_series(self) -> DataFrame:
-        return sample_anomaly_series(self.detection.points, self.detection.span.points)
+        return self.detection.sampled()
 
     def plot_trend(self, max_points: int = PLOT_POINTS) -> DataFrame:
         """The trend and all its status classes at one shared set of minutes."""
@@ -70,7 +69,7 @@ class Report:
         return sample_evenly(numbered, "number", self.trend.count(), max_points).drop("number")
 
     def plot_anomalies(self, max_points: int = PLOT_POINTS, series_points: int = SERIES_POINTS) -> DataFrame:
-        points = sample_anomaly_series(self.detection.points, self.detection.span.points, series_points)
+        points = cut_lineage(self.detection.sampled(series_points))
         return sample_evenly(points, "i", points.count(), max_points, keep="is_anomaly")
 
     @property

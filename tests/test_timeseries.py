@@ -6,15 +6,25 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import minute_number
-from tallylog.operators.detection import detect_anomalies, judge
-from tallylog.operators.robust import exact_median, robust_scale
+from tallylog.operators.detection import detect_anomalies, detect_anomalies_by, judge
+from tallylog.operators.robust import exact_median, exact_medians, robust_scale, robust_scales
 from tallylog.operators.smoothing import (
     savgol_coefficients,
     savgol_smooth,
     window_length,
     with_params,
 )
-from tallylog.operators.spine import COUNTS, Span, continuous_minutes, error_series, minute_span, sparse_trend
+from tallylog.operators import stretches
+from tallylog.operators.sampling import sample_anomaly_series
+from tallylog.operators.spine import (
+    COUNTS,
+    Span,
+    continuous_minutes,
+    error_runs,
+    error_series,
+    minute_span,
+    sparse_trend,
+)
 from tests import brute_force as rules
 
 BASE = 26_297_880  # 2020-01-01 10:00 UTC as a minute number
@@ -175,23 +185,45 @@ def test_large_counts_keep_exact_sums(spark):
     assert found == pytest.approx([float(x) for x in rules.smooth(values, 5)], rel=1e-15)
 
 
-def test_median_brackets_narrow_until_few_are_left(spark, monkeypatch):
+def test_median_rounds_hold_a_bounded_number_of_sums(spark, monkeypatch):
     from tallylog.operators import robust
 
-    held = []
-    original = robust._middle_values
-
-    def counted(values, low, high, ranks):
-        held.append(values.filter(F.col("x").between(low, high)).count())
-        return original(values, low, high, ranks)
-
-    monkeypatch.setattr(robust, "_middle_values", counted)
-    monkeypatch.setattr(robust, "ORDERED", 20)
-    values = spark.range(100_000).select((F.col("id") * 7919 % 100_000).cast("double").alias("x"))
-    assert exact_median(values, F.col("x")) == 49_999.5
-    assert held[0] <= 20
-    # Nothing can narrow a bracket of equal values.
-    assert exact_median(values.select(F.lit(3.0).alias("x")), F.col("x")) == 3.0
+    rounds = []
+    original = robust._narrowed
+
+    def counted(bracketed, by):
+        rounds.append(1)
+        return original(bracketed, by)
+
+    monkeypatch.setattr(robust, "_narrowed", counted)
+    monkeypatch.setattr(robust, "PARTS", 20)
+    values = spark.range(99_999).select((F.col("id") * 7919 % 99_999).cast("double").alias("x"))
+    assert exact_median(values, F.col("x")) == 49_999.0
+    assert 2 <= len(rounds) <= 5
+    # Equal values need no second look, far ends and tiny gaps few rounds.
+    rounds.clear()
+    assert exact_median(values.select(F.lit(3.0).alias("x")), F.col("x")) == 3.0 and len(rounds) == 1
+    far = spark.createDataFrame([(x,) for x in (-1e300, 5e-324, 0.0, 1e-300, 1e300)], "x DOUBLE")
+    assert exact_median(far, F.col("x")) == 5e-324
+    for bad in (float("nan"), float("inf")):
+        with pytest.raises(ArithmeticError):
+            exact_median(spark.createDataFrame([(1.0,), (bad,)], "x DOUBLE"), F.col("x"))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_weighted_median_equals_the_plain_one(spark, seed):
+    rng = random.Random(seed)
+    runs = [(rng.choice("abc"), rng.choice([0.0, -1.5, rng.gauss(0, 9), 1e9]), rng.randint(0, 40)) for _ in range(60)] + [("d", 2.0, 1)]
+    frame = spark.createDataFrame(runs, "k STRING, x DOUBLE, w INT").repartition(4)
+    plain = [x for _, x, w in runs for _ in range(w)]
+    assert exact_median(frame, F.col("x"), F.col("w")) == rules.median(plain)
+    by_key = {k: [x for own, x, w in runs if own == k for _ in range(w)] for k in "abcd"}
+    found = {r["k"]: r["median"] for r in exact_medians(frame, ["k"], F.col("x"), F.col("w")).collect()}
+    assert found == {k: rules.median(values) for k, values in by_key.items()}
+    scales = {r["k"]: r["scale"] for r in robust_scales(frame, ["k"], "x", F.col("w")).collect()}
+    for k, values in by_key.items():
+        plain_scale = robust_scale(spark.createDataFrame([(v,) for v in values], "x DOUBLE"), "x")
+        assert scales[k] == pytest.approx(plain_scale, rel=1e-12)
 
 
 @pytest.mark.parametrize("ansi", ["true", "false"])
@@ -213,3 +245,85 @@ def test_smoothing_windows_wider_than_blocks(spark, requested):
     spots = [0, 1, 1023, 1024, 2999, 4096, 5998, 5999]
     expected = [sum(c[k + h] * rules.mirrored(values, i + k) for k in range(-h, h + 1)) for i in spots]
     assert [found[i] for i in spots] == pytest.approx([float(x) for x in expected], rel=1e-12)
+
+
+def dense_detection(values, window, sigma):
+    """Verdicts of every minute, worked out on the whole series."""
+    baseline = [max(0.0, float(x)) for x in rules.smooth(values, window)]
+    residual = [v - b for v, b in zip(values, baseline)]
+    middle = rules.median(residual)
+    scale = 1.4826 * rules.median([abs(r - middle) for r in residual])
+    if scale == 0:
+        mean = sum(residual) / len(residual)
+        scale = (sum((r - mean) ** 2 for r in residual) / len(residual)) ** 0.5
+    scale = max(scale, 1.0)
+    return scale, [(v, b, r, max(b + sigma * scale, 3.0)) for v, b, r in zip(values, baseline, residual)]
+
+
+@pytest.mark.parametrize("seed,window", [(1, 5), (2, 5), (3, 9), (4, 31), (5, 301)])
+def test_stretches_equal_the_dense_path(spark, monkeypatch, seed, window):
+    monkeypatch.setattr(stretches, "CHUNK", 7)
+    monkeypatch.setattr(stretches, "NUMBERING_BLOCK", 16)
+    rng = random.Random(seed)
+    n = rng.choice([260, 601])
+    spots = {0, n - 1, 3} | {min(n - 1, c + rng.randint(0, 12)) for c in rng.sample(range(n), 9) for _ in range(4)}
+    errors = {m: rng.choice([1, 2, 9, 60]) for m in spots}
+    found = detect_anomalies(minute_frame(spark, errors, {0: 1, n - 1: 1}), window, 1.0)
+    scale, expected = dense_detection([errors.get(m, 0) for m in range(n)], window, 1.0)
+    assert found.scale == pytest.approx(scale, rel=1e-12)
+    rows = {r["i"]: r for r in found.points.collect()}
+    assert sorted(rows) == list(range(n))
+    for i, (v, b, r, threshold) in enumerate(expected):
+        assert rows[i]["errors"] == v
+        assert (rows[i]["baseline"], rows[i]["residual"], rows[i]["threshold"]) == pytest.approx((b, r, threshold), abs=1e-9)
+    assert found.stretches.select("i").distinct().count() == found.stretches.count() <= n
+    sampled = {r["i"] for r in found.sampled(50).collect()}
+    assert sampled == {r["i"] for r in sample_anomaly_series(found.points, n, 50).collect()}
+
+
+def test_a_far_off_year_costs_nothing(spark):
+    far = 4_000_000_000
+    errors = {0: 1, 5: 40, 6: 2, 1000: 9, far: 3}
+    found = detect_anomalies(minute_frame(spark, errors, {1: 7}))
+    assert found.span.points == far + 1 and found.stretches.count() < 60
+    assert {r["minute"].year for r in found.anomalies.collect()} >= {2020} and found.meta.first()["points"] == far + 1
+    # All but a few residuals are 0, so the deviation counts.
+    assert found.scale == 1.0
+    assert 1200 <= found.sampled().count() <= 1200 + 5 * 5
+    runs = error_runs(minute_frame(spark, errors, {1: 7}), found.span).orderBy("start").collect()
+    assert [tuple(r) for r in runs] == [(0, 1, 1), (1, 4, 0), (5, 1, 40), (6, 1, 2), (7, 993, 0), (1000, 1, 9), (1001, far - 1001, 0), (far, 1, 3)]
+
+
+def test_runs_of_short_series(spark):
+    for n, spots in ((1, set()), (1, {0}), (4, set()), (4, {0, 3}), (5, {2}), (6, {0, 1, 5}), (0, set())):
+        points = spark.createDataFrame([(i, i + 1) for i in spots], "i BIGINT, v BIGINT")
+        runs = sorted(tuple(r) for r in stretches.value_runs(points, n, "v").collect())
+        assert [i + k for i, length, _ in runs for k in range(length)] == list(range(n))
+        assert {i: v for i, length, v in runs if v} == {i: i + 1 for i in spots} and all(length == 1 for _, length, v in runs if v)
+
+
+@pytest.mark.parametrize("window,sigma", [(5, 0.5), (40, 1.0)])
+def test_keyed_detection_is_one_per_key(spark, window, sigma):
+    rng = random.Random(window)
+    tables, merged = {}, None
+    for key, n in (("a", 300), ("b", 61), ("c", 4), ("d", 2), ("e", 30), (None, 9)):
+        errors = {m: rng.choice([0, 0, 0, 1, 5, 30]) for m in range(n)} if key != "e" else {0: 0, 29: 0}
+        tables[key] = minute_frame(spark, errors, {0: 1, n - 1: 1})
+        own = tables[key].select(F.lit(key).cast("string").alias("k"), "*")
+        merged = own if merged is None else merged.unionAll(own)
+    found = detect_anomalies_by(merged, ["k"], window, sigma)
+    frames = {r["k"]: r for r in found.frames.collect()}
+    assert set(frames) == {"a", "b", "c", "d", "e"}  # a null key names no series
+    rows = found.stretches.collect()
+    for key in frames:
+        alone = detect_anomalies(tables[key], window, sigma)
+        own = frames[key]
+        assert (own["first"], own["points"], own["window_length"], own["polyorder"]) == (alone.span.first, alone.span.points, alone.window, alone.order)
+        assert own["residual_scale"] == pytest.approx(alone.scale, rel=1e-12)
+        judged = {r["i"]: r for r in rows if r["k"] == key and r["errors"]}
+        expected = {r["i"]: r for r in alone.points.filter("errors > 0").collect()}
+        assert judged.keys() == expected.keys()
+        for i, r in expected.items():
+            assert judged[i]["is_anomaly"] == r["is_anomaly"] and judged[i]["minute"] == r["minute"]
+            assert [judged[i][c] for c in ("baseline", "residual", "threshold", "score")] == pytest.approx([r[c] for c in ("baseline", "residual", "threshold", "score")])
+    assert found.anomalies.count() == sum(r["is_anomaly"] for r in rows) > 0
