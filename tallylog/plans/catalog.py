@@ -69,10 +69,10 @@ def _written_lines(spark, sf_dir) -> str:
 
 def source_file_sizes(spark, sf_dir):
     path = _written_lines(spark, sf_dir)
-    # Three ways to name the same files, and a glob that matches none.
-    inputs = [path, f"{path}/shard=1", f"{path}/shard=*/*.txt", f"{path}/none-*.log"]
+    # Three ways to name the files, some of them twice, and a glob that matches none.
+    inputs = [f"{path}/shard=1", f"{path}/none-*.log", f"{path}/shard=[123]/*.txt", path]
     shard = F.regexp_extract("path", r"shard=(\d+)", 1).cast("bigint")
-    return source_files(spark, inputs).groupBy(shard.alias("shard")).agg(F.sum("bytes").alias("bytes"))
+    return source_files(spark, inputs).groupBy(shard.alias("shard"), "position").agg(F.sum("bytes").alias("bytes"))
 
 
 def raw_line_count(spark, sf_dir):

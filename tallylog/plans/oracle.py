@@ -360,7 +360,8 @@ _NULL_FIELDS = ", ".join(["NULL"] * 12)
 
 ORACLE_SQL: dict[str, str] = {
     "source_files": _sql(
-        "SELECT event_id % 4 AS shard, CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes FROM raw GROUP BY shard"
+        "SELECT event_id % 4 AS shard, CASE event_id % 4 WHEN 1 THEN 0 WHEN 0 THEN 3 ELSE 2 END AS position, "
+        "CAST(sum(strlen(value) + 1) AS BIGINT) AS bytes FROM raw GROUP BY ALL"
     ),
     "raw_line_count": _sql(
         "SELECT count(*) AS lines, count(*) FILTER (trim(value) = '') AS blank_lines FROM raw"

@@ -244,7 +244,7 @@ def json_parts(report: Report) -> dict[str, DataFrame]:
     }
     if report.inputs is not None:
         files = source_files(report.rollup.sparkSession, report.inputs)
-        parts["input_files"] = files.select("path").orderBy("path")
+        parts["input_files"] = files.select("position", "path").orderBy("position", "path")
     return parts
 
 
