@@ -17,6 +17,7 @@ from tallylog.functions.buckets import (
     minute_start,
     status_family,
 )
+from tallylog.session import cut_lineage
 
 # A rollup row: ``dim`` names what is counted, ``label`` and ``number`` are its key.
 #   dim            label          number
@@ -28,6 +29,7 @@ ROLLUP_KEYS = ["dim", "label", "number"]
 # Sums of sizes and times are kept with the totals only; other rows have 0.
 ROLLUP_SUMS = ["response_bytes", "response_time_ms"]
 ROLLUP_COLUMNS = [*ROLLUP_KEYS, "lines", *ROLLUP_SUMS]
+DIMENSIONS = ["method_status", "endpoint", "ip", "minute"]
 
 
 def _exact_sum(name: str) -> Column:
@@ -126,7 +128,7 @@ def build_rollup(parsed: DataFrame, part: str | None = None) -> DataFrame:
 
 def merge_rollups(*rollups: DataFrame) -> DataFrame:
     """The rollup of all parts together, whatever their order and split."""
-    together = reduce(DataFrame.unionByName, rollups)
+    together = reduce(DataFrame.unionByName, rollups).filter("lines > 0")
     return together.groupBy(*ROLLUP_KEYS).agg(F.sum("lines").alias("lines"), *map(_exact_sum, ROLLUP_SUMS))
 
 
@@ -135,8 +137,29 @@ def save_rollup(rollup: DataFrame, path: str, mode: str = "error") -> None:
     rollup.write.mode(mode).partitionBy("dim").parquet(path)
 
 
+def save_parts(rollup: DataFrame, path: str, part: str, written: Sequence | None = None) -> None:
+    """Stores a rollup of parts, such as days, so that saving a part again replaces it: a repeated job counts nothing twice.
+
+    Each part has a folder per dimension, and a save replaces all folders of the parts that it writes and no others. So a part gets
+    a row of no lines in every dimension, which also clears what an earlier save had there. ``written`` names
+    the parts; by default they are those in the rollup, so a part that has become empty must be named.
+    """
+    spark = rollup.sparkSession
+    if written is None:
+        rollup = cut_lineage(rollup)
+        parts = rollup.select(part).distinct()
+    else:
+        parts = spark.createDataFrame([(value,) for value in written], rollup.select(part).schema)
+    dims = F.explode(F.array(*map(F.lit, DIMENSIONS))).alias("dim")
+    nothing = parts.select(part, dims).select("*", *[F.lit(None).cast(rollup.schema[c].dataType).alias(c) for c in ("label", "number")])
+    nothing = nothing.select("*", *[F.lit(0).cast(rollup.schema[c].dataType).alias(c) for c in ("lines", *ROLLUP_SUMS)])
+    rows = rollup.select(part, *ROLLUP_COLUMNS).unionByName(nothing)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part, "dim").parquet(path)
+
+
 def load_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select(*ROLLUP_COLUMNS)
+    """A saved rollup, of one save or of parts."""
+    return spark.read.parquet(path).select(*ROLLUP_COLUMNS).filter("lines > 0")
 
 
 def rollup_totals(rollup: DataFrame) -> DataFrame:

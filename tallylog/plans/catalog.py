@@ -193,7 +193,10 @@ def multi_key_rollup(spark, sf_dir):
 def merge_rollups(spark, sf_dir):
     parsed = _parsed(spark, sf_dir, report.ROLLUP_FIELDS).withColumn("part", F.col("event_id") % 4)
     path = shared_path(spark, "rollup-parts")
-    counts.build_rollup(parsed, part="part").write.partitionBy("part", "dim").parquet(path)
+    rollup = cut_lineage(counts.build_rollup(parsed, part="part"))
+    counts.save_parts(rollup, path, "part")
+    # Saved again, a part replaces itself.
+    counts.save_parts(rollup.filter("part % 2 = 1"), path, "part", [1, 3])
     parts = [counts.load_rollup(spark, f"{path}/part={k}") for k in (2, 0, 3, 1)]
     return _bigint_sums(counts.merge_rollups(*parts))
 
@@ -433,7 +436,8 @@ SUMMARY_SCHEMA = """
         status_codes: ARRAY<STRUCT<key: STRING, count: BIGINT>>,
         methods: ARRAY<STRUCT<key: STRING, count: BIGINT>>>,
     anomaly_detection STRUCT<window_length: BIGINT, polyorder: BIGINT, sigma: DOUBLE, residual_scale: DOUBLE,
-        min_error_count: BIGINT, points: BIGINT, anomalies: BIGINT>
+        min_error_count: BIGINT, points: BIGINT, anomalies: BIGINT>,
+    datasets ARRAY<STRUCT<name: STRING, rows: BIGINT>>
 """
 
 
@@ -449,7 +453,7 @@ def report_summary(spark, sf_dir):
             F.col(f"{part.name}.{field.name}").cast("double").alias("value"),
         )
         for part in summary.schema.fields
-        if part.name != "aggregations"
+        if part.name not in ("aggregations", "datasets")
         for field in part.dataType.fields
     ]
     scalars = summary.select(F.inline(F.array(*numbers)))
@@ -459,7 +463,10 @@ def report_summary(spark, sf_dir):
         ).select("section", (F.col("place") + 1).alias("place"), "item.key", F.col("item.count").cast("double").alias("value"))
         for field in summary.schema["aggregations"].dataType.fields
     ]
-    return reduce(DataFrame.unionByName, lists, scalars)
+    datasets = summary.select(F.explode("datasets").alias("d")).select(
+        F.lit("datasets").alias("section"), F.lit(0).alias("place"), F.col("d.name").alias("key"), F.col("d.rows").cast("double").alias("value")
+    )
+    return reduce(DataFrame.unionByName, [*lists, datasets], scalars)
 
 
 def report_csv_tables(spark, sf_dir):

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import TRENDED_FAMILIES, iso_minute
+from tallylog.operators.ranking import with_rank
 from tallylog.plans.report import Report
 
 
 def bar_feed(table: DataFrame, key: str) -> DataFrame:
     """A top-N table from its last row to its first, numbered in that order.
 
-    Horizontal bars are drawn upwards, so the most frequent key comes last. The table
-    has at most the N rows asked for.
+    Horizontal bars are drawn upwards, so the most frequent key comes last. However many rows the table was asked
+    for, they are numbered by ranges.
     """
-    upwards = Window.orderBy(F.asc("count"), F.desc(key))
-    return table.select(F.row_number().over(upwards).alias("place"), F.col(key).alias("key"), "count")
+    numbered = with_rank(table, F.asc("count"), F.desc(key))
+    return numbered.select(F.col("place").cast("int").alias("place"), F.col(key).alias("key"), "count")
 
 
 def share_feed(table: DataFrame, key: str) -> DataFrame:

@@ -298,6 +298,16 @@ def _summary() -> str:
             f"SELECT '{name}', CAST(row_number() OVER (ORDER BY count DESC, {key}) AS INTEGER), {key}, "
             f"CAST(count AS DOUBLE) FROM ({query})"
         )
+    datasets = {name: f"({query})" for name, (_, query) in _TOP_TABLES.items()}
+    datasets |= {
+        "hourly_trends": "trend",
+        "status_family_trends": "(SELECT 1 FROM trend, range(4))",
+        "anomalies": "(SELECT 1 FROM verdicts WHERE is_anomaly)",
+        "anomaly_series": """(SELECT 1 FROM verdicts v WHERE n <= 1200 OR i % CAST(ceil(n / 1200) AS BIGINT) = 0
+            OR EXISTS (SELECT 1 FROM verdicts a WHERE a.is_anomaly AND v.i BETWEEN a.i - 2 AND a.i + 2))""",
+    }
+    for name, rows in datasets.items():
+        parts.append(f"SELECT 'datasets', 0, '{name}', CAST(count(*) AS DOUBLE) FROM {rows}")
     return "\nUNION ALL ".join(parts)
 
 

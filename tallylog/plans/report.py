@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from time import perf_counter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallylog.functions.buckets import iso_minute, minute_number
@@ -18,6 +18,7 @@ from tallylog.operators.counts import (
     rollup_counts,
     rollup_minutes,
     rollup_totals,
+    save_parts,
     save_rollup,
 )
 from tallylog.operators.detection import DEFAULT_SIGMA, DEFAULT_WINDOW, Detection, detect_anomalies
@@ -34,6 +35,8 @@ from tallylog.sources.files import read_lines, source_files
 
 DEFAULT_TOP_N = 10
 WRITES_AT_A_TIME = 4
+# Tables with more rows than this are not repeated as lists in the summary.
+SUMMARY_ROWS = 1000
 # All a rollup needs; the other fields are not even cut out of the line.
 ROLLUP_FIELDS = ["ip", "timestamp_utc", "method", "endpoint", "status", "response_bytes", "response_time_ms"]
 
@@ -117,11 +120,18 @@ def report_from_rollup(
     )
 
 
-def rollup_lines(lines: DataFrame, path: str | None = None) -> DataFrame:
-    """Parses and counts the lines once and stores the rollup, in the shared folder by default."""
+def rollup_lines(lines: DataFrame, path: str | None = None, part: str | None = None) -> DataFrame:
+    """Parses and counts the lines once and stores the rollup, in the shared folder by default.
+
+    With ``part``, the name of these lines such as a day, they replace that part of the rollup at ``path``; the result has all its parts.
+    """
     use_utc(lines.sparkSession)
     path = path or shared_path(lines.sparkSession, "rollup")
-    save_rollup(build_rollup(parse_access_logs(lines, ROLLUP_FIELDS)), path)
+    rollup = build_rollup(parse_access_logs(lines, ROLLUP_FIELDS))
+    if part is None:
+        save_rollup(rollup, path)
+    else:
+        save_parts(rollup.withColumn("part", F.lit(part)), path, "part", [part])
     return load_rollup(lines.sparkSession, path)
 
 
@@ -132,13 +142,15 @@ def analyze(
     window: int = DEFAULT_WINDOW,
     sigma: float = DEFAULT_SIGMA,
     rollup_path: str | None = None,
+    part: str | None = None,
 ) -> Report:
     """The report over log files, directories and globs.
 
+    With ``part`` and a ``rollup_path``, the files are one part of a growing rollup, and the report is over all of its parts.
     ``duration_seconds`` covers reading, parsing and counting, not the small tables.
     """
     start = perf_counter()
-    rollup = rollup_lines(read_lines(spark, inputs), rollup_path)
+    rollup = rollup_lines(read_lines(spark, inputs), rollup_path, part)
     return report_from_rollup(rollup, top, window, sigma, inputs, perf_counter() - start)
 
 
@@ -187,19 +199,23 @@ def run_rows(runs: DataFrame) -> DataFrame:
     )
 
 
-def _ranked(table: DataFrame, key: str) -> Column:
-    """A top-N table as one array in its order; it has at most as many rows as were asked for."""
+def _ranked(table: DataFrame, key: str, rows: int = DISTRIBUTION_ROWS) -> Column:
+    """A top-N table as one array in its order; null if it may have too many ``rows`` for a list."""
+    if rows > SUMMARY_ROWS:
+        return F.lit(None).cast("array<struct<key: string, count: bigint>>")
     item = F.struct((-F.col("count")).alias("rank"), F.col(key).alias("key"), "count")
     rows = table.agg(F.sort_array(F.collect_list(item)).alias("rows"))
     return rows.select(F.expr("transform(rows, row -> struct(row.key, row.count))")).scalar()
 
 
-def summary_row(report: Report) -> DataFrame:
-    """The report as one nested row: configuration, metrics, bounded tables, detection.
+def summary_row(report: Report, rows: dict[str, int]) -> DataFrame:
+    """The report as one nested row: configuration, metrics, short tables, detection, and the other datasets.
 
-    Trends, anomalies and series grow with the logs' time range, so they are tables
-    of their own instead of lists inside this row.
+    Trends, anomalies and series grow with the logs' time range, and top tables with what was asked for, so they are
+    datasets of their own, which ``datasets`` names with their number of ``rows``. Tables of at most ``SUMMARY_ROWS`` rows are lists here, too.
     """
+    top = report.config["top_n"]
+    datasets = [F.struct(F.lit(name).alias("name"), F.lit(n).cast("bigint").alias("rows")) for name, n in sorted(rows.items())]
     duration = F.round(F.lit(report.duration_seconds).cast("double"), 4).alias("duration_seconds")
     meta = report.detection.meta.withColumn("residual_scale", F.round("residual_scale", 4))
     return metrics_rows(report.metrics).select(
@@ -207,13 +223,14 @@ def summary_row(report: Report) -> DataFrame:
         F.struct(*[F.lit(value).alias(name) for name, value in report.config.items()]).alias("config"),
         F.struct(duration, "*").alias("metrics"),
         F.struct(
-            _ranked(report.top_ips, "ip").alias("top_ips"),
-            _ranked(report.top_endpoints, "endpoint").alias("top_endpoints"),
-            _ranked(report.top_error_endpoints, "endpoint").alias("top_error_endpoints"),
+            _ranked(report.top_ips, "ip", top).alias("top_ips"),
+            _ranked(report.top_endpoints, "endpoint", top).alias("top_endpoints"),
+            _ranked(report.top_error_endpoints, "endpoint", top).alias("top_error_endpoints"),
             _ranked(report.status_codes, "status").alias("status_codes"),
             _ranked(report.methods, "method").alias("methods"),
         ).alias("aggregations"),
         meta.select(F.struct("*").alias("meta")).scalar().alias("anomaly_detection"),
+        F.array(*datasets).cast("array<struct<name: string, rows: bigint>>").alias("datasets"),
     )
 
 
@@ -234,9 +251,8 @@ def report_tables(report: Report, runs: DataFrame | None = None) -> dict[str, Da
 
 
 def json_parts(report: Report) -> dict[str, DataFrame]:
-    """The JSON datasets by name."""
+    """The JSON datasets by name, but for the summary, which is written last."""
     parts = {
-        "summary": summary_row(report),
         "status_family_trends": report.family_trends.orderBy("family", "minute").select(
             "family", iso_minute(F.col("minute")).alias("hour"), "requests"
         ),
@@ -251,13 +267,21 @@ def json_parts(report: Report) -> dict[str, DataFrame]:
 def write_report(report: Report, output_dir: str, runs: DataFrame | None = None) -> None:
     """Writes the CSV tables and the JSON datasets, each into a folder below ``output_dir``.
 
-    The tables are small and independent, so a few are written at a time.
+    The tables are small and independent, so a few are written at a time. Their rows are counted while they are
+    written, for the summary, which comes last: where it is, everything that it names is.
     """
     base = output_dir.rstrip("/")
-    writes = [
-        (table.write.mode("overwrite").option("header", "true").csv, f"{base}/{name}")
-        for name, table in report_tables(report, runs).items()
-    ] + [(part.write.mode("overwrite").json, f"{base}/{name}") for name, part in json_parts(report).items()]
+
+    def written(name: str, table: DataFrame, kind: str) -> tuple[str, int]:
+        counted = Observation(f"rows-{name}")
+        writer = table.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        path = f"{base}/{name}"
+        writer.option("header", "true").csv(path) if kind == "csv" else writer.json(path)
+        # A table that Spark knows to be empty is not run, and so not counted.
+        return name, counted.get.get("rows", 0)
+
+    jobs = [(name, table, "csv") for name, table in report_tables(report, runs).items()]
+    jobs += [(name, part, "json") for name, part in json_parts(report).items()]
     with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
-        for done in [pool.submit(write, path) for write, path in writes]:
-            done.result()
+        rows = dict(pool.map(lambda job: written(*job), jobs))
+    summary_row(report, rows).write.mode("overwrite").json(f"{base}/summary")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tallylog.functions.parsing import parse_access_logs, valid_records
 from tallylog.operators import counts
 from tallylog.operators.smoothing import savgol_smooth
-from tallylog.plans import report
+from tallylog.operators.topk import top_n
+from tallylog.plans import charts, report
 from tallylog.plans.catalog import QUERIES
 from tallylog.plans.oracle import ORACLE_SQL
 from tests.oracle_check import connect, difference
@@ -52,6 +53,12 @@ def test_rollup_is_one_scan_and_one_shuffle_with_partial_counts(spark, tmp_path)
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1 and "partial_count" in text
 
 
+def test_long_bars_are_numbered_without_one_task(spark):
+    table = spark.range(200_000).select(F.col("id").cast("string").alias("ip"), (F.col("id") % 1000).alias("count"))
+    text = plan(charts.bar_feed(top_n(table, "ip", 1_000_000), "ip"))
+    assert "SinglePartition" not in text and "Window" not in text
+
+
 def test_smoothing_windows_are_partitioned(spark):
     series = spark.range(5000).select(F.col("id").alias("i"), F.col("id").alias("v"))
     text = plan(savgol_smooth(series, 5000, 5, 2, "v"))

@@ -89,6 +89,28 @@ def test_golden_summary(golden):
     }
 
 
+def test_golden_summary_names_its_datasets(golden):
+    (summary,) = read_json(golden / "summary")
+    rows = {item["name"]: item["rows"] for item in summary["datasets"]}
+    assert rows == {
+        "anomalies": 0, "anomaly_series": 61, "benchmark": 2, "hourly_trends": 6, "input_files": 1, "methods": 3,
+        "status_codes": 4, "status_family_trends": 24, "top_endpoints": 4, "top_error_endpoints": 2, "top_ips": 3,
+    }
+    for name, n in rows.items():
+        folder = golden / name
+        found = read_csv(folder)[1:] if list(folder.glob("part-*.csv")) else read_json(folder)
+        assert len(found) == n
+
+
+def test_long_top_tables_are_datasets_only(spark, tmp_path):
+    lines = spark.createDataFrame([(text,) for text in GOLDEN_LINES], "value STRING")
+    rollup = counts.build_rollup(parse_access_logs(lines, reports.ROLLUP_FIELDS))
+    write_report(reports.report_from_rollup(rollup, top=reports.SUMMARY_ROWS + 1), str(tmp_path))
+    (summary,) = read_json(tmp_path / "summary")
+    assert "top_ips" not in summary["aggregations"] and len(summary["aggregations"]["methods"]) == 3
+    assert {"name": "top_ips", "rows": 3} in summary["datasets"] and len(read_csv(tmp_path / "top_ips")) == 4
+
+
 def test_golden_series_and_families(golden):
     series = read_json(golden / "anomaly_series")
     assert len(series) == 61
@@ -301,3 +323,42 @@ def test_rollups_of_parts_and_appended_ones_are_summed(spark, tmp_path):
         ]
         errors = counts.rollup_counts(rollup, "endpoint", errors_only=True)
         assert [tuple(r) for r in errors.collect()] == [("/x", 12)]
+
+
+def test_saving_a_part_again_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "rollup")
+
+    def save(day, texts):
+        return reports.rollup_lines(spark.createDataFrame([(t,) for t in texts], "value STRING"), path, day)
+
+    def top_ips():
+        return [tuple(r) for r in top_n(counts.rollup_counts(counts.load_rollup(spark, path), "ip"), "ip", 5).collect()]
+
+    save("2024-01-01", GOLDEN_LINES)
+    once = top_ips()
+    rollup = save("2024-01-02", GOLDEN_LINES[:1] * 3)
+    both = top_ips()
+    assert once == [("10.0.0.1", 2), ("10.0.0.2", 2), ("10.0.0.3", 1)] and both[0] == ("10.0.0.1", 5)
+    for _ in range(2):
+        rollup = save("2024-01-02", GOLDEN_LINES[:1] * 3)
+        assert top_ips() == both
+    whole = spark.createDataFrame([(t,) for t in GOLDEN_LINES + GOLDEN_LINES[:1] * 3], "value STRING")
+    assert rows(counts.merge_rollups(rollup)) == rows(counts.build_rollup(parse_access_logs(whole, reports.ROLLUP_FIELDS)))
+    # Fewer dimensions than before, then none at all.
+    save("2024-01-02", ["broken", ""])
+    assert top_ips() == once and counts.rollup_totals(counts.load_rollup(spark, path)).first()["invalid_lines"] == 3
+    save("2024-01-02", [])
+    assert counts.rollup_totals(counts.load_rollup(spark, path)).first()["processed_lines"] == 6
+    minutes = counts.rollup_minutes(counts.load_rollup(spark, path))
+    assert minutes.filter("minute IS NULL").count() == 0 and minutes.agg(F.sum("requests")).first()[0] == 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 20_000])
+def test_ranks_by_ranges(spark, n):
+    from tallylog.operators.ranking import with_rank
+
+    table = spark.range(n).select((F.col("id") * 7919 % 1000).alias("count"), F.col("id").cast("string").alias("key")).repartition(9)
+    ranked = with_rank(table, F.asc("count"), F.desc("key"))
+    expected = sorted(map(tuple, table.collect()), key=lambda r: r[1], reverse=True)
+    expected = [(place, *r) for place, r in enumerate(sorted(expected, key=lambda r: r[0]), 1)]
+    assert sorted(map(tuple, ranked.collect())) == expected
