@@ -203,8 +203,13 @@ _PII = {
         f"AND NOT regexp_matches({_NEAR}, 'order|invoice|version|model|serial')",
     ),
     "secret": (
-        r"AKIA[A-Z0-9]{16}|(?:password|passwd|api_key|secret|token)=[^\x20\x09-\x0D]+",
-        f"(x LIKE 'AKIA%' OR length(regexp_replace(x, '^.*=', '')) >= 8) AND NOT regexp_matches({_NEAR}, 'example|placeholder|dummy')",
+        r"""AKIA[A-Z0-9]{16}|(?i:password|passwd|api_key|secret|token)["'']?[\x20\x09]*[:=][\x20\x09]*(?:"[^"\r\n]*"|''[^''\r\n]*''|[^\x20\x09-\x0D]+)""",
+        r"""(x LIKE 'AKIA%' OR length(regexp_replace(x, '^[^:=]*[:=][\x20\x09]*["'']?|["'']$', '', 'g')) >= 16
+            OR length(regexp_replace(x, '^[^:=]*[:=][\x20\x09]*["'']?|["'']$', '', 'g')) >= 8 AND (regexp_matches(x, '[:=].*[0-9]')
+                OR regexp_matches(x, '[:=][\x20\x09]*(?:".*"|''.*'')$') OR regexp_matches(x, '^[A-Za-z_]+=[^\x20\x09]')))
+            AND (s = 0 OR NOT regexp_matches(substr(t, s, 1), '[A-Za-z0-9]')) AND NOT regexp_matches("""
+        + _NEAR
+        + ", 'example|placeholder|dummy')",
     ),
 }
 _PII_ROWS = " UNION ALL ".join(

@@ -34,6 +34,7 @@ class Kind(NamedTuple):
     score: float = 1.0
     speaks_for: str = ""  # pattern of lower-case words
     against: str = ""
+    whole_word: bool = False  # no letter or digit may stand before the span
 
 
 # Possessive quantifiers and look-behinds change no match; they keep the time linear in texts
@@ -91,28 +92,20 @@ KINDS = (
         "phone|tel|call|mobile|fax|contact",
         "order|invoice|version|model|serial",
     ),
+    # As they are assigned in code and settings: any case, white space, ``:`` or ``=``, quotes. What is neither quoted nor right
+    # after ``=`` may be prose, so it must look like a key: with a digit, or long.
     Kind(
         "secret",
-        r"AKIA[A-Z0-9]{16}|(?:password|passwd|api_key|secret|token)=[^\x20\x09-\x0D]++",
-        "contains(t, 'AKIA') OR contains(t, '=')",
-        "x LIKE 'AKIA%' OR length(substring_index(x, '=', -1)) >= 8",
+        r"""AKIA[A-Z0-9]{16}|(?i:password|passwd|api_key|secret|token)["']?[\x20\x09]*+[:=][\x20\x09]*+(?:"[^"\r\n]*+"|'[^'\r\n]*+'|[^\x20\x09-\x0D]++)""",
+        "contains(t, 'AKIA') OR contains(t, '=') OR contains(t, ':')",
+        r"""x LIKE 'AKIA%' OR exists(array(regexp_replace(x, '^[^:=]*+[:=][\\x20\\x09]*+["\']?|["\']$', '')), v -> length(v) >= 8 AND (
+            length(v) >= 16 OR v RLIKE '[0-9]' OR x RLIKE '[:=][\\x20\\x09]*(?:".*"|\'.*\')$' OR x RLIKE '^[A-Za-z_]+=[^\\x20\\x09]'))""",
         0.8,
         "",
         "example|placeholder|dummy",
+        True,
     ),
 )
-# Secrets as they are assigned in code and settings: any case, white space, ``:`` or ``=``, quotes. The query's SQL fixes
-# the kinds of the report, so redaction alone looks for these.
-ASSIGNED = Kind(
-    "secret",
-    r"""(?i:password|passwd|api_key|secret|token)["']?[\x20\x09]*+[:=][\x20\x09]*+(?:"[^"\r\n]*+"|'[^'\r\n]*+'|[^\x20\x09-\x0D]++)""",
-    "contains(t, '=') OR contains(t, ':')",
-    r"""length(regexp_replace(x, '^[^:=]*+[:=][\\x20\\x09]*+["\']?|["\']$', '')) >= 8""",
-    0.8,
-    "",
-    "example|placeholder|dummy",
-)
-REDACTED = (*KINDS, ASSIGNED)
 BASE = ("email", "ip", "card", "phone")
 _BLOCK = 256
 
@@ -121,12 +114,13 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _ends(steps: str) -> str:
-    """SQL of the running sums of an array of whole numbers, block by block."""
+def _ends(steps: str, both: str = "{} + {}") -> str:
+    """SQL of the running sums (or what else puts ``both`` together) of an array of positive whole numbers, block by block."""
+    more, sum_ = both.format("element_at(a, -1)", "v"), both.format("s", "v")
     blocks = f"sequence(0, (size({steps}) - 1) div {_BLOCK})"
     block = f"slice({steps}, b * {_BLOCK} + 1, {_BLOCK})"
-    grow = "(a, v) -> concat(a, array(element_at(a, -1) + v))"
-    totals = f"transform({blocks}, b -> aggregate({block}, 0, (s, v) -> s + v))"
+    grow = f"(a, v) -> concat(a, array({more}))"
+    totals = f"transform({blocks}, b -> aggregate({block}, 0, (s, v) -> {sum_}))"
     before = f"aggregate({totals}, array(0), {grow})"
     inner = f"transform({blocks}, b -> slice(aggregate({block}, array(before[b]), {grow}), 2, {_BLOCK}))"
     # A one-element array carries the block offsets into the lambda, so that they are computed once.
@@ -147,6 +141,8 @@ def _score(kind: Kind) -> str:
         score += f" + CASE WHEN {near} RLIKE '{kind.speaks_for}' THEN {CONTEXT} ELSE 0 END"
     if kind.against:
         score += f" - CASE WHEN {near} RLIKE '{kind.against}' THEN {CONTEXT} ELSE 0 END"
+    if kind.whole_word:
+        score += " - CASE WHEN s.start > 0 AND substr(t, s.start, 1) RLIKE '[A-Za-z0-9]' THEN 1 ELSE 0 END"
     return score
 
 
@@ -207,33 +203,35 @@ def span_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind, such as ``[EMAIL]``; other columns stay.
 
-    Besides the kinds of the report it finds the secrets of ``ASSIGNED``.
     Overlapping spans are replaced as one, named by the first. A text without spans, null
     included, stays as it is. Edge cases as in :func:`find_spans`.
     """
-    found = find_spans(docs, text, REDACTED)
-    # Merged spans: a span that begins before the last end only moves that end.
-    merged = found.withColumn(
-        "cuts",
-        F.expr(
-            "filter(transform(spans, (s, i) -> named_struct('start', s.start, 'kind', s.kind, 'first', "
-            "i = 0 OR s.start >= array_max(transform(slice(spans, 1, i), p -> p.end)))), c -> c.first)"
-        ),
-    ).withColumn(
-        "stops",
-        F.expr(
-            "transform(cuts, (c, i) -> array_max(transform(filter(spans, s -> s.start >= c.start "
-            "AND (i + 1 = size(cuts) OR s.start < cuts[i + 1].start)), s -> s.end)))"
-        ),
+    found = find_spans(docs, text).selectExpr(
+        "row", "t", "spans", f"{_ends('transform(spans, s -> s.end)', 'greatest({}, {})')} AS upto"
     )
-    redacted = F.expr(
-        "concat(array_join(transform(cuts, (c, i) -> concat("
-        "substr(t, if(i = 0, 0, stops[i - 1]) + 1, c.start - if(i = 0, 0, stops[i - 1])), '[', upper(c.kind), ']')), ''), "
-        "substr(t, element_at(stops, -1) + 1))"
+    # A span that begins before an earlier one ends is part of the same cut.
+    found = found.selectExpr(
+        "row", "t", "spans", "upto",
+        "filter(transform(spans, (s, i) -> i), i -> i = 0 OR spans[i].start >= upto[i - 1]) AS firsts",
+    )
+    found = found.selectExpr(
+        "row",
+        "t",
+        "transform(firsts, f -> spans[f]) AS cuts",
+        "transform(firsts, (f, j) -> upto[if(j + 1 < size(firsts), firsts[j + 1], size(spans)) - 1]) AS stops",
     )
+    # The text is cut into the stretches of a block of cuts first: finding a place in a text takes the length before it.
+    stop = "if({0} = 0, 0, stops[{0} - 1])"
+    begin, last = f"b * {_BLOCK}", f"least((b + 1) * {_BLOCK}, size(cuts)) - 1"
+    piece = f"substr(t, {stop.format(begin)} + 1, stops[{last}] - {stop.format(begin)})"
+    before = f"substr(p, {stop.format('j')} - {stop.format(begin)} + 1, cuts[j].start - {stop.format('j')})"
+    replaced = f"array_join(transform(sequence({begin}, {last}), j -> concat({before}, '[', upper(cuts[j].kind), ']')), '')"
+    blocks = f"transform(sequence(0, (size(cuts) - 1) div {_BLOCK}), b -> transform(array({piece}), p -> {replaced})[0])"
+    redacted = F.expr(f"concat(array_join({blocks}, ''), substr(t, element_at(stops, -1) + 1))")
     columns = []
     for name in docs.columns:
         column = F.col("row")[name]
-        new = F.when(F.size("spans") > 0, redacted).otherwise(column) if name == text else column
+        new = F.when(F.size("cuts") > 0, redacted).otherwise(column) if name == text else column
         columns.append(new.alias(name))
-    return merged.select(*columns)
+    # The generator keeps a later filter on the text from working all of this out a second time.
+    return found.select(F.inline(F.array(F.struct(*columns))))

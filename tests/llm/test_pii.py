@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -117,6 +118,34 @@ def test_assigned_secrets_are_redacted(spark):
     assert [r.text[:8] for r in pii.redact(frame(spark, long)).orderBy("doc_id").collect()][3] == "[SECRET]"
 
 
+def test_prose_and_parts_of_words_are_no_secrets(spark):
+    texts = ["Every password: required by policy", "Secret:ingredients", "Token: economics", "xtoken=abcdefgh1", "6secret: 12345678"]
+    assert [r.text for r in pii.redact(frame(spark, texts)).orderBy("doc_id").collect()] == texts
+    kept = {"token: abcdefg1": "[SECRET]", "my_token=abcdefgh": "my_[SECRET]", "a.password = x1234567,": "a.[SECRET]", "\"secret\": \"ingredients\"": "\"[SECRET]"}
+    assert [r.text for r in pii.redact(frame(spark, list(kept))).orderBy("doc_id").collect()] == list(kept.values())
+    report = pii.span_report(frame(spark, list(kept))).orderBy("doc_id").collect()
+    assert all(r.spans.startswith("secret:") for r in report)
+
+
+def test_many_spans_are_redacted_in_linear_time(spark):
+    mails = "a@b.cc, x y\n" * 20_000
+    docs = frame(spark, [mails, "é " + mails])
+    begin = time.time()
+    first, second = (r.text for r in pii.redact(docs).orderBy("doc_id").collect())
+    assert first == "[EMAIL], x y\n" * 20_000 and second == "é " + first
+    assert time.time() - begin < 60
+    # Spans inside and across others, over several blocks of them.
+    mixed = "+1 415 555 2671.1.1.1 and a@b.cc1.2.3.4 " * 700
+    assert pii.redact(frame(spark, [mixed])).first().text == "[PHONE] and [EMAIL] " * 700
+
+
+def test_a_filter_after_redaction_works_nothing_out_twice(spark):
+    kept = pii.redact(frame(spark, ["mail x@y.zz now", "no data"])).filter("contains(text, '[EMAIL]')")
+    assert [r.text for r in kept.collect()] == ["mail [EMAIL] now"]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(t") <= 2 * len(pii.KINDS)
+
+
 def test_empty_table(spark):
     assert pii.span_report(frame(spark, [])).collect() == []
     assert pii.redact(frame(spark, [])).collect() == []
