@@ -11,7 +11,18 @@ from pyspark.sql import functions as F
 
 from tallylog.session import cut_lineage, shared_path
 
-__all__ = ["ASCII_SPACE", "boxed", "cut_lineage", "hold", "quoted", "shared_path", "small_batches", "table"]
+__all__ = [
+    "ASCII_SPACE",
+    "boxed",
+    "cut_lineage",
+    "discard",
+    "free_shuffles",
+    "hold",
+    "quoted",
+    "shared_path",
+    "small_batches",
+    "table",
+]
 
 # The white space that separates words, U+0020 and U+0009 to U+000D.
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
@@ -41,6 +52,26 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table of ``cut_lineage`` once nothing is computed from it any more."""
+    spark = df.sparkSession
+    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def free_shuffles(df: DataFrame) -> DataFrame:
+    """The same stored table; shuffles that only led to it can go now.
+
+    Spark deletes shuffle files when the driver's garbage collector finds that no plan refers to them. A driver that does little seldom
+    collects, so the executors' disks would hold the shuffles of all steps at once.
+    """
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df
+
+
 _held: dict[str, Callable[[], None]] = {}
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallylog.llm.common import boxed, cut_lineage, hold, small_batches
+from tallylog.llm.common import boxed, cut_lineage, discard, free_shuffles, hold, small_batches
 from tallylog.llm.components import components
 
 BLOCK = 1024
@@ -291,26 +291,32 @@ def described(texts: DataFrame, rule: Rule = Rule()) -> DataFrame:
     return each.select("doc_id", "text_hash", "d.*")
 
 
-def links(docs: DataFrame, known: DataFrame, text: str, rule: Rule, block: int = BLOCK) -> DataFrame:
-    """Links ``(a, b)`` between classes that hold every component together."""
-    regions = known.filter("node IS NOT NULL").select("node", F.explode("keys").alias("key"))
+def stars_of(known: DataFrame) -> DataFrame:
+    """Pairs ``p, x`` of a region's centre and another set in it.
+
+    The keys of all regions are shuffled once: the centres are found where the regions lie, and both sides of the join read that shuffle.
+    """
+    regions = known.filter("node IS NOT NULL").select("node", F.explode("keys").alias("key")).repartition("key")
     shared = regions.groupBy("key").agg(F.min("node").alias("p"), F.max("node").alias("q")).filter("p != q")
-    shared = cut_lineage(shared.select("key", "p"))
     # The hint keeps one plan at every size: no side of these joins has a bound.
-    stars = regions.join(shared.hint("merge"), "key").filter("node != p")
-    stars = cut_lineage(stars.select("p", F.col("node").alias("x")).distinct())
+    stars = regions.join(shared.select("key", "p").hint("merge"), "key").filter("node != p")
+    return stars.select("p", F.col("node").alias("x")).distinct()
 
+
+def links(docs: DataFrame, known: DataFrame, stars: DataFrame, text: str, rule: Rule, block: int = BLOCK) -> DataFrame:
+    """Links ``(a, b)`` between classes that hold every component together."""
     wanted = stars.select(F.col("x").alias("node")).unionAll(stars.select(F.col("p").alias("node"))).distinct()
     # One text of each class, found by the hash of the text; equal texts meet before the shuffle.
     by_hash = known.groupBy("node").agg(F.min("text_hash").alias("text_hash")).join(wanted, "node", "left_semi")
     texts = docs.select(F.col(text).cast("string").alias("t")).select(F.xxhash64("t").alias("text_hash"), "t")
     texts = texts.groupBy("text_hash").agg(F.first("t").alias("t")).join(by_hash.hint("merge"), "text_hash")
-    texts = cut_lineage(texts.select("node", "t"))
+    texts = free_shuffles(cut_lineage(texts.select("node", "t")))
 
     pairs = stars.join(texts.select(F.col("node").alias("x"), F.col("t").alias("t_x")), "x")
     pairs = pairs.join(texts.select(F.col("node").alias("p"), F.col("t").alias("t_p")), "p")
     compared = pairs.select("p", "x", _compared(rule)("t_x", "t_p").alias("c")).select("p", "x", "c.*")
-    compared = cut_lineage(compared)
+    compared = free_shuffles(cut_lineage(compared))
+    discard(texts)
 
     # Clusters whose members are all linked to the centre need nothing more.
     clusters = compared.groupBy("p").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("linked")).alias("far"))
@@ -334,8 +340,11 @@ def _rooted(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame
     The root names a component by its smallest class, whatever its keys are.
     """
     each = small_batches(docs).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t"))
-    each = cut_lineage(described(each, rule))
-    found = cut_lineage(components(links(docs, each, text, rule)))
+    keyed = cut_lineage(described(each, rule))
+    stars = free_shuffles(cut_lineage(stars_of(keyed)))
+    each = cut_lineage(keyed.drop("keys"))
+    discard(keyed)
+    found = cut_lineage(components(links(docs, each, stars, text, rule)))
     # Documents without words have no class and must not meet in one task: they go round the joins.
     rooted = each.filter("node IS NOT NULL").select("doc_id", "n", "node").join(found, "node", "left")
     rooted = rooted.select("doc_id", "n", "node", F.coalesce("root", "node").alias("root"))
