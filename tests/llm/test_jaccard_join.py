@@ -93,7 +93,7 @@ def test_parts_of_a_large_cluster(spark):
     whole = jaccard_join.cut_lineage(jaccard_join.described(docs.withColumnRenamed("text", "t")))
     roots = []
     for block in (16, 10_000):
-        links = jaccard_join.links(docs, whole, "text", jaccard_join.Rule(), block)
+        links = jaccard_join.links(docs, whole, jaccard_join.stars_of(whole), "text", jaccard_join.Rule(), block)
         roots.append(sorted(tuple(r) for r in components(links).collect()))
     assert roots[0] == roots[1]
 
