@@ -67,8 +67,9 @@ def free_shuffles(df: DataFrame) -> DataFrame:
     Spark deletes shuffle files when the driver's garbage collector finds that no plan refers to them. A driver that does little seldom
     collects, so the executors' disks would hold the shuffles of all steps at once.
     """
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first round frees refers to the shuffles
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
     return df
 
 

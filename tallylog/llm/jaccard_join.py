@@ -197,46 +197,43 @@ def _described(rule: Rule, with_keys: bool):
     return described.asNondeterministic()  # evaluated once, however often its fields are used
 
 
-_COMPARED = T.StructType(
-    [
-        T.StructField("size", T.LongType()),
-        T.StructField("linked", T.BooleanType()),
-        T.StructField("delta", T.BinaryType()),
-    ]
-)
-
-
 def _compared(rule: Rule):
-    """A column function of two texts: size of the first's set, whether they link, their difference."""
+    """A column function of two texts: whether their sets link."""
 
-    @F.arrow_udf(_COMPARED)
+    @F.arrow_udf("boolean")
     def compared(left: pa.Array, right: pa.Array) -> pa.Array:
         hold("jaccard_join", _vocabulary.forget)
-        sizes, linked, deltas = [], [], []
+        linked = []
         last_text, last = None, None
         for text, centre in zip(_texts(left), _texts(right)):
             if last is None or centre != last_text:
                 last_text, last = centre, shingles(centre, rule.words)
             sets = shingles(text, rule.words)
-            delta = np.setxor1d(sets, last, assume_unique=True)
-            sizes.append(len(sets))
-            linked.append(len(delta) <= rule.distance(len(sets) + len(last)))
-            deltas.append(delta.tobytes())
-        arrays = [pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), pa.array(deltas, pa.binary())]
-        return pa.StructArray.from_arrays(arrays, names=["size", "linked", "delta"])
+            apart = len(sets) + len(last) - 2 * len(np.intersect1d(sets, last, assume_unique=True))
+            linked.append(apart <= rule.distance(len(sets) + len(last)))
+        return pa.array(linked, pa.bool_())
 
     return compared.asNondeterministic()
 
 
 def _joined(rule: Rule):
-    """The links within one cluster, or between two parts of it, that no path of links makes needless."""
+    """The links within one cluster, or between two parts of it, that no path of links makes needless.
+
+    A cluster comes with its members' texts, which take less than their differences from the centre; its centre has part -1.
+    """
 
     def joined(cluster: pa.Table) -> pa.Table:
-        nodes = cluster["x"].to_numpy()
-        sizes = cluster["size"].to_numpy()
-        linked = cluster["linked"].to_numpy()
+        hold("jaccard_join", _vocabulary.forget)
         parts = cluster["part"].to_numpy()
-        deltas = [np.frombuffer(d.as_py(), _U) for d in cluster["delta"]]
+        members = parts >= 0
+        at_centre = int(np.flatnonzero(~members)[0])
+        sets = [shingles(text.as_py(), rule.words) for text in cluster["t"].cast(pa.binary())]
+        deltas = [np.setxor1d(own, sets[at_centre], assume_unique=True) for own, member in zip(sets, members) if member]
+        sizes = np.array([len(own) for own, member in zip(sets, members) if member])
+        del sets
+        parts = parts[members]
+        nodes = cluster["x"].to_numpy()[members]
+        linked = cluster["linked"].to_numpy()[members]
         far = np.array([len(d) for d in deltas])
         order = np.argsort(far, kind="stable")
         across = len(np.unique(parts)) > 1
@@ -314,24 +311,25 @@ def links(docs: DataFrame, known: DataFrame, stars: DataFrame, text: str, rule:
 
     pairs = stars.join(texts.select(F.col("node").alias("x"), F.col("t").alias("t_x")), "x")
     pairs = pairs.join(texts.select(F.col("node").alias("p"), F.col("t").alias("t_p")), "p")
-    compared = pairs.select("p", "x", _compared(rule)("t_x", "t_p").alias("c")).select("p", "x", "c.*")
+    compared = pairs.select("p", "x", _compared(rule)("t_x", "t_p").alias("linked"))
     compared = free_shuffles(cut_lineage(compared))
-    discard(texts)
 
     # Clusters whose members are all linked to the centre need nothing more.
     clusters = compared.groupBy("p").agg(F.count(F.lit(1)).alias("m"), F.count_if(~F.col("linked")).alias("far"))
     parts = clusters.filter("far > 0 AND m > 1").select("p", F.ceil(F.col("m") / block).cast("int").alias("n_parts"))
-    members = compared.join(parts, "p").select(
-        "*", F.expr("CAST(pmod(xxhash64(x), n_parts) AS INT)").alias("part")
-    )
-    members = members.select(
-        "p", "x", "size", "linked", "delta", "part", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("other")
-    )
-    members = members.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other")).drop("other")
+    members = compared.join(parts, "p").withColumn("part", F.expr("CAST(pmod(xxhash64(x), n_parts) AS INT)"))
+    members = members.select("p", "x", "linked", "part", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("other"))
+    members = members.select("p", "x", "linked", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    # The centre is in every pair of parts.
+    centres = parts.select("p", "n_parts", F.explode(F.expr("sequence(0, n_parts - 1)")).alias("i"))
+    centres = centres.select("p", "i", F.explode(F.expr("sequence(i, n_parts - 1)")).alias("j"))
+    centres = centres.select("p", F.col("p").alias("x"), F.lit(True).alias("linked"), F.lit(-1).alias("part"), "i", "j")
+    met = members.unionAll(centres).join(texts.withColumnRenamed("node", "x").hint("merge"), "x")
     # Dealt anew by all three: rows that lie together by centre already would leave a large cluster in one task.
-    met = members.repartition("p", "i", "j").groupBy("p", "i", "j")
-    found = met.applyInArrow(_joined(rule), "a bigint, b bigint")
-    return compared.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).unionAll(found)
+    found = met.repartition("p", "i", "j").groupBy("p", "i", "j").applyInArrow(_joined(rule), "a bigint, b bigint")
+    found = cut_lineage(compared.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b")).unionAll(found))
+    discard(texts)
+    return free_shuffles(found)
 
 
 def _rooted(docs: DataFrame, key: str, text: str, rule: Rule) -> tuple[DataFrame, DataFrame]:
