@@ -14,6 +14,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import deque
+from collections.abc import Iterable
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -47,77 +48,111 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-AGAINST_TAGS = frozenset("nav footer aside form menu dialog button select label legend fieldset search header".split())
+# Marks against. Strong ones name what no article lies in, unless a main element does; the others also name wrappers of whole
+# pages (forms, shells of layouts), so they weigh by what they hold.
+STRONG_TAGS = frozenset("nav footer aside menu dialog button select label legend".split())
+WEAK_TAGS = frozenset("form fieldset search header".split())
 FOR_TAGS = frozenset("article main".split())
-AGAINST = frozenset(
-    "ad ads adbox advert adverts advertisement advertising adsense sponsor sponsored promo promoted promotion banner cookie cookies "
-    "consent gdpr notice notices notification alert popup modal overlay nav navbar navigation menu menubar breadcrumb breadcrumbs "
-    "pagination pager footer foot copyright legal header masthead topbar sidebar side rail widget widgets aside complementary "
-    "comment comments commentlist disqus discussion reply replies respond form login signup signin register search searchform "
-    "subscribe subscription newsletter share sharing social related recommend recommended recommendations trending toolbar "
-    "contentinfo dialog hidden skip sitemap".split()
+STRONG = frozenset(
+    "ad ads adbox advert adverts advertisement advertising adsense banner cookie cookies consent gdpr nav navbar navigation menu "
+    "menubar breadcrumb breadcrumbs pagination pager footer foot copyright comment comments commentlist disqus reply replies "
+    "respond hidden skip sitemap contentinfo".split()
+)
+WEAK = frozenset(
+    "sponsor sponsored promo promoted promotion notice notices notification alert popup modal overlay legal header masthead topbar "
+    "sidebar side rail widget widgets aside complementary discussion form login signup signin register search searchform subscribe "
+    "subscription newsletter share sharing social related recommend recommended recommendations trending toolbar dialog".split()
 )
 FOR = frozenset("article content main post entry story text body maincontent articlebody".split())
+# A name with one of these words, such as has-sidebar, is about the layout and not about what the element holds.
+STATES = frozenset("has no not with without enabled disabled overflow".split())
 
 # Capacities. A mark weighs as much as a paragraph; a tie between neighbours less than either.
 MARK_FOR, MARK_AGAINST = 600, -900
 LEAST_WITHIN, MOST_WITHIN = -500, 300
 TIE = 240
+# The share that an element holds is taken of this many characters more.
+SMOOTHING = 200
+
+_MAIN, _FOR, _NONE, _WEAK, _STRONG = 2, 1, 0, -1, -2
 
 
 class Block(NamedTuple):
     text: str
-    path: tuple[int, ...]  # numbers of the open elements
-    mark: int  # 1 for, -1 against, 0 neither
+    node: int  # number of the innermost open element
     link_chars: int
     heading: bool = False
 
 
+class Tree(NamedTuple):
+    """The elements of a page in the order of their start tags; number 0 is the page."""
+
+    parent: list[int]
+    depth: list[int]
+    says: list[int]  # what an element's own marks say
+
+
 def _mark(tag: str, attributes: str) -> int:
     """What an element says about its text."""
     if tag in ("html", "body"):
-        return 0
-    found = 1 if tag in FOR_TAGS else -1 if tag in AGAINST_TAGS else 0
-    if attributes:
-        words: set[str] = set()
-        for name, value in _ATTRIBUTE.findall(attributes):
-            name = name.lower()
-            if name in ("class", "id", "role", "itemprop"):
-                words.update(_TOKEN.findall(_CAMEL.sub(" ", value).lower()))
-            elif name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower():
-                return -1
-        against, speaks_for = not words.isdisjoint(AGAINST), not words.isdisjoint(FOR)
-        if against and not (speaks_for and found == 0):
-            return -1
-        if speaks_for and not against and found == 0:
-            return 1
+        return _NONE
+    found = _MAIN if tag == "main" else _FOR if tag in FOR_TAGS else _STRONG if tag in STRONG_TAGS else _WEAK if tag in WEAK_TAGS else _NONE
+    if not attributes:
+        return found
+    words: set[str] = set()
+    for name, value in _ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in ("class", "id", "role", "itemprop"):
+            for one in value.strip("\"'").split():
+                parts = _TOKEN.findall(_CAMEL.sub(" ", one).lower())
+                if STATES.isdisjoint(parts):
+                    words.update(parts)
+        elif name == "hidden" or name == "style" and "display:none" in value.replace(" ", "").lower():
+            return _STRONG
+    speaks_for = not words.isdisjoint(FOR)
+    against = _STRONG if not words.isdisjoint(STRONG) else _WEAK if not words.isdisjoint(WEAK) else _NONE
+    if against == _WEAK and (found == _MAIN or found == _FOR and speaks_for):
+        return found
+    if against and not (speaks_for and found == _NONE):
+        return min(against, found)
+    if speaks_for and not against and found == _NONE:
+        return _FOR
     return found
 
 
-def blocks(page: str) -> list[Block]:
-    """The text blocks of a page in order; markup may be broken or cut off anywhere."""
+def blocks(page: str) -> tuple[list[Block], Tree]:
+    """The text blocks of a page in order, and its elements; markup may be broken or cut off anywhere.
+
+    The work grows with the length of the page, however deep its elements lie in each other.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, mark with that of what it lies in
+    tree = Tree([0], [0], [_NONE])
+    stack: list[tuple[str, int]] = [("", 0)]  # tag, number
+    places: dict[str, list[int]] = {}  # where on the stack the elements of a tag are
     texts: list[str] = []
-    links = count = linked = at = 0
+    linked = headings = at = 0
     end = len(page)
 
+    def last(tags: Iterable[str]) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
     def flush() -> None:
         nonlocal linked
         if texts:
             text = _SPACE.sub(" ", "".join(texts)).strip()
             if text:
-                heading = any(e[0] in HEADINGS for e in stack)
-                out.append(Block(text, tuple(e[1] for e in stack), stack[-1][2], linked, heading))
+                out.append(Block(text, stack[-1][1], linked, headings > 0))
             texts.clear()
         linked = 0
 
     def close(index: int) -> None:
-        nonlocal links
-        links -= sum(e[0] == "a" for e in stack[index:])
-        if any(e[0] in BLOCKS for e in stack[index:]):
+        nonlocal headings
+        if any(tag in BLOCKS for tag, _ in stack[index:]):
             flush()
-        del stack[index:]
+        while len(stack) > index:
+            tag, _ = stack.pop()
+            places[tag].pop()
+            headings -= tag in HEADINGS
 
     while at < end:
         tag_at = page.find("<", at)
@@ -126,7 +161,7 @@ def blocks(page: str) -> list[Block]:
         if tag_at > at:
             text = entities.unescape(page[at:tag_at])
             texts.append(text)
-            if links:
+            if places.get("a"):
                 linked += len(text.strip())
         if tag_at == end:
             break
@@ -148,13 +183,10 @@ def blocks(page: str) -> list[Block]:
             break
         at = done + 1
         if page[tag_at + 1] == "/":
-            for index in range(len(stack) - 1, 0, -1):
-                if stack[index][0] == tag:
-                    close(index)
-                    break
-            else:
-                if tag in BLOCKS:
-                    flush()
+            if places.get(tag):
+                close(places[tag][-1])
+            elif tag in BLOCKS:
+                flush()
             continue
         if tag in EMPTY:
             if tag == "br":
@@ -170,28 +202,67 @@ def blocks(page: str) -> list[Block]:
                 flush()
             continue
         if tag in BLOCKS:
-            for index in range(len(stack) - 1, 0, -1):
-                if stack[index][0] == "p":
-                    close(index)
-                    break
-                if stack[index][0] in ("td", "th", "button", "object", "caption"):
-                    break
+            paragraph = last(["p"])
+            if paragraph > last(["td", "th", "button", "object", "caption"]):
+                close(paragraph)
             if tag in CLOSES:
                 closed, bounds = CLOSES[tag]
-                for index in range(len(stack) - 1, 0, -1):
-                    if stack[index][0] in bounds:
-                        break
-                    if stack[index][0] in closed:
-                        close(index)
-                        break
+                open_one = last(closed)
+                if open_one > last(bounds):
+                    close(open_one)
             flush()
-        count += 1
-        mark, above = _mark(tag, attributes), stack[-1][2]
-        # What lies in boilerplate is boilerplate.
-        stack.append((tag, count, -1 if above < 0 or mark < 0 else mark or above))
-        links += tag == "a"
+        tree.parent.append(stack[-1][1])
+        tree.depth.append(len(stack))
+        tree.says.append(_mark(tag, attributes))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, len(tree.parent) - 1))
+        headings += tag in HEADINGS
     flush()
-    return out
+    return out, tree
+
+
+def marks(found: list[Block], tree: Tree) -> list[int]:
+    """For every element what its marks, and those of what it lies in, are worth: positive for content.
+
+    A strong mark against counts in full, unless a main element lies in it. A weak one says nothing about an element that holds
+    half of the page's solid text and, for half of its own, an element marked as content. Where no text outside is marked as
+    content it loses weight as the element holds more than half of it and the text without marks. The cheapest cut decides.
+    """
+    n = len(tree.parent)
+    strong, weak, has_main = [False] * n, [False] * n, [False] * n
+    for k in range(n - 1, 0, -1):
+        if has_main[k] or tree.says[k] == _MAIN:
+            has_main[tree.parent[k]] = True
+    for k in range(1, n):
+        strong[k] = strong[tree.parent[k]] and tree.says[k] != _MAIN or tree.says[k] == _STRONG and not has_main[k]
+        weak[k] = weak[tree.parent[k]] or tree.says[k] == _WEAK
+    solid, unmarked = [0] * n, 0  # characters of blocks that are content by themselves
+    for block in found:
+        if not strong[block.node] and alone(block) > 0:
+            solid[block.node] += len(block.text)
+            unmarked += 0 if weak[block.node] else len(block.text)
+    most, marked = [0] * n, [0] * n  # the largest content element inside, and the text marked as content
+    for k in range(n - 1, 0, -1):
+        up, is_content = tree.parent[k], tree.says[k] > 0 and not strong[k]
+        solid[up] += solid[k]
+        most[up] = max(most[up], solid[k] if is_content else most[k])
+        marked[up] += solid[k] if is_content else marked[k]
+    costs = [0] * n
+    for k in range(1, n):
+        own = MARK_FOR if tree.says[k] > 0 else 0
+        if tree.says[k] == _STRONG and strong[k]:
+            own = MARK_AGAINST
+        elif tree.says[k] == _WEAK:
+            holds_article = 2 * solid[k] >= solid[0] and 2 * most[k] >= solid[k] > 0
+            if not holds_article:
+                own = MARK_AGAINST
+                if marked[0] == marked[k]:
+                    whole = solid[k] + unmarked + SMOOTHING
+                    own = min(whole, 2 * (whole - solid[k])) * MARK_AGAINST // whole
+        above = costs[tree.parent[k]]
+        # What lies in boilerplate is boilerplate.
+        costs[k] = min(above, own) if min(above, own) < 0 else own or above
+    return costs
 
 
 def _tag_end(page: str, at: int) -> int:
@@ -219,34 +290,44 @@ def _raw_end(page: str, tag: str, at: int) -> int:
     return match.end() if match else len(page)
 
 
-def worth(block: Block) -> int:
-    """What the label boilerplate would cost for a block, or content, if negative."""
+def alone(block: Block) -> int:
+    """What a block's length, links and ending say, whatever it lies in."""
     words = block.text.count(" ") + 1
-    alone = 40 * min(words, 25) - 200 - 900 * min(block.link_chars, len(block.text)) // len(block.text)
+    found = 40 * min(words, 25) - 200 - 900 * min(block.link_chars, len(block.text)) // len(block.text)
     if block.heading or block.text[-1] in ".!?:;…\"'”»":
-        alone += 150
-    if block.mark > 0:
-        return MARK_FOR + max(alone, LEAST_WITHIN)
-    if block.mark < 0:
-        return MARK_AGAINST + min(alone, MOST_WITHIN)
-    return alone
+        found += 150
+    return found
+
+
+def worth(block: Block, mark: int) -> int:
+    """What the label boilerplate would cost for a block, or content, if negative."""
+    if mark > 0:
+        return mark + max(alone(block), LEAST_WITHIN)
+    if mark < 0:
+        return mark + min(alone(block), MOST_WITHIN)
+    return alone(block)
+
+
+def distance(tree: Tree, a: int, b: int) -> int:
+    """Steps between two elements of a page."""
+    steps = 0
+    while a != b:
+        if tree.depth[a] < tree.depth[b]:
+            a, b = b, a
+        a = tree.parent[a]
+        steps += 1
+    return steps
 
 
-def ties(found: list[Block]) -> list[tuple[int, int, int]]:
+def ties(found: list[Block], tree: Tree) -> list[tuple[int, int, int]]:
     """Edges between neighbours, and between neighbours among the blocks of one parent."""
     edges = []
     last_of: dict[int, int] = {}
     for at, block in enumerate(found):
-        parent = block.path[-2] if len(block.path) > 1 else 0
+        parent = tree.parent[block.node]
         before = last_of.get(parent)
         for other in {at - 1, -1 if before is None else before} - {-1}:
-            mine, theirs = block.path, found[other].path
-            shared = 0
-            for a, b in zip(mine, theirs):
-                if a != b:
-                    break
-                shared += 1
-            edges.append((other, at, TIE // (len(mine) + len(theirs) - 2 * shared + 1)))
+            edges.append((other, at, TIE // (distance(tree, block.node, found[other].node) + 1)))
         last_of[parent] = at
     return edges
 
@@ -316,10 +397,11 @@ def extract(page: str | None) -> str:
     """The main text of a page: its content blocks, one a line."""
     if not page:
         return ""
-    found = blocks(page)
-    worths = [worth(block) for block in found]
+    found, tree = blocks(page)
+    costs = marks(found, tree)
+    worths = [worth(block, costs[block.node]) for block in found]
     if min(worths, default=0) < 0:
-        content = minimum_cut(worths, ties(found))
+        content = minimum_cut(worths, ties(found, tree))
         found = [block for block, kept in zip(found, content) if kept]
     return "\n".join(block.text for block in found)
 

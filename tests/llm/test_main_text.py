@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -46,6 +47,40 @@ def test_pages_without_text(page):
     assert main_text.extract(page) == ""
 
 
+LONG_PROSE = " ".join([PROSE] * 3)
+ARTICLE = "".join(f"<p>{k}. {LONG_PROSE}</p>" for k in range(4))
+REST = f"""<div class="cookie-notice"><p>{PROSE}</p></div><div class="share"><p>{PROSE}</p></div><div class="sidebar-left"><p>{PROSE}</p></div>
+<section class="comments"><p>{LONG_PROSE}</p></section><footer><p>{PROSE}</p></footer>"""
+
+
+@pytest.mark.parametrize(
+    "shell",
+    ['<main class="has-sidebar">{}</main>', '<article class="story share-enabled">{}</article>', '<div class="wrapper no-sidebar">{}</div>',
+     '<form id="aspnetForm"><div id="content">{}</div></form>', '<form method="post"><div>{}</div></form>', '<div class="share-page">{}</div>',
+     '<main class="sidebar-right">{}</main>', '<div class="comments-page"><main>{}</main></div>', '<div class="overflow-hidden">{}</div>'],
+)
+def test_marked_shell_of_a_whole_article(shell):
+    text = main_text.extract(f"<html><body><nav><a>Home</a></nav>{shell.format(ARTICLE)}{REST}</body></html>")
+    assert text == "\n".join(f"{k}. {LONG_PROSE}" for k in range(4))
+
+
+@pytest.mark.parametrize(
+    "rest",
+    [f'<div class="comments">{ARTICLE * 3}</div>', f'<aside>{ARTICLE * 3}</aside>', f'<div class="related"><article>{ARTICLE}</article></div>',
+     f'<div class="promo">{ARTICLE}</div>', f'<form><p>{LONG_PROSE}</p></form>', f'<div hidden>{ARTICLE * 3}</div>'],
+)
+def test_marked_parts_beside_an_article_go(rest):
+    article = "".join(f"<p>{k}: {LONG_PROSE}</p>" for k in range(5))
+    assert main_text.extract(f"<article>{article}</article>{rest}") == "\n".join(f"{k}: {LONG_PROSE}" for k in range(5))
+
+
+@pytest.mark.parametrize("unit", ["<div>x ", "<div>", "<p><b>y", "<ul><li>z ", "</span><div>", "<button><p>x<div>", "<a href=x>l"])
+def test_deep_pages_take_linear_time(unit):
+    started = time.process_time()
+    main_text.extract(unit * 100_000)
+    assert time.process_time() - started < 20
+
+
 def test_long_pages():
     page = "<html><body><nav>" + "<a>x</a>" * 5000 + "</nav><article>" + f"<p>{PROSE}</p><p>Yes.</p>" * 5000 + "</article></body>"
     assert main_text.extract(page).count("\n") == 9999
