@@ -174,11 +174,23 @@ def prefix_trees(conversations: DataFrame, tokenizer_path: str) -> tuple[DataFra
     return nodes, every.select("conv_id", "ck", "k", "node")
 
 
+def _stretches(intervals: str) -> str:
+    """SQL of intervals in order with touching ones made one."""
+    first = f"filter({intervals}, (r, i) -> i = 0 OR {intervals}[i - 1].end != r.start)"
+    last = f"filter({intervals}, (r, i) -> i = size({intervals}) - 1 OR {intervals}[i + 1].start != r.end)"
+    return f"zip_with({first}, {last}, (a, b) -> named_struct('start', a.start, 'end', b.end))"
+
+
 def read_back(nodes: DataFrame, walked: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Digests of every conversation, read from the trees' tokens.
+    """Digests of every conversation, read from its tree's sequence.
 
-    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``.
+    ``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars``. Of a conversation only its last node is
+    taken from ``walked``. Its turns are what lies in the intervals that node attends to, in order of position, and then the
+    node itself; an error says if their tokens leave a gap. Empty tables give no rows.
     """
+    own = "named_struct('start', start, 'end', start + n_tokens)"
+    seen = nodes.withColumn("seen", F.expr(f"concat(ancestors, array({own}))")).withColumn("seen", F.expr(_stretches("seen")))
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("chat", _tokenizer.cache_clear)
         tokenizer = _tokenizer(tokenizer_path)
@@ -190,36 +202,49 @@ def read_back(nodes: DataFrame, walked: DataFrame, tokenizer_path: str) -> DataF
             rows = [(*parsed(turn), unescape(loss), len(turn)) for turn, loss in zip(turns, losses)]
             out = list(zip(*rows)) or [[], [], [], []]
             kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
-            arrays = [batch["node"], *(pa.array(c, t) for c, t in zip(out, kinds))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "role", "text", "loss", "chars"])
-
-    texts = nodes.select("node", "ids", "loss_from", "loss_to").mapInArrow(
-        decode, "node binary, role string, text string, loss string, chars bigint"
+            kept = [batch[name] for name in ("tree", "stretch", "start", "position", "n_tokens")]
+            arrays = [*kept, *(pa.array(c, t) for c, t in zip(out, kinds))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["tree", "stretch", "start", "position", "n_tokens", "role", "text", "loss", "chars"])
+
+    # All conversations through a node see it in a stretch that begins at the same place.
+    texts = seen.select(
+        "tree", F.expr("seen[size(seen) - 1].start AS stretch"), "start", "position", "n_tokens", "ids", "loss_from", "loss_to"
+    ).mapInArrow(
+        decode,
+        "tree binary, stretch bigint, start bigint, position bigint, n_tokens bigint, role string, text string, loss string, chars bigint",
     )
-    turns = walked.join(texts.hint("merge"), "node").select("conv_id", "ck", "k", "role", "text", "loss", "chars")
+    leaves = walked.groupBy("ck").agg(F.max(F.struct("k", "node", "conv_id")).alias("l")).select("ck", "l.node", "l.conv_id")
+    leaves = leaves.join(seen.select("node", "tree", "seen").hint("merge"), "node")
+    wanted = leaves.select("conv_id", "ck", "tree", F.explode("seen").alias("s"))
+    wanted = wanted.select("conv_id", "ck", "tree", F.col("s.start").alias("stretch"), F.col("s.end").alias("end"))
+    turns = wanted.join(texts.hint("merge"), ["tree", "stretch"]).filter(F.col("start") < F.col("end"))
+    turns = turns.select("conv_id", "ck", "position", "n_tokens", "role", "text", "loss", "chars")
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, state = None, None
 
         def closed() -> dict:
-            conv_id, n, sha, loss_chars, loss, chars = state
+            conv_id, n, sha, loss_chars, loss, chars, _ = state
             return {"conv_id": conv_id, "n_turns": n, "turns_sha256": sha.hexdigest(), "loss_chars": loss_chars,
                     "loss_sha256": loss.hexdigest(), "formatted_chars": chars}
 
         for batch in batches:
             rows = []
-            for conv_id, ck, role, text, loss, chars in zip(
-                *(batch[c].to_pylist() for c in ("conv_id", "ck", "role", "text", "loss", "chars"))
+            for conv_id, ck, position, n_tokens, role, text, loss, chars in zip(
+                *(batch[c].to_pylist() for c in ("conv_id", "ck", "position", "n_tokens", "role", "text", "loss", "chars"))
             ):
                 if ck != here:
                     if state:
                         rows.append(closed())
-                    here, state = ck, [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    here, state = ck, [conv_id, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
+                if position != state[6]:
+                    raise ValueError(f"conversation {ck} has a token of position {position} where {state[6]} is due")
                 state[1] += 1
                 state[2].update(f"{role}\n{text}\n".encode())
                 state[3] += len(loss)
                 state[4].update(loss.encode())
                 state[5] += chars
+                state[6] += n_tokens
             yield pa.RecordBatch.from_pylist(rows, schema)
         if state:
             yield pa.RecordBatch.from_pylist([closed()], schema)
@@ -227,4 +252,4 @@ def read_back(nodes: DataFrame, walked: DataFrame, tokenizer_path: str) -> DataF
     schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                         ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
     columns = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
-    return _sorted(turns, "ck", "k").mapInArrow(digests, columns)
+    return _sorted(turns, "ck", "position").mapInArrow(digests, columns)

@@ -4,8 +4,10 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tallylog.llm import chat
 
@@ -48,6 +50,27 @@ def test_round_trip(spark):
         assert r.formatted_chars == sum(len("".join(chat.framed(a, b))) for a, b in turns)
 
 
+def test_a_conversation_that_ends_where_another_goes_on(spark):
+    # The longer one's own nodes follow its ancestors at once, so their intervals touch.
+    rows = [(c, k, "user", f"turn {k}") for c, n in ((1, 2), (2, 5), (3, 3), (4, 5)) for k in range(n)]
+    rows += [(5, 0, "user", "turn 0"), (5, 1, "user", "other"), (6, 0, "user", "turn 0"), (6, 1, "user", "other"), (6, 2, "user", "x")]
+    nodes, walked = chat.prefix_trees(frame(spark, rows), PATH)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256) for r in chat.read_back(nodes, walked, PATH).collect()}
+    for conv_id, turns in conversations(rows).items():
+        assert got[conv_id] == (len(turns), hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest())
+
+
+@pytest.mark.parametrize("column, broken", [("start", "start + 1000 * k"), ("ancestors", "filter(ancestors, a -> false)"), ("position", "position + k")])
+def test_results_come_from_the_layout(spark, column, broken):
+    nodes, walked = chat.prefix_trees(frame(spark, ROWS), PATH)
+    whole = sorted(chat.read_back(nodes, walked, PATH).collect(), key=repr)
+    nodes = nodes.withColumn(column, F.expr(broken))
+    try:
+        assert sorted(chat.read_back(nodes, walked, PATH).collect(), key=repr) != whole
+    except Exception as error:  # noqa: BLE001
+        assert "is due" in str(error)
+
+
 def test_layout_of_the_trees(spark):
     nodes, walked = chat.prefix_trees(frame(spark, ROWS), PATH)
     by_node = {bytes(r.node): r for r in nodes.collect()}
