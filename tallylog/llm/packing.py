@@ -88,7 +88,14 @@ class Encoder(dict):
         if len(self) > _CACHE:  # words met early are the frequent ones
             for word in list(islice(self, _CACHE // 2, None)):
                 del self[word]
-        return b"".join([self[word] for word in (text if b"<|" in text else text.lower()).split()])
+        if b"<|" in text:
+            words = text.split()
+        elif b"\xcc" in text or b"\xcd" in text:
+            # The vocabulary composes letters with the marks U+0300 to U+037F after them before it lower-cases.
+            words = [word if b"\xcc" in word or b"\xcd" in word else word.lower() for word in text.split()]
+        else:
+            words = text.lower().split()
+        return b"".join([self[word] for word in words])
 
 
 @lru_cache(maxsize=2)
