@@ -98,7 +98,7 @@ def arc_files(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     """``path, content``: the pages as ARC files, versions in turn, in the shape of ``binaryFile``.
 
     A record is an HTTP response whose ``X-Page-Id`` header has the key. Null html is an empty payload, a null
-    url or key an empty one.
+    url or key an empty one. Repeated rows are records each; an empty table gives no files; other columns play no part.
     """
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +138,8 @@ _CONVERTED = (
 def from_arc(files: DataFrame) -> DataFrame:
     """The records of ARC files ``path, content``, with header block, payload and its digest.
 
-    HTTP headers end at the first empty line; content without them is all payload.
+    HTTP headers end at the first empty line; content without them is all payload, and a record without ``X-Page-Id`` has a null
+    key. Repeated records and files stay; an empty table gives no rows; other columns play no part. A null content is an error.
     """
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +200,7 @@ def to_warc(records: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
     """``record``: the text of a WARC record for each of :func:`from_arc`'s rows, without its two last line ends.
 
     Of equal payloads of ``revisit_from`` bytes or more the record with the largest page id is the response; ties go to the last
-    in order of file and offset.
+    in order of file and offset. Null page ids count as the smallest. An empty table gives no records.
     """
     each = records.withColumn("record_id", _record_id("path", "offset", "uri", "payload_digest"))
     order = F.struct(F.coalesce("page_id", F.lit(-(1 << 63))).alias("k"), "path", "offset")
@@ -241,7 +242,14 @@ def _record_id(*columns: str) -> Column:
 
 
 def _iso_date(column: str) -> Column:
-    return F.regexp_replace(column, r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3T$4:$5:$6Z")
+    """A time of WARC from an ARC date of 4 to 14 digits, whose missing parts are their least values; what is no date becomes 1970."""
+    # Bytes of other lengths than whole parts keep the parts that are whole.
+    whole = f"substring({column}, 1, 4 + 2 * ((length({column}) - 4) div 2))"
+    filled = f"concat({whole}, substring('00000101000000', length({whole}) + 1))"
+    parts = ", ".join(f"CAST(substring({filled}, {at}, {size}) AS INT)" for at, size in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2)))
+    time = f"try_make_timestamp_ntz({parts}, CAST(substring({filled}, 13, 2) AS DECIMAL(16, 6)))"
+    known = f"CASE WHEN {column} RLIKE '^[0-9]{{4,14}}$' THEN replace(CAST({time} AS STRING), ' ', 'T') END"
+    return F.expr(f"concat(coalesce({known}, '1970-01-01T00:00:00'), 'Z')")
 
 
 def write_warc(records: DataFrame, path: str) -> None:
@@ -346,8 +354,9 @@ def _described(fields: dict, block: bytes, with_payload: bool) -> dict:
         raise ValueError(f"block digest of {fields['warc-record-id']} is wrong")
     if not revisit and hashlib.sha1(payload).hexdigest() != digest:
         raise ValueError(f"payload digest of {fields['warc-record-id']} is wrong")
-    # A revisit has only the headers, which declare the full length.
-    size = int(http_field(head, b"content-length") or 0) if revisit else len(payload)
+    # A revisit has only the headers, which may declare the full length.
+    declared = http_field(head, b"content-length") or b""
+    size = (int(declared) if declared.isdigit() else None) if revisit else len(payload)
     row = {
         "record_id": fields["warc-record-id"],
         "record_type": fields["warc-type"],
@@ -361,11 +370,16 @@ def _described(fields: dict, block: bytes, with_payload: bool) -> dict:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """The records with ``refers_to``: the key of the response that a revisit refers to."""
+    """The records with ``refers_to``: the key of the response that a revisit refers to.
+
+    A revisit's ``payload_bytes`` are those of that response; only where it is missing they are what the revisit's own headers
+    declare, null if nothing. Repeated records stay; an empty table gives no rows.
+    """
     responses = records.filter("record_type = 'response'").select(
-        F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to")
+        F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("full")
     )
     revisits = records.filter("record_type = 'revisit'").join(responses, "refers_to_id", "left")
+    revisits = revisits.withColumn("payload_bytes", F.coalesce("full", "payload_bytes"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     whole = records.filter("record_type != 'revisit'").withColumn("refers_to", F.lit(None).cast("bigint"))
     return revisits.select(*columns).unionAll(whole.select(*columns))

@@ -56,6 +56,27 @@ def test_arc_versions(version):
             list(archives.arc_records(broken))
 
 
+def test_short_dates_and_headers_without_a_length(spark):
+    dates = [b"20010203040506", b"200102030405", b"20010203", b"2001", b"20010203040", b"20010231000000", b"-", b"2001020304050607"]
+    head = b"HTTP/1.1 200 OK\r\nX-Page-Id: %d\r\n\r\n"
+    records = [(b"http://x/", date, head % k + b"z" * 2000) for k, date in enumerate(dates)]
+    files = spark.createDataFrame([("a.arc", archives.arc_block(b"1", "a.arc", records))], "path string, content binary")
+    warc = archives.to_warc(archives.from_arc(files))
+    found = {}
+    for (record,) in warc.collect():
+        fields = dict(line.split(": ", 1) for line in record.split("\r\n\r\n")[0].split("\r\n")[1:])
+        found[record.split("X-Page-Id: ")[1].split("\r\n")[0]] = fields["WARC-Date"]
+    day, none = "2001-02-03T", "1970-01-01T00:00:00Z"
+    expected = ["04:05:06Z", "04:05:00Z", "00:00:00Z"]
+    assert [found[str(k)] for k in range(8)] == [*[day + t for t in expected], "2001-01-01T00:00:00Z", day + "04:00:00Z", none, none, none]
+    path = shared_path(spark, "warc")
+    archives.write_warc(warc, path)
+    got = archives.resolved(archives.read_warc(spark, path)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == [
+        *[(k, 2000, "revisit", 7) for k in range(7)], (7, 2000, "response", None)
+    ]
+
+
 def test_many_gzip_members_and_small_steps(monkeypatch):
     monkeypatch.setattr(archives._Unpacked, "STEP", 7)
     records = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (k, b"z" * k) for k in (0, 1, 500)]
