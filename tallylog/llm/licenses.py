@@ -44,6 +44,52 @@ compliance with the License. You may obtain a copy of the License at http://www.
 required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS
 IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
+_BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. """
+_BSD_3 = _BSD_2 + """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission. """
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF
+USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED
+OF THE POSSIBILITY OF SUCH DAMAGE."""
+_0BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted. """ + _ISC[_ISC.index("THE SOFTWARE") :]
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this
+software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit
+of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED
+"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE
+USE OR OTHER DEALINGS IN THE SOFTWARE."""
+# Its last line is often there, and often not.
+_MORE = " For more information, please refer to <https://unlicense.org>"
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software. 3. This notice may not be removed or altered from any source distribution."""
+_WHOLE = tuple(
+    (name, title + reserved + body)
+    for name, titles, body in (
+        ("BSD-2-Clause", ("", "BSD 2-Clause License ", "The BSD 2-Clause License "), _BSD_2 + _BSD_END),
+        ("BSD-3-Clause", ("", "BSD 3-Clause License ", "The BSD 3-Clause License "), _BSD_3 + _BSD_END),
+    )
+    for title in titles
+    for reserved in ("", "All rights reserved. ")
+) + (
+    ("0BSD", _0BSD), ("0BSD", "BSD Zero Clause License " + _0BSD), ("0BSD", "Zero-Clause BSD " + _0BSD), ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + _MORE), ("Zlib", _ZLIB), ("Zlib", "zlib License " + _ZLIB),
+)
 KNOWN = (
     ("MIT", _MIT), ("MIT", "MIT License " + _MIT), ("MIT", "The MIT License (MIT) " + _MIT), ("MIT", "Released under the MIT License"),
     ("MIT", "Licensed under the MIT License"), ("MIT", "This project is licensed under the MIT License"), ("MIT", "SPDX-License-Identifier: MIT"),
@@ -60,30 +106,44 @@ KNOWN = (
     ("CC0-1.0", "Licensed under CC0 1.0"), ("CC-BY-4.0", "Licensed under CC BY 4.0"), ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"), ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"), ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
-    ("proprietary", "All rights reserved"),
+    ("proprietary", "All rights reserved"), *_WHOLE,
 )
 
-_COPYRIGHT = r"(?m)^[^\\p{L}\\p{N}\\n]*(?:copyright|\\(c\\)|©)[^\\n]*$"
+# Words after "copyright" that go on a sentence of a licence, rather than name who holds the rights.
+SENTENCE = "notice notices holder holders owner owners license licence law laws interest statement statements and or as in".split()
+# A line of rights: a sign, or the word with anything but such a word after it.
+_COPYRIGHT = (
+    r"(?m)^[^\\p{L}\\p{N}\\n]*(?:\\(c\\)|©|copyright(?![^\\p{L}\\p{N}\\n]*(?:" + "|".join(SENTENCE) + r")(?![\\p{L}\\p{N}])))[^\\n]*$"
+)
 
 
 def canonical(text: str) -> str:
     """SQL of the canonical form; line ends stay.
 
-    Lower case, lines that begin with a copyright mark emptied, every run of other characters than
-    letters and digits one space, spellings unified.
+    Lower case, lines of rights that begin with a copyright mark emptied, every run of other characters than
+    letters and digits one space, spellings of one word unified.
     """
     out = f"lower({text})"
     out = f"CASE WHEN contains({out}, 'copyright') OR contains({out}, '(c)') OR contains({out}, '©') " \
         f"THEN regexp_replace({out}, '{_COPYRIGHT}', '') ELSE {out} END"
     out = f"regexp_replace({out}, '[^\\\\p{{L}}\\\\p{{N}}\\\\n]+', ' ')"
     for old, new in SPELLINGS:
-        out = f"replace({out}, '{old}', '{new}')"
+        if " " not in old:
+            out = f"replace({out}, '{old}', '{new}')"
     return out
 
 
+def joined(line: str) -> str:
+    """SQL of a canonical text without line ends, spellings of several words unified."""
+    for old, new in SPELLINGS:
+        if " " in old:
+            line = f"replace({line}, '{old}', '{new}')"
+    return line
+
+
 def flat(text: str) -> str:
-    """SQL of a canonical text on one line."""
-    return f"trim(regexp_replace({text}, '[ \\\\n]+', ' '))"
+    """SQL of a canonical text on one line, wherever its lines ended."""
+    return joined(f"trim(regexp_replace({text}, '[ \\\\n]+', ' '))")
 
 
 def known_licenses(spark: SparkSession, texts=KNOWN) -> DataFrame:
@@ -113,7 +173,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None, key: str = "doc_id", t
         f"CASE WHEN size(paragraphs) > 1 THEN filter(transform(paragraphs, (p, i) -> "
         f"{unit.format('paragraph', 'i', no, flat('p'))}), u -> {fits.format('u.c')}) ELSE array() END"
     )
-    in_lines = f"transform(split(p, '\\\\n', -1), (x, j) -> {unit.format('line', 'i', 'j', 'trim(x)')})"
+    in_lines = f"transform(split(p, '\\\\n', -1), (x, j) -> {unit.format('line', 'i', 'j', joined('trim(x)'))})"
     as_line = (
         f"flatten(transform(paragraphs, (p, i) -> CASE WHEN contains(p, '\\n') THEN "
         f"filter({in_lines}, u -> {fits.format('u.c')}) ELSE array() END))"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallylog.llm.chat import FRAMES
-from tallylog.llm.licenses import KNOWN, SPELLINGS
+from tallylog.llm.licenses import KNOWN, SENTENCE, SPELLINGS
 
 _OP2 = r"""
 WITH docs AS (
@@ -136,15 +136,27 @@ FROM placed
 
 
 def _canonical(text: str) -> str:
-    out = f"regexp_replace(lower({text}), '(?m)^[^\\p{{L}}\\p{{N}}\\n]*(?:copyright|\\(c\\)|©)[^\\n]*$', '', 'g')"
+    start = "^[^\\p{L}\\p{N}]*"
+    mark = f"regexp_matches(x, '{start}(copyright|\\(c\\)|©)')"
+    goes_on = f"regexp_matches(x, '{start}copyright[^\\p{{L}}\\p{{N}}]*({'|'.join(SENTENCE)})([^\\p{{L}}\\p{{N}}]|$)')"
+    lines = f"list_transform(string_split(lower({text}), chr(10)), lambda x: CASE WHEN {mark} AND NOT {goes_on} THEN '' ELSE x END)"
+    out = f"array_to_string({lines}, chr(10))"
     out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
     for old, new in SPELLINGS:
-        out = f"replace({out}, '{old}', '{new}')"
+        if " " not in old:
+            out = f"replace({out}, '{old}', '{new}')"
     return out
 
 
+def _joined(line: str) -> str:
+    for old, new in SPELLINGS:
+        if " " in old:
+            line = f"replace({line}, '{old}', '{new}')"
+    return line
+
+
 def _flat(text: str) -> str:
-    return f"trim(regexp_replace({text}, '[ \\n]+', ' ', 'g'))"
+    return _joined(f"trim(regexp_replace({text}, '[ \\n]+', ' ', 'g'))")
 
 
 _KNOWN = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in KNOWN)
@@ -163,7 +175,7 @@ WITH known AS (
 ), units AS (
     SELECT doc_id, 'text' AS unit, CAST(NULL AS INT) AS paragraph, CAST(NULL AS INT) AS line, {_flat("c")} AS c FROM docs
     UNION ALL SELECT doc_id, 'paragraph', paragraph, NULL, {_flat("p")} FROM paragraphs WHERE n > 1
-    UNION ALL SELECT doc_id, 'line', paragraph, line, trim(p) FROM lines
+    UNION ALL SELECT doc_id, 'line', paragraph, line, {_joined('trim(p)')} FROM lines
 )
 SELECT doc_id, license, unit, paragraph, line FROM units JOIN known USING (c)
 """

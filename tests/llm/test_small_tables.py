@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import textwrap
 
 from tallylog.llm import licenses, mixing, quality
 
@@ -65,3 +66,19 @@ def test_whole_license_texts(spark):
     ]
     own = licenses.known_licenses(spark, [("X", "Some text of mine"), ("Y", "some TEXT, of mine.")])
     assert sorted(r.license for r in licenses.scan(frame(spark, [(7, "Some text of mine", None, None)]), own).collect()) == ["X", "Y"]
+
+
+def wrapped(text, width):
+    return "\n".join(textwrap.wrap(text, width, break_long_words=False))
+
+
+def test_license_texts_at_any_width(spark):
+    texts = [(name, text) for name, text in licenses.KNOWN if len(text) > 400]
+    rows, expected = [], set()
+    for k, (name, text) in enumerate(texts):
+        for width in (40, 60, 61, 62, 63, 64, 65, 70, 72, 75, 76, 77, 78, 79, 80, 100, 10_000):
+            rows.append((1000 * k + width, "Copyright (c) 2020 A\n  © B\nCopyright 2019, C\nCopyright D Inc\n" + wrapped(text, width), None, None))
+            expected.add((1000 * k + width, name))
+    found = licenses.scan(frame(spark, rows)).filter("unit = 'text'").collect()
+    assert {(r.doc_id, r.license) for r in found} == expected
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Unlicense", "Zlib"} <= {name for name, _ in texts}
