@@ -418,10 +418,10 @@ def report_metrics(spark, sf_dir):
     return _bigint_sums(counts.rollup_totals(rollup))
 
 
-def _written_report(spark, sf_dir) -> str:
+def _written_report(spark, sf_dir, runs: DataFrame | None = None) -> str:
     path = shared_path(spark, "report")
     rollup = report.rollup_lines(event_lines(spark, sf_dir))
-    report.write_report(report.report_from_rollup(rollup), path)
+    report.write_report(report.report_from_rollup(rollup), path, runs)
     return path
 
 
@@ -470,14 +470,16 @@ def report_summary(spark, sf_dir):
 
 
 def report_csv_tables(spark, sf_dir):
-    """The written CSV tables read back: name, first column, second column."""
-    path = _written_report(spark, sf_dir)
-    names = ["top_ips", "top_endpoints", "top_error_endpoints", "status_codes", "methods", "hourly_trends", "anomalies"]
+    """The written CSV tables read back: name, key, count, and the other numbers of those that have some."""
+    path = _written_report(spark, sf_dir, run_speedup(spark, sf_dir))
+    names = ["top_ips", "top_endpoints", "top_error_endpoints", "status_codes", "methods", "hourly_trends", "anomalies", "benchmark"]
+    numbers = ["duration_seconds", "speedup_vs_first_run", "savgol_baseline", "residual", "residual_score", "threshold"]
     tables = []
     for name in names:
         table = spark.read.option("header", "true").csv(f"{path}/{name}")
-        key, count = table.columns[:2]
-        tables.append(table.select(F.lit(name).alias("table"), F.col(key).alias("key"), F.col(count).cast("bigint").alias("count")))
+        key, count = (table.columns[0], "processed_lines") if name == "benchmark" else table.columns[:2]
+        others = [(F.col(c) if c in table.columns else F.lit(None)).cast("double").alias(c) for c in numbers]
+        tables.append(table.select(F.lit(name).alias("table"), F.col(key).alias("key"), F.col(count).cast("bigint").alias("count"), *others))
     return reduce(DataFrame.unionByName, tables)
 
 

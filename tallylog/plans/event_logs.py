@@ -18,10 +18,10 @@ _DERIVED = {
     "method": """CASE WHEN event_id % 41 = 0 THEN 'TRACE' WHEN event_type = 'view' THEN 'get'
         WHEN event_type = 'click' THEN 'GET' WHEN event_type = 'purchase' THEN 'POST'
         WHEN event_type = 'signup' THEN 'PUT' ELSE 'DELETE' END""",
-    "status": """CASE WHEN event_id % 47 = 0 THEN 600
+    "status": """CASE WHEN event_id % 47 = 0 THEN 600 WHEN event_id % 73 = 0 THEN 102
         WHEN event_type = 'error' THEN CASE event_id % 3 WHEN 0 THEN 500 WHEN 1 THEN 502 ELSE 503 END
         ELSE CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 301 WHEN 2 THEN 403 ELSE 200 END END""",
-    "size": "CASE WHEN event_id % 11 = 0 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS STRING) END",
+    "size": "CASE WHEN event_id % 61 = 0 THEN 'many' WHEN event_id % 67 = 0 THEN '-5' WHEN event_id % 11 = 0 THEN '-' ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS STRING) END",
 }
 
 _LINE = """CASE
@@ -31,9 +31,12 @@ _LINE = """CASE
     ELSE concat(
         '10.0.', user_id div 256, '.', user_id % 256, ' - ',
         CASE WHEN user_id % 3 = 0 THEN '-' ELSE concat('u', user_id) END, ' [',
-        date_format(timestamp_micros(m) + INTERVAL '5 hours 30 minutes', 'dd/MMM/yyyy:HH:mm:ss'), ' +0530] "',
+        CASE WHEN event_id % 118 = 0 THEN '31/Feb/2024:10:00:00 +0530' WHEN event_id % 59 = 0 THEN '15/Foo/2024:10:00:00 +0530'
+            WHEN event_id % 7 = 0 THEN concat(date_format(timestamp_micros(m) - INTERVAL '8 hours', 'dd/MMM/yyyy:HH:mm:ss'), ' -0800')
+            ELSE concat(date_format(timestamp_micros(m) + INTERVAL '5 hours 30 minutes', 'dd/MMM/yyyy:HH:mm:ss'), ' +0530') END, '] "',
         method, ' ', CASE WHEN event_id % 43 = 0 THEN '' ELSE '/' END, event_type, '/', user_id % 20,
-        ' http/1.0" ', status, ' ', size, ' "-" "UA/1.0" ', event_id % 5000)
+        ' http/1.0" ', status, ' ', size, ' "-" "UA/1.0" ',
+        CASE WHEN event_id % 71 = 0 THEN '99999999999999999999' ELSE CAST(event_id % 5000 AS STRING) END)
     END"""
 
 

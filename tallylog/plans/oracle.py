@@ -33,11 +33,11 @@ _STEPS: dict[str, str] = {
             CASE WHEN event_id % 41 = 0 THEN 'TRACE' WHEN event_type = 'view' THEN 'get'
                 WHEN event_type = 'click' THEN 'GET' WHEN event_type = 'purchase' THEN 'POST'
                 WHEN event_type = 'signup' THEN 'PUT' ELSE 'DELETE' END AS method,
-            CASE WHEN event_id % 47 = 0 THEN 600
+            CASE WHEN event_id % 47 = 0 THEN 600 WHEN event_id % 73 = 0 THEN 102
                 WHEN event_type = 'error' THEN CASE event_id % 3 WHEN 0 THEN 500 WHEN 1 THEN 502 ELSE 503 END
                 ELSE CASE event_id % 10 WHEN 0 THEN 404 WHEN 1 THEN 301 WHEN 2 THEN 403 ELSE 200 END
                 END AS status,
-            CASE WHEN event_id % 11 = 0 THEN '-'
+            CASE WHEN event_id % 61 = 0 THEN 'many' WHEN event_id % 67 = 0 THEN '-5' WHEN event_id % 11 = 0 THEN '-'
                 ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END AS size
         FROM events""",
     "raw": """
@@ -47,9 +47,12 @@ _STEPS: dict[str, str] = {
             WHEN event_id % 37 = 0 THEN 'garbage ' || event_id
             ELSE '10.0.' || (user_id // 256) || '.' || (user_id % 256) || ' - '
                 || CASE WHEN user_id % 3 = 0 THEN '-' ELSE 'u' || user_id END || ' ['
-                || strftime(make_timestamp(m) + INTERVAL 330 MINUTE, '%d/%b/%Y:%H:%M:%S') || ' +0530] "'
+                || CASE WHEN event_id % 118 = 0 THEN '31/Feb/2024:10:00:00 +0530' WHEN event_id % 59 = 0 THEN '15/Foo/2024:10:00:00 +0530'
+                    WHEN event_id % 7 = 0 THEN strftime(make_timestamp(m) - INTERVAL 480 MINUTE, '%d/%b/%Y:%H:%M:%S') || ' -0800'
+                    ELSE strftime(make_timestamp(m) + INTERVAL 330 MINUTE, '%d/%b/%Y:%H:%M:%S') || ' +0530' END || '] "'
                 || method || ' ' || CASE WHEN event_id % 43 = 0 THEN '' ELSE '/' END || event_type || '/'
-                || (user_id % 20) || ' http/1.0" ' || status || ' ' || size || ' "-" "UA/1.0" ' || (event_id % 5000)
+                || (user_id % 20) || ' http/1.0" ' || status || ' ' || size || ' "-" "UA/1.0" '
+                || CASE WHEN event_id % 71 = 0 THEN '99999999999999999999' ELSE CAST(event_id % 5000 AS VARCHAR) END
             END AS value
         FROM derived""",
     "cut": f"""
@@ -258,12 +261,32 @@ _TOP_TABLES = {
 }
 
 
+_RUN_SPEEDUP = """
+        WITH runs AS (SELECT o_orderkey AS pos, greatest(1, o_custkey % 16) AS workers,
+                o_totalprice AS duration_seconds, o_orderkey AS processed_lines FROM orders),
+            firsts AS (SELECT * FROM runs
+                QUALIFY row_number() OVER (PARTITION BY workers ORDER BY pos) = 1),
+            base AS (SELECT duration_seconds AS d FROM runs ORDER BY pos LIMIT 1)
+        SELECT CAST(workers AS INTEGER) AS workers, pos, duration_seconds, processed_lines,
+            CASE WHEN duration_seconds = 0 THEN 1.0 ELSE d / duration_seconds END AS speedup_vs_first_run
+        FROM firsts, base"""
+
+
 def _csv_tables() -> str:
     parts = []
+    numbers = ["duration_seconds", "speedup_vs_first_run", "savgol_baseline", "residual", "residual_score", "threshold"]
+    none = ", ".join(f"CAST(NULL AS DOUBLE) AS {name}" for name in numbers)
     for name, (key, query) in _TOP_TABLES.items():
-        parts.append(f'SELECT \'{name}\' AS "table", {key} AS key, count FROM ({query})')
-    parts.append(f"SELECT 'hourly_trends', {_iso_number('m')}, requests FROM trend")
-    parts.append(f"SELECT 'anomalies', {_iso_number('m')}, errors FROM verdicts WHERE is_anomaly")
+        parts.append(f'SELECT \'{name}\' AS "table", {key} AS key, count, {none} FROM ({query})')
+    parts.append(f"SELECT 'hourly_trends', {_iso_number('m')}, requests, {none} FROM trend")
+    parts.append(
+        f"SELECT 'anomalies', {_iso_number('m')}, errors, NULL, NULL, round(baseline, 2), round(residual, 2), round(score, 2), "
+        "round(threshold, 2) FROM verdicts WHERE is_anomaly"
+    )
+    parts.append(
+        "SELECT 'benchmark', CAST(workers AS VARCHAR), processed_lines, round(duration_seconds, 4), round(speedup_vs_first_run, 4), "
+        f"NULL, NULL, NULL, NULL FROM ({_RUN_SPEEDUP})"
+    )
     return "\nUNION ALL ".join(parts)
 
 
@@ -507,15 +530,7 @@ ORACLE_SQL: dict[str, str] = {
             for line in ("errors", "baseline", "threshold")
         )
     ),
-    "run_speedup": """
-        WITH runs AS (SELECT o_orderkey AS pos, greatest(1, o_custkey % 16) AS workers,
-                o_totalprice AS duration_seconds, o_orderkey AS processed_lines FROM orders),
-            firsts AS (SELECT * FROM runs
-                QUALIFY row_number() OVER (PARTITION BY workers ORDER BY pos) = 1),
-            base AS (SELECT duration_seconds AS d FROM runs ORDER BY pos LIMIT 1)
-        SELECT CAST(workers AS INTEGER) AS workers, pos, duration_seconds, processed_lines,
-            CASE WHEN duration_seconds = 0 THEN 1.0 ELSE d / duration_seconds END AS speedup_vs_first_run
-        FROM firsts, base""",
+    "run_speedup": _RUN_SPEEDUP,
     "report_metrics": _sql("SELECT * FROM metrics"),
     "report_summary": _sql(_summary()),
     "report_csv_tables": _sql(_csv_tables()),

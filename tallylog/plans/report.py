@@ -246,7 +246,7 @@ def report_tables(report: Report, runs: DataFrame | None = None) -> dict[str, Da
         "anomalies": anomaly_rows(report.detection.anomalies.orderBy("minute")),
     }
     if runs is not None:
-        tables["benchmark"] = run_rows(runs)
+        tables["benchmark"] = run_rows(runs.orderBy("pos"))
     return tables
 
 
