@@ -1,8 +1,9 @@
 """Access-log lines to typed records, as one Spark expression job.
 
 The pattern is matched once per line: the replacement text joins the wanted
-groups with ``SEPARATOR``, and ``split`` takes them apart again. No field can contain it:
-words hold no white space, and quoted fields hold no quote. One ``regexp_extract`` per
+groups, and ``split`` takes them apart again. Words, which hold no white space, come first and
+end with a newline each; the quoted fields, which hold no quote, are the last part and are joined
+by quotes. Single characters are split without a pattern. One ``regexp_extract`` per
 field would match every line many times.
 """
 
@@ -33,7 +34,10 @@ FIELDS = [
     "response_time_ms",
 ]
 
-SEPARATOR = '"\n'
+WORD_END, QUOTE = "\n", '"'
+
+# The names of months, whose places tell their numbers.
+MONTHS = "JAN FEB MAR APR MAY JUN JUL AUG SEP OCT NOV DEC"
 
 # UTC instants from year 1 to year 9999; an offset must not lead out of them.
 FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
@@ -46,7 +50,7 @@ _WORD = r"[^\s\x1c-\x1f]++"
 # matches too, but leaves these groups empty: such a line has a bad timestamp.
 _TIME = (
     r"(?: (?=[1-9]/))?+(?<day>[0-9]{1,2})/(?<month>[A-Za-z]{3})/(?<year>(?!0000)[0-9]{4})"
-    r":(?<hour>[0-9]{1,2}):(?<minute>[0-9]{1,2}):(?<second>[0-9]{1,2})"
+    r":(?<hour>[01]?[0-9]|2[0-3]):(?<minute>[0-5]?[0-9]):(?<second>[0-5]?[0-9])"
     rf"{_SPACE}++(?:Z|(?<sign>[+-])(?<eh>[01][0-9]|2[0-3])(?<colon>:?)(?<em>[0-5][0-9])"
     r"(?:\k<colon>(?<es>[0-5][0-9]))?)"
 )
@@ -61,24 +65,23 @@ _LINE = (
 # Groups by number: looking up ``${name}`` for every group of every line costs a third more.
 _GROUP = {name: f"${place}" for place, name in enumerate(re.findall(r"\(\?<(\w+)>", _LINE), 1)}
 
-# What the pattern hands over for each line, one text per entry.
+# What the pattern hands over for each line. The method comes first: see ``matches`` below.
 _CHECKED = {
-    "local": "{day}/{month}/{year}:{hour}:{minute}:{second} +0000",
-    "offset": "{sign}{eh}{em}{es}",
     "method": "{method}",
     "endpoint": "{endpoint}",
     "status": "{status}",
     "bytes": "{bytes}",
     "millis": "{millis}",
+    "day": "{day}",
+    "month": "{month}",
+    "year": "{year}",
+    "hour": "{hour}",
+    "minute": "{minute}",
+    "second": "{second}",
+    "offset": "{sign}{eh}{em}{es}",
 }
-_OPTIONAL = {
-    "ip": "{ip}",
-    "remote_log_name": "{logname}",
-    "user_id": "{user}",
-    "protocol": "{protocol}",
-    "referrer": "{referrer}",
-    "user_agent": "{agent}",
-}
+_WORDS = {"ip": "{ip}", "remote_log_name": "{logname}", "user_id": "{user}"}
+_QUOTED = {"protocol": "{protocol}", "referrer": "{referrer}", "user_agent": "{agent}"}
 
 
 def strip_line(line: Column) -> Column:
@@ -106,20 +109,20 @@ def shift_number(offset: Column) -> Column:
     return F.rpad(offset, 7, "0").try_cast("int")
 
 
-def utc_instant(local: Column, shift: Column) -> Column:
-    """TIMESTAMP of a local log time and its ``shift_number``; NULL if there is no such time.
+def utc_instant(text: dict[str, Column], shift: Column) -> Column:
+    """TIMESTAMP of the parts of a local log time and its ``shift_number``; NULL if there is no such time.
 
-    The date parser sees a constant offset only: it knows none beyond 18 hours and
-    no mix of ``+0530``, ``+05:30`` and ``Z``.
+    The pattern has checked the clock, the cast checks the date. A date parser with a format takes
+    several times as long, and knows no offsets beyond 18 hours.
     """
-    # Text that starts with the slash had no day: not worth an exception inside the parser.
-    clock = F.when(
-        ~local.startswith("/"), F.try_to_timestamp(local, F.lit("d/MMM/yyyy:H:m:s Z"))
-    )
+    # No month of this name is month 0, and no date.
+    month = F.floor((F.instr(F.lit(MONTHS), F.upper(text["month"])) + 3) / 4)
+    date = F.concat_ws("-", text["year"], month.cast("string"), text["day"]).try_cast("date")
+    clock = [text[name].try_cast("int") for name in ("hour", "minute", "second")]
     east = (
         (shift / 10000).cast("int") * 3600 + (shift % 10000 / 100).cast("int") * 60 + shift % 100
     )
-    seconds = F.unix_seconds(clock) - east
+    seconds = F.unix_date(date).cast("bigint") * 86400 + clock[0] * 3600 + clock[1] * 60 + clock[2] - east
     return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), F.timestamp_seconds(seconds))
 
 
@@ -137,18 +140,23 @@ def parse_access_logs(
     kept = [F.col(f"`{name}`") for name in lines.columns if name not in made]
     # In a struct of their own, other columns can't be taken for a step's.
     kept = F.struct(*kept or [F.lit(None).cast("string").alias("nothing")]).alias("kept")
-    cuts = _CHECKED | {field: cut for field, cut in _OPTIONAL.items() if field in fields}
+    words = _CHECKED | {field: cut for field, cut in _WORDS.items() if field in fields}
+    quoted = {field: cut for field, cut in _QUOTED.items() if field in fields}
     line = F.col("line")
-    text = {name: F.get(F.col("part"), F.lit(place)) for place, name in enumerate(cuts)}
+    text = {name: F.get(F.col("part"), F.lit(place)) for place, name in enumerate(words)}
+    text |= {name: F.get(F.col("quoted"), F.lit(place)) for place, name in enumerate(quoted)}
     # Each step is a projection of its own: later ones use its columns several times,
     # and one huge expression would be too long for the JIT compiler.
-    joined = F.regexp_replace(line, _LINE, SEPARATOR.join(cuts.values()).format_map(_GROUP))
+    cuts = WORD_END.join([*words.values(), QUOTE.join(quoted.values())]).format_map(_GROUP)
+    joined = F.regexp_replace(line, _LINE, cuts)
     matched = lines.select(kept, F.col(column).alias("line")).select("kept", "line", joined.alias("joined"))
-    # A line that matches never equals its own joined fields: its second word ends
-    # with a space, theirs (the zero offset) with the separator.
+    # A line that matches never equals its own joined fields: its first word ends with a space,
+    # theirs (the method) with a newline.
     matched = matched.select(
-        "kept", "line", (F.col("joined") != line).alias("matches"), F.split("joined", SEPARATOR).alias("part")
+        "kept", "line", (F.col("joined") != line).alias("matches"), F.split("joined", WORD_END, len(words) + 1).alias("part")
     )
+    if quoted:
+        matched = matched.withColumn("quoted", F.split(F.get(F.col("part"), F.lit(len(words))), QUOTE))
     typed = matched.select(
         "*",
         shift_number(text["offset"]).alias("shift"),
@@ -156,7 +164,7 @@ def parse_access_logs(
         text["status"].try_cast("int").alias("status"),
         F.when(text["bytes"] == "-", F.lit(0)).otherwise(whole_number(text["bytes"])).alias("response_bytes"),
         text["millis"].try_cast("bigint").alias("response_time_ms"),
-    ).withColumn("timestamp_utc", utc_instant(text["local"], F.col("shift")))
+    ).withColumn("timestamp_utc", utc_instant(text, F.col("shift")))
     size, millis = F.col("response_bytes"), F.col("response_time_ms")
     judged = typed.withColumn(
         "reject_reason",
@@ -176,7 +184,7 @@ def parse_access_logs(
         "response_bytes": size,
         "response_time_ms": millis,
     }
-    values |= {field: text[field] for field in _OPTIONAL if field in cuts}
+    values |= {field: text[field] for field in [*_WORDS, *_QUOTED] if field in text}
     for field in {"remote_log_name", "user_id", "referrer"} & values.keys():
         values[field] = dash_to_empty(values[field])
     if "protocol" in values:

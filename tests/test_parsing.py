@@ -39,6 +39,13 @@ VALID = {
     "month case": (line(time="1/oCT/2020:03:05:06 +0000"), {"timestamp_utc": utc(2020, 10, 1, 3, 5, 6)}),
     "leap day": (line(time="29/Feb/2020:00:00:00 +0000"), {"timestamp_utc": utc(2020, 2, 29)}),
     "day changes": (line(time="01/Jan/2021:02:00:00 +0530"), {"timestamp_utc": utc(2020, 12, 31, 20, 30)}),
+    **{
+        f"month {n}": (line(time=f"2/{dt.date(2020, n, 1):%b}/2020:23:59:59 Z"), {"timestamp_utc": utc(2020, n, 2, 23, 59, 59)})
+        for n in range(1, 13)
+    },
+    "newlines and commas in quoted fields": (
+        line(request="GET /a h\nx", referrer="\na\n", agent=",\n"), {"protocol": "H\nX", "referrer": "\na\n", "user_agent": ",\n"},
+    ),
     "status 100": (line(status="100"), {"status": 100}),
     "status 599": (line(status="599"), {"status": 599}),
     "no bytes": (line(size="-"), {"response_bytes": 0}),
@@ -79,6 +86,7 @@ REJECTED = {
     "two-digit year": (line(time="01/Jan/20:00:00:00 +0000"), "timestamp"),
     "month number": (line(time="01/01/2020:00:00:00 +0000"), "timestamp"),
     "no such month": (line(time="01/Foo/2020:00:00:00 +0000"), "timestamp"),
+    "letters of two months": (line(time="01/anF/2020:00:00:00 +0000"), "timestamp"),
     "no offset": (line(time="01/Jan/2020:00:00:00"), "timestamp"),
     "offset of a day": (line(time="01/Jan/2020:00:00:00 +2400"), "timestamp"),
     "offset minutes": (line(time="01/Jan/2020:00:00:00 +0060"), "timestamp"),
