@@ -103,17 +103,24 @@ def report_from_rollup(
         stored = cut_lineage(top_n(rollup_counts(rollup, key, errors_only), key, rows))
         return top_n(stored, key, rows)
 
-    detection = detect_anomalies(minutes, window, sigma)
+    # The detection is a chain of small jobs; the tables don't depend on it and are stored meanwhile.
+    with ThreadPoolExecutor(WRITES_AT_A_TIME) as pool:
+        detecting = pool.submit(detect_anomalies, minutes, window, sigma)
+        top_ips = pool.submit(first, "ip", top)
+        top_endpoints = pool.submit(first, "endpoint", top)
+        top_error_endpoints = pool.submit(first, "endpoint", top, errors_only=True)
+        detection = detecting.result()
+        trend = cut_lineage(sparse_trend(minutes, detection.span))
     return Report(
         config={"top_n": top, "anomaly_window": window, "anomaly_sigma": float(sigma)},
         rollup=rollup,
         metrics=rollup_totals(rollup),
-        top_ips=first("ip", top),
-        top_endpoints=first("endpoint", top),
-        top_error_endpoints=first("endpoint", top, errors_only=True),
+        top_ips=top_ips.result(),
+        top_endpoints=top_endpoints.result(),
+        top_error_endpoints=top_error_endpoints.result(),
         status_codes=top_n(rollup_counts(rollup, "status"), "status", DISTRIBUTION_ROWS),
         methods=top_n(rollup_counts(rollup, "method"), "method", DISTRIBUTION_ROWS),
-        trend=cut_lineage(sparse_trend(minutes, detection.span)),
+        trend=trend,
         detection=detection,
         inputs=inputs,
         duration_seconds=duration_seconds,
