@@ -10,8 +10,8 @@ Weights become epochs: the largest source is read once, every other one ``(T / m
 document is lost. Whole epochs repeat a source; the rest of its budget goes to the first
 documents of a permutation, blocks in the order of their hashes and documents of a block in the order of
 theirs, as long as the words fit. The place in the permutation is a function of source and key, so the
-rest is one cut per source, found in a block of about a thousand documents: a source of any size is
-never put in order as a whole.
+rest is one cut per source, found among 4,096 regions of blocks, then among the blocks of one region, then in a block of
+about a thousand documents: a source of any size is never put in order as a whole.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from tallylog.llm.common import boxed, cut_lineage
 TARGET_ENTROPY = 0.95
 MAX_REPEATS = 4.0
 BLOCK = 1024
+# Blocks whose hashes begin with the same digits are a region.
+REGION_DIGITS = 3
 SEED = 7
 STEPS = 24
 _WORD = r"[^\\x20\\x09-\\x0D]+"
@@ -95,19 +97,31 @@ def _shuffled(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     return each.withColumn("by_block", F.expr(f"md5(concat('{SEED}|block|', {name}, '|', block))"))
 
 
+def _ending(rows: DataFrame, place: str) -> DataFrame:
+    """Per source the row in which the budget ends, with the words ``before`` it; the rows before it fit whole."""
+    upto = rows.withColumn("before", F.expr(f"start + sum(tokens) OVER (PARTITION BY source ORDER BY {place}) - tokens"))
+    return upto.filter("before <= rest AND before + tokens > rest").select("source", place, "before")
+
+
+def _within(rows: DataFrame, ending: DataFrame, place: str) -> DataFrame:
+    """The rows at the place of their source's ``ending``, whose words before are their ``start``."""
+    ending = ending.select(F.col("source").alias("_s"), F.col(place).alias("_p"), F.col("before").alias("start"))
+    return rows.join(ending, F.col("source").eqNullSafe(F.col("_s")) & (F.col(place) == F.col("_p"))).drop("_s", "_p")
+
+
 def cuts(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     """Per source the place ``cut`` in its permutation up to which documents are read once more."""
     each = _shuffled(sized, by_source).filter("rest > 0")
     blocks = each.groupBy("source", "by_block", "rest").agg(F.sum("n_tokens").alias("tokens"))
-    # One row a block, a thousandth of the documents of a source.
-    upto = blocks.withColumn("before", F.expr("sum(tokens) OVER (PARTITION BY source ORDER BY by_block) - tokens"))
-    # The block in which the budget ends; the ones before it fit whole.
-    last = upto.filter("before <= rest AND before + tokens > rest")
-    last = last.select(F.col("source").alias("_s"), F.col("by_block").alias("_b"), "before")
-    inside = each.join(last, F.col("source").eqNullSafe(F.col("_s")) & (F.col("by_block") == F.col("_b")))
-    # Repeated keys tie, and go in or stay out together.
-    inside = inside.withColumn("upto", F.expr("before + sum(n_tokens) OVER (PARTITION BY source, by_block ORDER BY by_doc)"))
-    inside = inside.groupBy("source", "by_block").agg(F.max(F.expr("CASE WHEN upto <= rest THEN by_doc END")).alias("d"))
+    # Regions of blocks first, at most ``16 ** REGION_DIGITS`` of a source, then the blocks of the region in which the budget ends.
+    regions = blocks.groupBy("source", F.expr(f"substring(by_block, 1, {REGION_DIGITS})").alias("region"), "rest").agg(F.sum("tokens").alias("tokens"))
+    regions = _ending(regions.withColumn("start", F.lit(0)), "region")
+    blocks = blocks.withColumn("region", F.expr(f"substring(by_block, 1, {REGION_DIGITS})"))
+    blocks = _ending(_within(blocks, regions, "region"), "by_block")
+    # Repeated keys tie, and go in or stay out together, so they are one row.
+    docs = _within(each, blocks, "by_block").groupBy("source", "by_block", "by_doc", "rest", "start").agg(F.sum("n_tokens").alias("tokens"))
+    upto = F.expr("start + sum(tokens) OVER (PARTITION BY source ORDER BY by_doc)")
+    inside = docs.withColumn("upto", upto).groupBy("source", "by_block").agg(F.max(F.expr("CASE WHEN upto <= rest THEN by_doc END")).alias("d"))
     return inside.select("source", F.struct("by_block", F.coalesce("d", F.lit("")).alias("by_doc")).alias("cut"))
 
 
@@ -146,7 +160,10 @@ def mixed_documents(
     target_entropy: float = TARGET_ENTROPY,
     max_repeats: float = MAX_REPEATS,
 ) -> DataFrame:
-    """The documents as often as :func:`mixture` reads them; columns as they came."""
+    """The documents as often as :func:`mixture` reads them; columns as they came, also those that clash with its own.
+
+    Null sources, empty texts and repeated keys are treated as there, and an empty table gives no rows.
+    """
     sized = cut_lineage(_sized(docs, key, text, source))
     by_source = cut_lineage(shares(sized, target_entropy, max_repeats))
     found = cut_lineage(cuts(sized, by_source))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import textwrap
 
+import pytest
+
 from tallylog.llm import licenses, mixing, quality
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, row string, m string, kept string, copies string, unit string"
@@ -82,3 +84,27 @@ def test_license_texts_at_any_width(spark):
     found = licenses.scan(frame(spark, rows)).filter("unit = 'text'").collect()
     assert {(r.doc_id, r.license) for r in found} == expected
     assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Unlicense", "Zlib"} <= {name for name, _ in texts}
+
+
+@pytest.mark.parametrize("digits", [1, 3])
+def test_mixture_cut_in_many_blocks_and_regions(spark, monkeypatch, digits):
+    monkeypatch.setattr(mixing, "BLOCK", 3)
+    monkeypatch.setattr(mixing, "REGION_DIGITS", digits)
+    # Repeated and null keys share their place; documents without words have one, too.
+    rows = [(None if k % 41 == 0 else k // 2 if k % 7 == 0 else k, "w " * (k * 13 % 29), ("a", "b", None)[min(k % 9, 2)]) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    sized = mixing._sized(docs, "doc_id", "text", "source").cache()
+    by_source = mixing.shares(sized).cache()
+    budget = {r.source: (r.epochs, r.rest) for r in by_source.collect()}
+    assert any(rest for _, rest in budget.values())
+    ordered = sorted(mixing._shuffled(sized, by_source).collect(), key=lambda r: (r.source or "", r.by_block, r.by_doc))
+    expected = []
+    for source, (epochs, rest) in budget.items():
+        spent, places = 0, {}
+        for r in (r for r in ordered if r.source == source):
+            places.setdefault((r.by_block, r.by_doc), []).append(r)
+        for group in places.values():
+            spent += sum(r.n_tokens for r in group)
+            expected += [(r.doc_id, source, r.n_tokens, 1 + epochs + (spent <= rest and rest > 0)) for r in group]
+    found = [(r.doc_id, r.source, r.n_tokens, r.copies) for r in mixing.mixture(docs).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
