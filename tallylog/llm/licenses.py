@@ -3,7 +3,8 @@
 The whole text of a document, each paragraph of one that has several, and each line of a paragraph
 that has several are units. A unit matches if its canonical form equals that of a known
 licence text; digests are compared by a hash join. Units whose canonical length no known text
-has are left out before they are hashed, which loses none.
+has are left out before they are hashed, which loses none; a list of known texts of more than ``SIZES`` lengths is compared
+by digests alone.
 """
 
 from __future__ import annotations
@@ -11,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Lengths of known texts that units are compared with before they are hashed.
+SIZES = 1000
+
 # Spellings that licence matching treats as equal, canonical one last.
 SPELLINGS = (
     ("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("non commercial", "noncommercial"),
@@ -161,8 +165,11 @@ def scan(docs: DataFrame, known: DataFrame | None = None, key: str = "doc_id", t
     rows, other columns play no part. A text listed under two licences matches both.
     """
     known = known_licenses(docs.sparkSession) if known is None else known
-    sizes = [row["size"] for row in known.select("size").distinct().collect()]
+    # Units of other lengths than the known texts' need no digest. Where the list has many lengths, all units get one.
+    sizes = [row["size"] for row in known.select("size").distinct().limit(SIZES + 1).collect()]
     fits = f"array_contains(array({', '.join(map(str, sizes)) or '-1'}), length({{}}))"
+    if len(sizes) > SIZES:
+        fits = "length({}) >= 0"
     each = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("t")).filter("t IS NOT NULL")
     each = each.selectExpr("doc_id", f"{canonical('t')} AS c")
     each = each.selectExpr("doc_id", f"{flat('c')} AS whole", "split(c, '\\\\n[ \\\\n]*\\\\n', -1) AS paragraphs")

@@ -23,9 +23,9 @@ def shingle_set(text, width=3):
     return frozenset(tuple(found[k : k + width]) for k in range(len(found) - width + 1))
 
 
-def brute_force(rows):
-    """(n_shingles, component) of every (doc_id, text), by all pairs."""
-    sets = [shingle_set(text) for _, text in rows]
+def brute_groups(rows, words=3, percent=90):
+    """The sets of every (doc_id, text) and the groups of row numbers that links join, by all pairs."""
+    sets = [shingle_set(text, words) for _, text in rows]
     group = list(range(len(rows)))
 
     def root(k):
@@ -35,15 +35,22 @@ def brute_force(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 group[root(a)] = root(b)
-    least = {}
-    for k, (key, _) in enumerate(rows):
-        if key is not None:
-            least[root(k)] = min(key, least.get(root(k), key))
-    return sorted(
-        ((key, len(s), least.get(root(k))) for k, ((key, _), s) in enumerate(zip(rows, sets))), key=repr
-    )
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(root(k), []).append(k)
+    return sets, list(groups.values())
+
+
+def brute_force(rows):
+    """(doc_id, n_shingles, component) of every (doc_id, text)."""
+    sets, groups = brute_groups(rows)
+    out = []
+    for members in groups:
+        least = min((rows[k][0] for k in members if rows[k][0] is not None), default=None)
+        out += [(rows[k][0], len(sets[k]), least) for k in members]
+    return sorted(out, key=repr)
 
 
 def found(spark, rows, **options):

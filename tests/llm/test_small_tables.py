@@ -54,7 +54,9 @@ def test_mixture_meets_its_targets(spark):
     assert mixed.columns == docs.columns and mixed.select("doc_id").distinct().count() == len(rows)
 
 
-def test_whole_license_texts(spark):
+@pytest.mark.parametrize("sizes", [1000, 1])
+def test_whole_license_texts(spark, monkeypatch, sizes):
+    monkeypatch.setattr(licenses, "SIZES", sizes)
     isc = dict(licenses.KNOWN[:10])["ISC"]
     text = "Copyright (c) 2019 Someone\n\n" + licenses.KNOWN[0][1].upper().replace(",", " ;") + "\n"
     rows = [
